@@ -24,11 +24,18 @@ def tokens(c: Column | str) -> Column:
 
 
 def ngrams(words: Column | str, n: int = 2) -> Column:
-    """All 1- to n-grams of a word array, shorter grams first, words joined with a blank."""
+    """All 1- to n-grams of a word array, shorter grams first, words joined with a blank.
+
+    The word array is held in a one-element array while the grams are made, so it is computed once per row.
+    """
+
+    def grams(held: Column) -> Column:
+        sizes = [held]
+        for size in range(2, n + 1):
+            count = F.greatest(F.size(held) - F.lit(size - 1), F.lit(0))
+            heads, tails = F.slice(sizes[-1], 1, count), F.slice(held, size, count)
+            sizes.append(F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b)))
+        return F.concat(*sizes)
+
     words = _col(words)
-    grams = [words]
-    for size in range(2, n + 1):
-        last = F.size(words) - F.lit(size)
-        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        grams.append(F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, size), " ")))
-    return F.concat(*grams) if n > 1 else words
+    return F.transform(F.array(words), grams)[0] if n > 1 else words

@@ -21,11 +21,11 @@ def norm(v: Column | str) -> Column:
 
 
 def l2_normalize(v: Column | str) -> Column:
-    """Unit length; a zero vector stays as it is."""
-    v = _col(v)
-    length = norm(v)
-    return F.when(length == 0, F.transform(v, lambda x: x.cast("double"))).otherwise(
-        F.transform(v, lambda x: x.cast("double") / length)
+    """Unit length; a zero vector stays as it is. The norm is found once, then used for every element."""
+    v = _col(v).cast("array<double>")
+    return F.aggregate(
+        v, F.lit(0.0), lambda acc, x: acc + x * x,
+        lambda squares: F.transform(v, lambda x: F.when(squares == 0, x).otherwise(x / F.sqrt(squares))),
     )
 
 
@@ -35,11 +35,17 @@ def mean(v: Column | str) -> Column:
 
 
 def layer_norm(v: Column | str, eps: float = 1e-3) -> Column:
-    """(x - mean) / sqrt(population variance + eps) over the vector."""
-    v = _col(v)
-    centre = mean(v)
-    centred = F.transform(v, lambda x: x.cast("double") - centre)
-    return F.transform(centred, lambda x: x / F.sqrt(mean(F.transform(centred, lambda y: y * y)) + F.lit(eps)))
+    """(x - mean) / sqrt(population variance + eps) over the vector; mean and variance are found once each."""
+    v = _col(v).cast("array<double>")
+    n = F.size(v)
+
+    def scaled(added: Column) -> Column:
+        def finish(squares: Column) -> Column:
+            return F.transform(v, lambda x: (x - added / n) / F.sqrt(squares / n + F.lit(eps)))
+
+        return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + (x - added / n) * (x - added / n), finish)
+
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x, scaled)
 
 
 def zscore(v: Column | str, centre: float, variance: float, array: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -126,13 +126,17 @@ def inject_skew(df: DataFrame, stats: DataFrame, features: Sequence[str], start:
     return out.withColumns({f: round_half_even(F.lit(std[f"{f}_std"]) * F.col("multiplier")) for f in features})
 
 
-def inject_noise(df: DataFrame, stats: DataFrame, features: Sequence[str], seed: int = 42, shift: float = 0.0, spread: float = 1.0) -> DataFrame:
-    """Each feature drawn from N(mean + shift, std * spread), not below 0."""
+def inject_noise(
+    df: DataFrame, stats: DataFrame, features: Sequence[str],
+    perturb: Mapping[str, tuple[Callable[[float], float], Callable[[float], float]]] | None = None, seed: int = 42,
+) -> DataFrame:
+    """Each feature drawn from N(mean, std), not below 0; `perturb` changes the mean and std of named features."""
     row = stats.first()
     drawn = {}
     for i, f in enumerate(features):
-        normal = F.randn(seed + i) * F.lit(row[f"{f}_std"] * spread) + F.lit(row[f"{f}_mean"] + shift)
-        drawn[f] = F.greatest(normal, F.lit(0.0))
+        change_mean, change_std = (perturb or {}).get(f, (float, float))
+        centre, spread = change_mean(row[f"{f}_mean"]), change_std(row[f"{f}_std"])
+        drawn[f] = F.greatest(F.randn(seed + i) * F.lit(spread) + F.lit(centre), F.lit(0.0))
     return df.withColumns(drawn)
 
 

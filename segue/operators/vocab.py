@@ -8,7 +8,6 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from segue.functions import text as X
 from segue.operators.skew import dense_index, top_per_group
@@ -38,9 +37,12 @@ def count_ngrams(df: DataFrame, features: Sequence[str], n: int = 2) -> DataFram
 
 
 def fit_vocab(df: DataFrame, features: Sequence[str], max_tokens: int = MAX_TOKENS, n: int = 2, pieces: int = 64) -> DataFrame:
-    """(feature, token, n, idx): the `max_tokens` commonest grams of each feature, ties by token."""
+    """(feature, token, n, idx): the commonest grams of each feature, ties by token.
+
+    `max_tokens` counts the two fixed ids as well, so every id is below it.
+    """
     counts = count_ngrams(df, features, n)
-    best = top_per_group(counts, ["feature"], [F.desc("n"), F.asc("token")], max_tokens, "idx", pieces)
+    best = top_per_group(counts, ["feature"], [F.desc("n"), F.asc("token")], max_tokens - FIRST_ID, "idx", pieces)
     return best.withColumn("idx", F.col("idx") + F.lit(FIRST_ID - 1))
 
 
@@ -119,14 +121,3 @@ def share_of_known(df: DataFrame, row_id: str, col: str, vocab: DataFrame, n: in
     """Grams per row and how many of them the vocabulary holds."""
     placed = token_positions(df, row_id, col, n).join(vocab.select("token", "idx"), "token", "left")
     return placed.groupBy(row_id).agg(F.count(F.lit(1)).alias("n_grams"), F.count("idx").alias("n_known"))
-
-
-def rank_tokens(counts: DataFrame, k: int) -> DataFrame:
-    """The k commonest tokens overall, ties by token."""
-    return counts.orderBy(F.desc("n"), F.asc("token")).limit(k)
-
-
-def renumber(vocab: DataFrame) -> DataFrame:
-    """Index again from FIRST_ID after rows were taken out of a vocabulary (at most MAX_TOKENS per feature)."""
-    w = W.partitionBy("feature").orderBy(F.desc("n"), F.asc("token"))
-    return vocab.withColumn("idx", F.row_number().over(w) + F.lit(FIRST_ID - 1))

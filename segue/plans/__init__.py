@@ -6,7 +6,7 @@ from importlib import import_module
 
 from segue.plans.registry import QUERIES, Query
 
-MODULES = ["lists"]
+MODULES = ["basics", "lists", "features"]
 
 
 def load_queries() -> dict[str, Query]:

@@ -243,20 +243,13 @@ def _(spark, sf):
     return S.unchunk_lists(nested)
 
 
-@query(
-    "flatten_lists",
-    """WITH e AS (SELECT o_custkey AS pid, o_orderkey AS part_no, l_partkey AS track_id, l_suppkey AS artist_id, l_quantity AS q
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-    SELECT pid, part_no, track_id, artist_id, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL""",
-)
+@query("flatten_lists", f"WITH {ITEMS} SELECT pid, pos, track_id, artist_id FROM items")
 def _(spark, sf):
-    # Orders as short lists inside a customer's list: one row per order, then flat again.
-    rows = t.raw_items(spark, sf).withColumn("piece", F.pmod(F.xxhash64("l_partkey"), F.lit(16)))
-    item = F.struct("track_id", "artist_id")
-    counted = rows.groupBy("pid", "l_orderkey", "piece", "track_id", "artist_id").agg(F.count(F.lit(1)).alias("n"))
-    nested = counted.groupBy("pid", "l_orderkey", "piece").agg(F.collect_list(F.struct(item.alias("item"), "n")).alias("records"))
-    flat = nested.select("pid", F.col("l_orderkey").alias("part_no"), F.inline("records"))
-    return flat.select("pid", "part_no", "item.track_id", "item.artist_id", "n")
+    # Each row holds a list of lists of at most five track records, then one flat table again.
+    nested = S.chunk_lists(t.items(spark, sf), "pid", "pos", ["track_id", "artist_id"])
+    starts = F.sequence(F.lit(1), F.size("tracks"), F.lit(5))
+    pieces = nested.withColumn("pieces", F.transform(starts, lambda at: F.slice("tracks", at, 5)))
+    return pieces.select("pid", F.inline(F.flatten("pieces")))
 
 
 @query(

@@ -23,6 +23,7 @@ def local_session(name: str = "segue", cores: str = "*", shuffle_partitions: int
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
