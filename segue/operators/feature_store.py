@@ -46,10 +46,9 @@ def read(
     """Chosen features of chosen entities, newest or as of a time; only those columns are scanned."""
     rows = source.select(id_col, ts, *features)
     if as_of is not None:
-        rows = rows.where(F.col(ts) <= F.lit(as_of).cast("timestamp"))
         if "feature_day" in source.columns:
             rows = source.where(F.col("feature_day") <= F.to_date(F.lit(as_of))).select(id_col, ts, *features)
-            rows = rows.where(F.col(ts) <= F.lit(as_of).cast("timestamp"))
+        rows = rows.where(F.col(ts) <= F.lit(as_of).cast(source.schema[ts].dataType))
     if isinstance(ids, DataFrame):
         rows = rows.join(ids.select(id_col).distinct(), id_col, "left_semi")
     elif ids is not None:

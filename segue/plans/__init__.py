@@ -6,7 +6,7 @@ from importlib import import_module
 
 from segue.plans.registry import QUERIES, Query
 
-MODULES = ["basics", "lists", "features", "retrieval", "watch"]
+MODULES = ["basics", "lists", "features", "retrieval", "watch", "storage"]
 
 
 def load_queries() -> dict[str, Query]:

@@ -19,9 +19,14 @@ def request_log(stream: DataFrame, key: str, rate: float, path: str, checkpoint:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _marked(stream: DataFrame, ts: str, late: str) -> DataFrame:
+    """Watermarks need a time stamp with a zone; one without is read in the session's zone."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+
+
 def windowed_cells(stream: DataFrame, ts: str, numeric: Mapping, text: Sequence[str], window: str, slide: str, late: str, boundaries: int = 11) -> DataFrame:
     """Histogram of each sliding window; state holds one row per window and cell, dropped after `late`."""
-    cells = monitor.feature_cells(stream.withWatermark(ts, late), numeric, text, [ts], boundaries)
+    cells = monitor.feature_cells(_marked(stream, ts, late), numeric, text, [ts], boundaries)
     counted = cells.groupBy(F.window(ts, window, slide).alias("w"), "feature", "kind", "cell").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("w.start").alias("window_start"), "feature", "kind", "cell", "n")
 
@@ -55,5 +60,5 @@ def stream_monitor(
 
 def session_counts(stream: DataFrame, key: str, ts: str, gap: str = "2 hours", late: str = "2 hours") -> DataFrame:
     """Sessions of activity per key in a stream."""
-    grouped = stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    grouped = _marked(stream, ts, late).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
     return grouped.select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
