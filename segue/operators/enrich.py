@@ -36,7 +36,7 @@ def enrich_items(items: DataFrame, features: Mapping[str, DataFrame]) -> DataFra
     return items
 
 
-def clean_track_columns(items: DataFrame) -> DataFrame:
+def clean_track_columns(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Candidate columns of an enriched track: blank text filled, numbers as doubles, genres parsed."""
     texts = ["artist_name", "track_uri", "album_uri", "artist_uri", "track_name", "album_name"]
     columns: list[Column] = [F.col("pid"), F.col("pos").cast("bigint").alias("pos_can")]
@@ -45,7 +45,7 @@ def clean_track_columns(items: DataFrame) -> DataFrame:
     columns += [null_to(as_double(c), 0.0).alias(f"{c}_can") for c in ("track_pop", "artist_pop")]
     columns.append(parse_genres("genres").alias("artist_genres_can"))
     columns.append(null_to(as_double("followers"), 0.0).alias("artist_followers_can"))
-    return items.select(*columns)
+    return items.select(*columns, *keep)
 
 
 def lookup_arrays(df: DataFrame, row_id: str, keys: str, table: DataFrame, key: str, columns: Mapping[str, object]) -> DataFrame:

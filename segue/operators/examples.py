@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from segue.functions.scalars import null_to
 from segue.operators.sequence import training_samples
 from segue.schemas import (
-    AUDIO_EXAMPLE_REALS, AUDIO_EXAMPLE_TEXTS, CANDIDATE_REALS, ENTITY_TEXTS, HISTORY_REALS, RANK_LABEL, feature_set,
+    AUDIO_EXAMPLE_REALS, AUDIO_EXAMPLE_TEXTS, ENTITY_TEXTS, HISTORY_REALS, RANK_LABEL, feature_set,
 )
 
 # History columns whose name differs from the candidate column they come from.
@@ -43,6 +43,3 @@ def build_examples(items: DataFrame, lists: DataFrame, n: int = 5, heavy: Sequen
         "pid", null_to("name", "").alias("pl_name_src"), F.col("collaborative").alias("pl_collaborative_src")
     )
     return samples.join(named, "pid").select("pid", "pos", *feature_set("rank"))
-
-
-CANDIDATE_COLUMNS = [f"{c}_can" for c in [*ENTITY_TEXTS, *CANDIDATE_REALS]]

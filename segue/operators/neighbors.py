@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from segue.functions.vectors import dot
 
 BLOCK = 32_768
+SPREAD = 512
 TILE = 4_000_000
 DIGITS = 9
 
@@ -60,13 +61,16 @@ def _blocked(df: DataFrame, id_col: str, blocks: int, name: str, other: str, oth
     return df.withColumn(name, own).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))))
 
 
-def _block_count(df: DataFrame, block: int) -> int:
-    return max(1, math.ceil(df.count() / block))
+def _block_count(df: DataFrame, block: int, spread: int = 0) -> int:
+    """Blocks of at most about `block` rows; with `spread`, smaller ones down to that size to keep all cores busy."""
+    rows = df.count()
+    busy = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / spread)) if spread else 1
+    return max(1, math.ceil(rows / block), busy)
 
 
 def _grid(queries: DataFrame, items: DataFrame, block: int, cell: Callable, schema: str) -> DataFrame:
     """Run `cell(query block, item block)` for every pair of blocks; blocks are even because ids are hashed."""
-    nq, ni = _block_count(queries, block), _block_count(items, block)
+    nq, ni = _block_count(queries, block, SPREAD), _block_count(items, block)
     left = _blocked(queries, "query", nq, "_q", "_i", ni).groupBy("_q", "_i")
     right = _blocked(items, "id", ni, "_i", "_q", nq).groupBy("_q", "_i")
     return left.cogroup(right).applyInArrow(cell, schema)

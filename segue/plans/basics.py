@@ -223,7 +223,7 @@ def _(spark, sf):
     "SELECT l_orderkey, l_partkey, CAST(CAST(l_partkey AS VARCHAR) AS VARCHAR) AS track_uri, CAST(l_linenumber AS VARCHAR) AS pos, l_returnflag AS artist_name FROM lineitem",
 )
 def _(spark, sf):
-    lines = t.table(spark, sf, "lineitem")
+    lines = t.spread_table(spark, sf, "lineitem")
     item = F.struct(F.col("l_partkey").alias("track_uri"), F.col("l_linenumber").alias("pos"), F.col("l_returnflag").alias("artist_name"))
     as_text = lines.select("l_orderkey", "l_partkey", F.to_json(F.array(item)).alias("tracks"))
     parsed = slices.parse_items(as_text, "tracks")

@@ -95,7 +95,7 @@ grams AS (SELECT doc_id, lang, source, {sql_grams('w')} AS g FROM words)"""
 
 
 def _doc_counts(spark, sf):
-    return vocab.count_ngrams(t.table(spark, sf, "documents"), ["text"])
+    return vocab.count_ngrams(t.spread_table(spark, sf, "documents"), ["text"])
 
 
 @query(
@@ -130,7 +130,7 @@ def sql_vocab(source: str, k: int) -> str:
 
 @query("vocab_adapt", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 2000)}")
 def _(spark, sf):
-    rows = t.table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
+    rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     return vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=2000)
 
 
@@ -178,9 +178,9 @@ def _(spark, sf):
     SELECT * FROM a WHERE feature NOT IN (SELECT feature FROM b) UNION ALL SELECT * FROM b""",
 )
 def _(spark, sf):
-    rows = t.table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
+    rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     first = vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=500)
-    second = vocab.fit_vocab(t.table(spark, sf, "documents"), ["text"], max_tokens=300)
+    second = vocab.fit_vocab(t.spread_table(spark, sf, "documents"), ["text"], max_tokens=300)
     return vocab.merge_vocabs(first, second)
 
 
@@ -191,7 +191,7 @@ def _(spark, sf):
     SELECT 'text' AS feature, (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a JOIN b USING (token)) AS n_both""",
 )
 def _(spark, sf):
-    documents = t.table(spark, sf, "documents")
+    documents = t.spread_table(spark, sf, "documents")
     english = vocab.count_ngrams(documents.where("lang = 'en'"), ["text"])
     return vocab.compare_vocabs(english, vocab.count_ngrams(documents.where("lang <> 'en'"), ["text"]))
 
@@ -230,7 +230,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     lines = F.transform(F.split("text", "\n"), lambda s: F.transform(X.tokens(s), lambda w: F.length(w).cast("double")))
-    pooled = t.table(spark, sf, "documents").select("doc_id", F.round(V.mean_nested(lines), 6).alias("mean_length"))
+    pooled = t.spread_table(spark, sf, "documents").select("doc_id", F.round(V.mean_nested(lines), 6).alias("mean_length"))
     return pooled.where("mean_length IS NOT NULL")
 
 

@@ -10,6 +10,8 @@ from segue.operators import sequence as S
 from segue.plans import tables as t
 from segue.plans.registry import query
 from segue.plans.tables import ALBUM_ITEMS, ARTISTS, AUDIO, ITEMS, TRACKS, sql_micro, sql_text, sql_whole
+from segue.schemas import AUDIO_EXAMPLE_REALS, AUDIO_EXAMPLE_TEXTS
+from segue.sources.examples import encode, parse, require_fields
 
 N = 5
 HIST = f"OVER (PARTITION BY pid ORDER BY pos RANGE BETWEEN {N} PRECEDING AND 1 PRECEDING)"
@@ -288,7 +290,9 @@ GENRES = """CASE WHEN split_part(substr(genres, 2, length(genres) - 2), ',', 1)
   ELSE string_split(substr(genres, 2, length(genres) - 2), ',') END"""
 
 
-def _enriched(spark, sf, heavy):
+def _enriched(spark, sf, heavy, audio_columns=False):
+    """Items with track and artist features. Tables of one key are joined to each other first, so the items are
+    joined once per key, and all of it comes before the positions."""
     keys = t.raw_items(spark, sf).withColumns(
         {"track_uri": F.col("track_id").cast("string"), "artist_uri": F.col("artist_id").cast("string")}
     )
@@ -296,10 +300,11 @@ def _enriched(spark, sf, heavy):
         F.col("track_id").cast("string").alias("track_uri"), F.col("p_name").alias("track_name"),
         F.col("p_brand").alias("album_uri"), F.lower("p_brand").alias("album_name"),
     )
-    rows = enrich.enrich_items(keys, {"track_uri": named, "artist_uri": t.artists(spark, sf)})
-    rows = enrich.enrich_items(rows, {"track_uri": t.audio(spark, sf)})
-    placed = S.positions(rows.withColumnRenamed("duration", "duration_ms"), "pid", t.ORDER, heavy=heavy)
-    return placed
+    track = named.join(t.audio(spark, sf).select("track_uri", "track_pop"), "track_uri")
+    if audio_columns:
+        track = track.join(examples.fill_audio(t.audio(spark, sf)).withColumnRenamed("track_uri_can", "track_uri"), "track_uri")
+    rows = enrich.enrich_items(keys, {"track_uri": track, "artist_uri": t.artists(spark, sf)})
+    return S.positions(rows.withColumnRenamed("duration", "duration_ms"), "pid", t.ORDER, heavy=heavy)
 
 
 @query(
@@ -319,10 +324,9 @@ def _(spark, sf):
 
 def example_items(spark, sf, heavy):
     """Items with every candidate column of the example schema."""
-    rows = _enriched(spark, sf, heavy).withColumn("artist_followers", F.col("followers"))
-    base = enrich.clean_track_columns(rows).withColumn("artist_genres_can", join_genres("artist_genres_can"))
-    filled = examples.fill_audio(t.audio(spark, sf))
-    return base.withColumnRenamed("pos_can", "pos").join(filled, "track_uri_can")
+    rows = _enriched(spark, sf, heavy, audio_columns=True)
+    base = enrich.clean_track_columns(rows, [f"{c}_can" for c in [*AUDIO_EXAMPLE_REALS, *AUDIO_EXAMPLE_TEXTS]])
+    return base.withColumn("artist_genres_can", join_genres("artist_genres_can")).withColumnRenamed("pos_can", "pos")
 
 
 def rank_examples(spark, sf):
@@ -416,12 +420,9 @@ FROM s JOIN customer ON s.pid = c_custkey WHERE len(track_uri_pl) = {N}"""
 
 @query("parse_examples", RANK_SQL)
 def _(spark, sf):
-    from segue.sources.examples import parse
-
     heavy = t.heavy_lists(spark, sf)
     rows = examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy)
-    keyed = rows.select("pid", "pos", F.struct(*[c for c in rows.columns if c not in ("pid", "pos")]).alias("row"))
-    parsed = parse(keyed.select("pid", "pos", "row.*"), "rank", N, keep=("pid", "pos"))
+    parsed = parse(rows, "rank", N, keep=("pid", "pos"))
     return parsed.select(
         "pid", "pos", "track_uri_can", "track_name_can", "artist_genres_can", F.col("artist_followers_can").cast("double").alias("artist_followers_can"),
         F.col("track_energy_can").cast("double").alias("track_energy_can"), "track_key_can", "pl_name_src", "pl_collaborative_src",
@@ -442,8 +443,6 @@ def _(spark, sf):
     FROM p JOIN customer ON p.pid = c_custkey WHERE len(track_name_pl) = {N}""",
 )
 def _(spark, sf):
-    from segue.sources.examples import require_fields
-
     rows = require_fields(rank_examples(spark, sf), "query", keep=("pid", "pos"))
     return rows.select("pid", "pos", "pl_name_src", "pl_duration_ms_new", F.array_join("track_name_pl", ",").alias("track_name_pl"))
 
@@ -519,8 +518,6 @@ def _(spark, sf):
       album_uri || '|' || album_name AS album FROM tracks""",
 )
 def _(spark, sf):
-    from segue.sources.examples import encode
-
     rows = t.tracks(spark, sf).withColumn("album", F.array("album_uri", "album_name")).withColumn("pid_text", F.col("pid"))
     coded = encode(
         rows, {"pid": ("int", False), "pos": ("int", False), "pid_text": ("string", False), "track_name": ("string", False),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from segue.functions import vectors as V
@@ -207,11 +208,16 @@ def _(spark, sf):
     return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("dcg", "ideal", "ndcg")])
 
 
-@query("score_candidates")
+@query(
+    "score_candidates",
+    f"""WITH d AS (SELECT vec_id AS id, j, round(sum(embedding[i + 1]::DOUBLE * ((i * (j + 1)) % 7 - 3)), 6) AS x FROM embeddings, range(0, {DIM}) r(i), range(0, 16) q(j) GROUP BY 1, 2)
+    SELECT id, string_agg(CAST(CAST(round(x * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY j) AS embedding FROM d GROUP BY 1""",
+)
 def _(spark, sf):
-    weights = retrieval.random_projection(DIM, 16)
-    scored = retrieval.score(vectors(spark, sf), retrieval.projection(weights), "id", "embedding")
-    return scored.where(~V.has_nan("embedding")).select("id", F.size("embedding").alias("dims"), F.round(V.norm("embedding"), 4).alias("length"))
+    rows, cols = np.arange(DIM)[:, None], np.arange(16)[None, :]
+    model = retrieval.projection((rows * (cols + 1)) % 7 - 3.0)
+    scored = retrieval.score(vectors(spark, sf), model, "id", "embedding", double=True)
+    return scored.where(~V.has_nan("embedding")).select("id", t.micro_text(F.transform("embedding", lambda x: F.round(x, 6))).alias("embedding"))
 
 
 def _item_vectors(spark, sf):

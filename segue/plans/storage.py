@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segue.operators import enrich, examples, monitor, vocab
+from segue.operators import monitor, vocab
 from segue.operators import feature_store as fs
 from segue.operators import sequence as S
 from segue.plans import lists, watch
@@ -40,6 +40,14 @@ def _(spark, sf):
     return flat.select("pid", "name", "collaborative", "pos", "track_uri", "track_name", "artist_uri", "album_uri", "duration_ms")
 
 
+@query("interleave_shards", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def _(spark, sf):
+    # Many shards, read in parallel and in no order.
+    path = t.scratch(spark, "interleave")
+    tables.write_shards(t.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, 160, 10)
+    return spark.read.parquet(path)
+
+
 @query("append_table", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT p_partkey, p_size FROM part")
 def _(spark, sf):
     path = t.scratch(spark, "append")
@@ -85,17 +93,13 @@ def _shown(rows):
 @query("export_examples", EXPORT)
 def _(spark, sf):
     path = t.scratch(spark, "examples")
-    ex.export_examples(lists.rank_examples(spark, sf), "rank", path, total_mb=8, shard_mb=2)
+    ex.export_examples(lists.rank_examples(spark, sf), "rank", path, total_mb=16, shard_mb=2, by=("pid", "pos"))
     return _shown(spark.read.schema(example_type(feature_set("rank"))).parquet(path))
 
 
 def _catalogue(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    items = lists.example_items(spark, sf, heavy).where("pos > 0")
-    filled = examples.fill_audio(t.audio(spark, sf))
-    audio = [c for c in filled.columns if c != "track_uri_can"]
-    defaults = {c: ("0" if dict(filled.dtypes)[c] == "string" else 0.0) for c in audio}
-    return enrich.distinct_candidates(items, filled, "track_uri_can", examples.CANDIDATE_COLUMNS, defaults)
+    items = lists.example_items(spark, sf, t.heavy_lists(spark, sf)).where("pos > 0")
+    return items.select(*feature_set("candidate")).distinct()
 
 
 @query(
@@ -163,7 +167,7 @@ def _(spark, sf):
 @query("vocab_save", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 1000)}")
 def _(spark, sf):
     path = t.scratch(spark, "vocab")
-    rows = t.table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
+    rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
     return tables.load_vocab(spark, path).select("feature", "token", "n", "idx")
 
@@ -171,7 +175,7 @@ def _(spark, sf):
 @query("vocab_load", f"WITH {FEATURE_TEXTS}, v AS ({sql_vocab('tokens', 1000)}) SELECT * FROM v WHERE feature = 'text'")
 def _(spark, sf):
     path = t.scratch(spark, "vocab")
-    rows = t.table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
+    rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
     return tables.load_vocab(spark, path, "text").select("feature", "token", "n", "idx")
 

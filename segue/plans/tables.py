@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for costly row work: a small one in few files is spread over all cores, a large one is left as it is."""
+    rows = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/segue/{name}-{uuid.uuid4().hex}"
