@@ -101,12 +101,16 @@ def with_prefix_aggregates(
     count: str | None = None,
     heavy: Sequence | None = None,
     block: int = BLOCK,
+    clustered: bool = False,
 ) -> DataFrame:
     """Running sums, row count and distinct counts over all earlier items of the list.
 
     A distinct count is the running sum of "first time seen" flags, so there is no distinct window and no
     growing set. NULL is not counted. Heavy lists: flags come from one aggregate over (list, value), sums run
     inside blocks of positions, and the totals of the earlier blocks are added.
+
+    Rows are brought together by list once, before the windows over (list, value), which would else shuffle each
+    for itself. Pass `clustered` if the rows of a list already share a partition, as after `positions`.
     """
     totals = {name: F.col(c).cast("double") for name, c in sums.items()}
     if count:
@@ -119,6 +123,7 @@ def with_prefix_aggregates(
         return {**totals, **{name: F.col(flag(name)) for name in distincts}}
 
     def light(part: DataFrame) -> DataFrame:
+        part = part if clustered or not distincts else part.repartition(pid)
         for name, c in distincts.items():
             w = W.partitionBy(pid, c).orderBy(pos)
             first = (F.row_number().over(w) == 1) & F.col(c).isNotNull()
@@ -160,6 +165,7 @@ def training_samples(
     n: int = 5,
     full_only: bool = True,
     heavy: Sequence | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """One sample per item that has earlier items: history arrays plus aggregates over all earlier items.
 
@@ -167,7 +173,7 @@ def training_samples(
     earlier item.
     """
     heavy = _heavy(items, pid, heavy)
-    out = with_prefix_aggregates(items, pid, pos, sums, distincts, count, heavy)
+    out = with_prefix_aggregates(items, pid, pos, sums, distincts, count, heavy, clustered=clustered)
     out = with_history(out, pid, pos, history, n, rank, heavy)
     first = next(iter(history))
     return out.where(F.size(first) == n) if full_only else out.where(F.col(count) > 0)

@@ -45,7 +45,7 @@ def _(spark, sf):
     rows = S.training_samples(
         t.album_items(spark, sf, heavy), "pid", "pos",
         {"track_pl": "track_id", "artist_pl": "artist_id", "duration_pl": "duration"},
-        {"duration_seed": "duration"}, {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", n=N, heavy=heavy,
+        {"duration_seed": "duration"}, {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", n=N, heavy=heavy, clustered=True,
     )
     rows = sampling.with_split(rows, "pid")
     return rows.select(
@@ -125,7 +125,7 @@ def _prefix(spark, sf):
     heavy = t.heavy_lists(spark, sf)
     rows = S.with_prefix_aggregates(
         t.album_items(spark, sf, heavy), "pid", "pos", {"duration_seed": "duration"},
-        {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", heavy,
+        {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", heavy, clustered=True,
     )
     return rows.select("pid", "pos", "duration_seed", "n_songs", "n_artists", "n_albums")
 
@@ -331,7 +331,7 @@ def example_items(spark, sf, heavy):
 
 def rank_examples(spark, sf):
     heavy = t.heavy_lists(spark, sf)
-    return examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy)
+    return examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy, clustered=True)
 
 
 @query(
@@ -421,7 +421,7 @@ FROM s JOIN customer ON s.pid = c_custkey WHERE len(track_uri_pl) = {N}"""
 @query("parse_examples", RANK_SQL)
 def _(spark, sf):
     heavy = t.heavy_lists(spark, sf)
-    rows = examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy)
+    rows = examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy, clustered=True)
     parsed = parse(rows, "rank", N, keep=("pid", "pos"))
     return parsed.select(
         "pid", "pos", "track_uri_can", "track_name_can", "artist_genres_can", F.col("artist_followers_can").cast("double").alias("artist_followers_can"),
