@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from segue.functions.vectors import dot
+from segue.session import stash
 
 BLOCK = 32_768
 SPREAD = 512
@@ -61,16 +62,17 @@ def _blocked(df: DataFrame, id_col: str, blocks: int, name: str, other: str, oth
     return df.withColumn(name, own).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))))
 
 
-def _block_count(df: DataFrame, block: int, spread: int = 0) -> int:
-    """Blocks of at most about `block` rows; with `spread`, smaller ones down to that size to keep all cores busy."""
-    rows = df.count()
+def _block_count(df: DataFrame, block: int, spread: int = 0, rows: int | None = None) -> int:
+    """Blocks of at most about `block` rows; with `spread`, smaller ones down to that size to keep all cores busy.
+    `rows` may give an upper bound where counting means computing the frame."""
+    rows = df.count() if rows is None else rows
     busy = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / spread)) if spread else 1
     return max(1, math.ceil(rows / block), busy)
 
 
-def _grid(queries: DataFrame, items: DataFrame, block: int, cell: Callable, schema: str) -> DataFrame:
+def _grid(queries: DataFrame, items: DataFrame, block: int, cell: Callable, schema: str, query_rows: int | None = None) -> DataFrame:
     """Run `cell(query block, item block)` for every pair of blocks; blocks are even because ids are hashed."""
-    nq, ni = _block_count(queries, block, SPREAD), _block_count(items, block)
+    nq, ni = _block_count(queries, block, SPREAD, query_rows), _block_count(items, block)
     left = _blocked(queries, "query", nq, "_q", "_i", ni).groupBy("_q", "_i")
     right = _blocked(items, "id", ni, "_i", "_q", nq).groupBy("_q", "_i")
     return left.cogroup(right).applyInArrow(cell, schema)
@@ -126,6 +128,7 @@ def knn(
     vec: str = "embedding",
     skip_self: bool = False,
     block: int = BLOCK,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """Exact k best by dot product: (query, id, score, rank), scores to 9 digits, ties by id.
 
@@ -137,6 +140,7 @@ def knn(
         block,
         _top_cell(k, skip_self),
         "query bigint, id bigint, score double",
+        query_rows,
     )
     return _ranked(found, k)
 
@@ -192,7 +196,8 @@ def build_leaves(
 
     Centres are learnt from a share of the rows when there are more than `fit_rows_per_leaf` per leaf; every row
     is then put into a leaf. Above max_leaves * leaf_size rows the leaves get larger instead of more, which keeps
-    the centres small enough to send to each task. `path` writes the table partitioned by leaf and reads it back.
+    the centres small enough to send to each task. The placed vectors are written out, partitioned by leaf if a
+    `path` is given, so that searches do not place them again.
     """
     base = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("vector"))
     base = base.withColumn("features", array_to_vector("vector"))
@@ -205,6 +210,8 @@ def build_leaves(
     if path:
         placed.repartition("leaf", F.pmod(F.xxhash64("id"), F.lit(8))).write.mode("overwrite").partitionBy("leaf").parquet(path)
         placed = items.sparkSession.read.parquet(path).select("id", "vector", F.col("leaf").cast("int").alias("leaf"))
+    else:
+        placed = stash(placed, "leaves")
     sizes = {row.leaf: row.n for row in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     return LeafIndex(np.array(model.clusterCenters()), sizes, placed)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from segue.operators.skew import heavy_keys, running_offsets, split_heavy
+from segue.session import stash
 
 BLOCK = 100_000
 CHUNK = 250
@@ -106,12 +107,13 @@ def with_prefix_aggregates(
     """Running sums, row count and distinct counts over all earlier items of the list.
 
     A distinct count is the running sum of "first time seen" flags, so there is no distinct window and no
-    growing set. NULL is not counted. Heavy lists: flags come from one aggregate over (list, value), sums run
+    growing set. NULL is not counted. Heavy lists are written out once, as they are used several times: flags come from one aggregate over (list, value), sums run
     inside blocks of positions, and the totals of the earlier blocks are added.
 
     Rows are brought together by list once, before the windows over (list, value), which would else shuffle each
     for itself. Pass `clustered` if the rows of a list already share a partition, as after `positions`.
     """
+    heavy = _heavy(df, pid, heavy)
     totals = {name: F.col(c).cast("double") for name, c in sums.items()}
     if count:
         totals[count] = F.lit(1.0)
@@ -123,7 +125,7 @@ def with_prefix_aggregates(
         return {**totals, **{name: F.col(flag(name)) for name in distincts}}
 
     def light(part: DataFrame) -> DataFrame:
-        part = part if clustered or not distincts else part.repartition(pid)
+        part = part.repartition(pid) if distincts and not (clustered and not heavy) else part
         for name, c in distincts.items():
             w = W.partitionBy(pid, c).orderBy(pos)
             first = (F.row_number().over(w) == 1) & F.col(c).isNotNull()
@@ -133,6 +135,7 @@ def with_prefix_aggregates(
         return out.drop(*[flag(name) for name in distincts])
 
     def cut(part: DataFrame) -> DataFrame:
+        part = stash(part, "heavy-lists")
         for name, c in distincts.items():
             firsts = part.where(F.col(c).isNotNull()).groupBy(pid, c).agg(F.min(pos).alias(pos))
             firsts = firsts.select(pid, pos, F.lit(1.0).alias(flag(name)))
@@ -150,7 +153,7 @@ def with_prefix_aggregates(
         joined = joined.withColumns({x: F.col(f"_i_{x}") + F.col(f"_b_{x}") for x in parts})
         return joined.select(*df.columns, *parts)
 
-    return split_heavy(df, pid, _heavy(df, pid, heavy), light, cut)
+    return split_heavy(df, pid, heavy, light, cut)
 
 
 def training_samples(

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from segue.session import stash
+
 HEAVY_ROWS = 1_000_000
 MAX_HEAVY = 10_000
 SMALL_ROWS = 1_000_000
@@ -73,7 +75,7 @@ def running_offsets(counts: DataFrame, over: Sequence[str], order: str, value: s
     return counts.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
-def hash_rank(df: DataFrame, key: str, seed: int = 42, digits: int = 3, rank: str = "rank", total: str = "total") -> DataFrame:
+def hash_rank(df: DataFrame, key: str, seed: int = 42, digits: int = 4, rank: str = "rank", total: str = "total") -> DataFrame:
     """Place of each row in a seeded shuffle (1-based), with the row count, without a global sort.
 
     Rows fall into 16**digits bins by the front of their hash. Bin counts give the offsets (a table of at most
@@ -101,6 +103,8 @@ def dense_index(df: DataFrame, col: str, index: str = "idx", start: int = 0, pie
 
 
 def index_by_pieces(df: DataFrame, col: str, index: str, start: int, pieces: int) -> DataFrame:
+    """The large form of `dense_index`. The values are used four times, so they are written out first."""
+    df = stash(df, "values")
     rows = df.count()
     share = min(1.0, pieces * 40 / max(rows, 1))
     sample = df.select(col).where(F.pmod(F.xxhash64(col), F.lit(1_000_000)) < int(share * 1_000_000) + 1)

@@ -7,11 +7,12 @@ from pyspark.sql import types as T
 
 from segue.functions import scalars as C
 from segue.operators import enrich, sampling
-from segue.operators.skew import dense_index
+from segue.operators.retrieval import interpret
+from segue.operators.skew import dense_index, top_per_group
 from segue.plans import tables as t
 from segue.plans.registry import query
 from segue.sources import slices
-from segue.sources.tables import shard_count
+from segue.sources.tables import shards_of
 
 MD5 = "CAST(('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 15)) AS BIGINT)"
 
@@ -157,13 +158,14 @@ def _(spark, sf):
 
 @query(
     "batch_rows",
-    f"""WITH s AS (SELECT event_id, {md5_sql('event_id')} % 16 AS shard FROM events),
+    f"""WITH s AS (SELECT event_id, {md5_sql('event_id')} % greatest(16, (SELECT count(*) FROM events) // 1000000) AS shard FROM events),
     b AS (SELECT *, CAST((row_number() OVER (PARTITION BY shard ORDER BY event_id) - 1) // 64 AS BIGINT) AS batch FROM s),
     n AS (SELECT *, count(*) OVER (PARTITION BY shard, batch) AS n FROM b)
     SELECT event_id, shard, batch FROM n WHERE n = 64""",
 )
 def _(spark, sf):
-    return sampling.batch_rows(t.table(spark, sf, "events").select("event_id"), "event_id", 64, 16)
+    events = t.table(spark, sf, "events").select("event_id")
+    return sampling.batch_rows(events, "event_id", 64, sampling.shards_for(events.count()))
 
 
 @query("repeat_epochs", "SELECT event_id, value, CAST(e AS INTEGER) AS epoch FROM events, range(0, 3) r(e)")
@@ -333,8 +335,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     sizes = t.table(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("chars"))
-    count = F.udf(lambda n: shard_count(n / 1000.0, 50), "bigint")
-    return sizes.select("source", count("chars").alias("shards"))
+    return sizes.select("source", shards_of(F.col("chars") / 1000.0, 50).alias("shards"))
 
 
 @query(
@@ -372,9 +373,6 @@ def _(spark, sf):
     FROM r JOIN part ON track_id = p_partkey JOIN supplier ON artist_id = s_suppkey WHERE rank <= 10""",
 )
 def _(spark, sf):
-    from segue.operators.retrieval import interpret
-    from segue.operators.skew import top_per_group
-
     pairs = t.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("query"), F.col("l_partkey").alias("id")).agg(
         F.count(F.lit(1)).cast("double").alias("score")
     )
@@ -392,8 +390,6 @@ def _(spark, sf):
     SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY artist_id ORDER BY score DESC, track_id) AS INTEGER) AS rank FROM s) WHERE rank <= 20""",
 )
 def _(spark, sf):
-    from segue.operators.skew import top_per_group
-
     pairs = t.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("artist_id"), F.col("l_partkey").alias("track_id")).agg(
         F.count(F.lit(1)).alias("score")
     )

@@ -182,15 +182,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     heavy = t.heavy_lists(spark, sf)
-    rows = S.training_samples(
-        t.album_items(spark, sf, heavy), "pid", "pos", {"track_pl": "track_id"}, {"duration_before": "duration"}, {},
-        "n_before", None, N, full_only=False, heavy=heavy,
+    rows = S.with_prefix_aggregates(
+        t.album_items(spark, sf, heavy), "pid", "pos", {"duration_before": "duration"}, {}, "n_before", heavy
     )
-    first = S.with_history(
-        t.album_items(spark, sf, heavy).where("pos = 0"), "pid", "pos", {"track_pl": "track_id"}, N, heavy=[]
-    ).withColumns({"n_before": F.lit(0.0), "duration_before": F.lit(0.0)})
-    both = rows.unionByName(first)
-    return both.select(
+    rows = S.with_history(rows, "pid", "pos", {"track_pl": "track_id"}, N, heavy=heavy)
+    return rows.select(
         sample_id("pid", "pos").alias("pid_pos_id"), "pid", "pos", "track_id", "album", t.text_of("track_pl").alias("track_pl"),
         F.col("n_before").cast("bigint").alias("n_before"), "duration_before",
     )

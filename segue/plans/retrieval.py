@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from segue.functions import vectors as V
+from segue.functions.scalars import hash_bin
 from segue.operators import evaluate, neighbors, retrieval
 from segue.plans import lists
 from segue.plans import tables as t
 from segue.plans.basics import md5_sql
 from segue.plans.registry import query
 from segue.plans.tables import ITEMS, TRACKS
+from segue.sources.examples import label_rows
 
 DIM = 64
 DOT = "round(list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)), 9)"
@@ -175,16 +179,15 @@ def _(spark, sf):
 
 @query(
     "eval_batch_topk",
-    f"""WITH {TRUE}, s AS (SELECT a.query, a.embedding, a.true_id, r.embedding AS item, {md5_sql('a.query')} % 4 AS batch, a.true_score FROM asked a JOIN embeddings r ON r.vec_id = a.true_id),
+    f"""WITH {TRUE}, s AS (SELECT a.query, a.embedding, a.true_id, r.embedding AS item, {md5_sql('a.query')} % CAST(ceil((SELECT count(*) FROM embeddings) / 128.0) AS BIGINT) AS batch, a.true_score FROM asked a JOIN embeddings r ON r.vec_id = a.true_id),
     b AS (SELECT x.query, sum(CASE WHEN {sql_dot('x.embedding', 'y.item')} > x.true_score THEN 1 ELSE 0 END) AS better FROM s x JOIN s y ON x.batch = y.batch GROUP BY 1)
     SELECT CAST(count(*) AS BIGINT) AS n, avg(CASE WHEN better < 10 THEN 1.0::DOUBLE ELSE 0 END) AS top_10, avg(CASE WHEN better < 50 THEN 1.0::DOUBLE ELSE 0 END) AS top_50 FROM b""",
 )
 def _(spark, sf):
-    from segue.functions.scalars import hash_bin
-
     items = vectors(spark, sf).select(F.col("id").alias("true_id"), F.col("embedding").alias("item_vector"))
     pairs = _with_true(spark, sf).join(items, "true_id").withColumnRenamed("embedding", "query_vector")
-    return evaluate.batch_top_k(pairs.withColumn("batch", hash_bin("query", 4, portable=True)), "batch")
+    batches = math.ceil(vectors(spark, sf).count() / 128)
+    return evaluate.batch_top_k(pairs.withColumn("batch", hash_bin("query", batches, portable=True)), "batch")
 
 
 @query("eval_rmse", "SELECT round(sqrt(avg(power(l_quantity - l_extendedprice / 1000, 2))), 6) AS rmse, CAST(count(*) AS BIGINT) AS n FROM lineitem")
@@ -278,8 +281,6 @@ RANK_FEATURES = ["track_energy_can", "track_tempo_can", "duration_ms_can", "num_
     SELECT pid, pos, CAST(label AS DOUBLE) AS label FROM p WHERE n = {lists.N}""",
 )
 def _(spark, sf):
-    from segue.sources.examples import label_rows
-
     return label_rows(lists.rank_examples(spark, sf), ["pid", "pos"]).select("pid", "pos", "label")
 
 

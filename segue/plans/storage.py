@@ -16,6 +16,7 @@ from segue.plans.registry import query
 from segue.plans.tables import TRACKS, sql_micro
 from segue.schemas import SLICE, TRACK_FIELDS, example_type, feature_set
 from segue.sources import examples as ex
+from segue.session import scratch_path
 from segue.sources import slices, tables
 from segue.sources.tfrecord import TFRecordSource
 from segue.streaming import jobs
@@ -33,7 +34,7 @@ def _(spark, sf):
     numbered = nested.withColumn("slice", F.pmod(F.xxhash64("pid", "chunk"), F.lit(max(1, nested.count() // 1000))))
     docs = numbered.groupBy("slice").agg(F.collect_list(playlist).alias("playlists"))
     info = F.struct(F.col("slice").cast("string").alias("slice"), F.lit("v1").alias("version"))
-    path = t.scratch(spark, "slices")
+    path = scratch_path(spark, "slices")
     docs.select(F.to_json(F.struct(info.alias("info"), "playlists"))).write.option("maxRecordsPerFile", 1).text(path)
     read = slices.read_slices(spark, path, SLICE, pattern="*.txt")
     flat = slices.unnest_items(read.select("pid", "name", "collaborative", "tracks"), "tracks", ("pid", "name", "collaborative"))
@@ -43,14 +44,14 @@ def _(spark, sf):
 @query("interleave_shards", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def _(spark, sf):
     # Many shards, read in parallel and in no order.
-    path = t.scratch(spark, "interleave")
+    path = scratch_path(spark, "interleave")
     tables.write_shards(t.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, 160, 10)
     return spark.read.parquet(path)
 
 
 @query("append_table", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT p_partkey, p_size FROM part")
 def _(spark, sf):
-    path = t.scratch(spark, "append")
+    path = scratch_path(spark, "append")
     tables.append_table(t.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), path)
     part = t.table(spark, sf, "part").select(F.col("p_partkey").alias("o_orderkey"), F.col("p_size").cast("bigint").alias("o_custkey"))
     tables.append_table(part, path)
@@ -59,7 +60,7 @@ def _(spark, sf):
 
 @query("replace_table", "SELECT p_partkey, p_name FROM part")
 def _(spark, sf):
-    path = t.scratch(spark, "replace")
+    path = scratch_path(spark, "replace")
     tables.replace_table(t.table(spark, sf, "part"), path)
     tables.replace_table(t.table(spark, sf, "part").select("p_partkey", "p_name"), path)
     return spark.read.parquet(path)
@@ -67,7 +68,7 @@ def _(spark, sf):
 
 @query("write_with_schema", "SELECT CAST(s_suppkey AS VARCHAR) AS artist_uri, CAST(s_nationkey AS BIGINT) AS artist_pop, CAST(s_acctbal AS DOUBLE) AS followers FROM supplier")
 def _(spark, sf):
-    path = t.scratch(spark, "declared")
+    path = scratch_path(spark, "declared")
     schema = T.StructType(
         [T.StructField("artist_uri", T.StringType(), False), T.StructField("artist_pop", T.LongType()), T.StructField("followers", T.DoubleType())]
     )
@@ -92,7 +93,7 @@ def _shown(rows):
 
 @query("export_examples", EXPORT)
 def _(spark, sf):
-    path = t.scratch(spark, "examples")
+    path = scratch_path(spark, "examples")
     ex.export_examples(lists.rank_examples(spark, sf), "rank", path, total_mb=16, shard_mb=2, by=("pid", "pos"))
     return _shown(spark.read.schema(example_type(feature_set("rank"))).parquet(path))
 
@@ -108,7 +109,7 @@ def _catalogue(spark, sf):
       CAST(tracks.duration_ms AS DOUBLE) AS duration_ms_can FROM tracks JOIN artists ON tracks.artist_uri = artists.artist_uri WHERE pos > 0""",
 )
 def _(spark, sf):
-    path = t.scratch(spark, "candidates")
+    path = scratch_path(spark, "candidates")
     ex.export_candidates(_catalogue(spark, sf), path)
     return spark.read.parquet(path).select(
         "track_uri_can", "track_name_can", "artist_name_can", F.col("duration_ms_can").cast("double").alias("duration_ms_can")
@@ -124,7 +125,7 @@ TRACK_RECORD = {"p_name": ("string", False), "p_retailprice": ("float", False),
 )
 def _(spark, sf):
     spark.dataSource.register(TFRecordSource)
-    path = t.scratch(spark, "records")
+    path = scratch_path(spark, "records")
     rows = t.table(spark, sf, "part").select("p_name", "p_retailprice", "p_size", F.split("p_name", " ").alias("words"))
     ex.encode(rows, TRACK_RECORD).repartition(4).write.format("tfrecord").mode("append").save(path)
     read = spark.read.format("tfrecord").schema(example_type(TRACK_RECORD)).load(path)
@@ -139,7 +140,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     spark.dataSource.register(TFRecordSource)
-    path = t.scratch(spark, "shards")
+    path = scratch_path(spark, "shards")
     valid = lists.rank_examples(spark, sf).where("pid % 100 = 0")
     ex.encode(valid, feature_set("rank")).repartition(tables.shard_count(500, 250)).write.format("tfrecord").mode("append").save(path)
     return _shown(spark.read.format("tfrecord").schema(example_type(feature_set("rank"))).load(path))
@@ -147,7 +148,7 @@ def _(spark, sf):
 
 @query("scan_by_suffix", "SELECT p_brand, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1")
 def _(spark, sf):
-    path = t.scratch(spark, "mixed")
+    path = scratch_path(spark, "mixed")
     rows = t.table(spark, sf, "part").select("p_brand", "p_partkey")
     rows.write.mode("overwrite").parquet(path)
     rows.limit(5).write.mode("append").json(path)
@@ -158,7 +159,7 @@ def _(spark, sf):
 
 @query("write_embeddings_json", f"SELECT CAST(vec_id AS VARCHAR) AS id, {sql_micro('list_transform(embedding, lambda x: x::DOUBLE)')} AS embedding FROM embeddings")
 def _(spark, sf):
-    path = t.scratch(spark, "vectors")
+    path = scratch_path(spark, "vectors")
     rows = t.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
     tables.write_embeddings_json(rows, path)
     return spark.read.schema("id string, embedding array<double>").json(path).select("id", t.micro_text("embedding").alias("embedding"))
@@ -166,7 +167,7 @@ def _(spark, sf):
 
 @query("vocab_save", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 1000)}")
 def _(spark, sf):
-    path = t.scratch(spark, "vocab")
+    path = scratch_path(spark, "vocab")
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
     return tables.load_vocab(spark, path).select("feature", "token", "n", "idx")
@@ -174,7 +175,7 @@ def _(spark, sf):
 
 @query("vocab_load", f"WITH {FEATURE_TEXTS}, v AS ({sql_vocab('tokens', 1000)}) SELECT * FROM v WHERE feature = 'text'")
 def _(spark, sf):
-    path = t.scratch(spark, "vocab")
+    path = scratch_path(spark, "vocab")
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
     tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
     return tables.load_vocab(spark, path, "text").select("feature", "token", "n", "idx")
@@ -182,7 +183,7 @@ def _(spark, sf):
 
 @query("fs_ingest", watch.LATEST.format(where=""))
 def _(spark, sf):
-    path = t.scratch(spark, "features")
+    path = scratch_path(spark, "features")
     values = watch._values(spark, sf)
     half = F.lit(watch.HALF).cast("timestamp_ntz")
     fs.ingest(values.where(F.col("feature_ts") < half), path)
@@ -203,7 +204,7 @@ def _(spark, sf):
     UNION ALL SELECT 'run-' || lower(event_type), 'value_max', max(value) FROM events GROUP BY 1""",
 )
 def _(spark, sf):
-    path = t.scratch(spark, "runs")
+    path = scratch_path(spark, "runs")
     measured = t.table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value_max"))
     for row in measured.collect():
         tables.log_run(spark, path, f"run-{row.event_type.lower()}", "events", {"kind": row.event_type}, {"n": row.n, "value_max": row.value_max})
@@ -216,7 +217,7 @@ def _(spark, sf):
     "SELECT 'size' AS run, 'documents' AS metric, CAST(count(*) AS DOUBLE) AS value FROM documents UNION ALL SELECT 'size', 'chars', CAST(sum(n_chars) AS DOUBLE) FROM documents",
 )
 def _(spark, sf):
-    path = t.scratch(spark, "runs")
+    path = scratch_path(spark, "runs")
     row = t.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars")).first()
     tables.log_run(spark, path, "size", "corpus", {"table": "documents"}, {"documents": row.n, "chars": row.chars})
     tables.log_run(spark, path, "size", "elsewhere", {}, {"documents": -1})
@@ -230,8 +231,8 @@ def _stream(spark, sf):
 
 @query("stream_request_log", f"SELECT event_id, user_id, ts, event_type, value, props FROM events WHERE {md5_sql('event_id')} % 1000 < 800")
 def _(spark, sf):
-    path = t.scratch(spark, "log")
-    jobs.request_log(_stream(spark, sf), "event_id", 0.8, path, t.scratch(spark, "log-state")).awaitTermination()
+    path = scratch_path(spark, "log")
+    jobs.request_log(_stream(spark, sf), "event_id", 0.8, path, scratch_path(spark, "log-state")).awaitTermination()
     return spark.read.parquet(path)
 
 
@@ -245,10 +246,10 @@ def _(spark, sf):
     SELECT window_start, feature, kind, round({watch.DISTANCE}, 9) AS distance, {watch.DISTANCE} > 0.05 AS alert FROM j GROUP BY window_start, feature, kind""",
 )
 def _(spark, sf):
-    path = t.scratch(spark, "watch")
+    path = scratch_path(spark, "watch")
     base = monitor.histogram(watch.requests(spark, sf), watch.NUMERIC, watch.TEXT)
     stream = _stream(spark, sf).withColumn("k", F.get_json_object("props", "$.k").cast("double"))
-    jobs.stream_monitor(stream, base, "ts", watch.NUMERIC, watch.TEXT, path, t.scratch(spark, "watch-state")).awaitTermination()
+    jobs.stream_monitor(stream, base, "ts", watch.NUMERIC, watch.TEXT, path, scratch_path(spark, "watch-state")).awaitTermination()
     out = spark.read.parquet(path)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "feature", "kind", F.round("distance", 9).alias("distance"), "alert")
 

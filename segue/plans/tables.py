@@ -5,14 +5,11 @@ A customer is a list, its line items by ship date are the items: part = track, s
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segue.operators.sequence import positions
 from segue.operators.skew import heavy_keys
-from segue.session import checkpoint_dir
 
 ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -28,11 +25,6 @@ def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/segue/{name}-{uuid.uuid4().hex}"
-
-
 def raw_items(spark: SparkSession, sf: str) -> DataFrame:
     """(pid, track_id, artist_id, duration) and the order columns, without positions."""
     lines = table(spark, sf, "lineitem").select(*ORDER)

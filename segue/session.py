@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,6 +25,7 @@ def local_session(name: str = "segue", cores: str = "*", shuffle_partitions: int
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="segue-checkpoint-"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -42,3 +44,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared)
     return shared
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/segue/{name}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is used several times to the shared folder and read it back.
+
+    Later uses read just their columns and survive the loss of executors without computing the frame again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
