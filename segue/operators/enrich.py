@@ -36,14 +36,19 @@ def enrich_items(items: DataFrame, features: Mapping[str, DataFrame]) -> DataFra
     return items
 
 
+def clean_artists(artists: DataFrame) -> DataFrame:
+    """Artist features with the genre list parsed: once per artist, not once per item."""
+    return artists.withColumn("artist_genres", parse_genres("genres")).drop("genres")
+
+
 def clean_track_columns(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Candidate columns of an enriched track: blank text filled, numbers as doubles, genres parsed."""
+    """Candidate columns of an enriched track: blank text filled, numbers as doubles; genres as `clean_artists` left them."""
     texts = ["artist_name", "track_uri", "album_uri", "artist_uri", "track_name", "album_name"]
     columns: list[Column] = [F.col("pid"), F.col("pos").cast("bigint").alias("pos_can")]
     columns += [blank_to(c).alias(f"{c}_can") for c in texts]
     columns.append(as_double("duration_ms").alias("duration_ms_can"))
     columns += [null_to(as_double(c), 0.0).alias(f"{c}_can") for c in ("track_pop", "artist_pop")]
-    columns.append(parse_genres("genres").alias("artist_genres_can"))
+    columns.append(F.col("artist_genres").alias("artist_genres_can"))
     columns.append(null_to(as_double("followers"), 0.0).alias("artist_followers_can"))
     return items.select(*columns, *keep)
 

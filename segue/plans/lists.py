@@ -287,7 +287,7 @@ GENRES = """CASE WHEN split_part(substr(genres, 2, length(genres) - 2), ',', 1)
 
 
 def _enriched(spark, sf, heavy, audio_columns=False):
-    """Items with track and artist features. Tables of one key are joined to each other first, so the items are
+    """Items with track and artist features; for examples also the audio columns, and genres as text. Tables of one key are joined to each other first, so the items are
     joined once per key, and all of it comes before the positions."""
     keys = t.raw_items(spark, sf).withColumns(
         {"track_uri": F.col("track_id").cast("string"), "artist_uri": F.col("artist_id").cast("string")}
@@ -299,7 +299,10 @@ def _enriched(spark, sf, heavy, audio_columns=False):
     track = named.join(t.audio(spark, sf).select("track_uri", "track_pop"), "track_uri")
     if audio_columns:
         track = track.join(examples.fill_audio(t.audio(spark, sf)).withColumnRenamed("track_uri_can", "track_uri"), "track_uri")
-    rows = enrich.enrich_items(keys, {"track_uri": track, "artist_uri": t.artists(spark, sf)})
+    artists = enrich.clean_artists(t.artists(spark, sf))
+    if audio_columns:
+        artists = artists.withColumn("artist_genres", join_genres("artist_genres"))
+    rows = enrich.enrich_items(keys, {"track_uri": track, "artist_uri": artists})
     return S.positions(rows.withColumnRenamed("duration", "duration_ms"), "pid", t.ORDER, heavy=heavy)
 
 
@@ -322,7 +325,7 @@ def example_items(spark, sf, heavy):
     """Items with every candidate column of the example schema."""
     rows = _enriched(spark, sf, heavy, audio_columns=True)
     base = enrich.clean_track_columns(rows, [f"{c}_can" for c in [*AUDIO_EXAMPLE_REALS, *AUDIO_EXAMPLE_TEXTS]])
-    return base.withColumn("artist_genres_can", join_genres("artist_genres_can")).withColumnRenamed("pos_can", "pos")
+    return base.withColumnRenamed("pos_can", "pos")
 
 
 def rank_examples(spark, sf):

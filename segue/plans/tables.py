@@ -18,16 +18,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf: str, name: str, *by: str, columns: list[str] | None = None) -> DataFrame:
     """A table for costly row work: a small one in few files is spread over all cores, a large one is left as it is."""
     rows = table(spark, sf, name)
+    rows = rows.select(*columns) if columns else rows
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def raw_items(spark: SparkSession, sf: str) -> DataFrame:
     """(pid, track_id, artist_id, duration) and the order columns, without positions."""
-    lines = table(spark, sf, "lineitem").select(*ORDER)
+    lines = spread_table(spark, sf, "lineitem", "l_orderkey", columns=ORDER)
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("pid"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
@@ -163,11 +164,13 @@ def lists(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_of(values: Column | str) -> Column:
     """An array as comma-separated text, for results that are compared as text."""
-    return F.array_join(F.transform(values, lambda v: v.cast("string")), ",")
+    values = F.col(values) if isinstance(values, str) else values
+    return F.array_join(values.cast("array<string>"), ",")
 
 
 def whole_text(values: Column | str) -> Column:
-    return F.array_join(F.transform(values, lambda v: v.cast("bigint").cast("string")), ",")
+    values = F.col(values) if isinstance(values, str) else values
+    return F.array_join(values.cast("array<bigint>").cast("array<string>"), ",")
 
 
 def micro_text(values: Column | str) -> Column:
