@@ -66,14 +66,18 @@ def lookup_arrays(df: DataFrame, row_id: str, keys: str, table: DataFrame, key:
     return df.join(named, row_id)
 
 
-def distinct_candidates(samples: DataFrame, audio: DataFrame, key: str, columns: Sequence[str], defaults: Mapping[str, object]) -> DataFrame:
+def distinct_candidates(
+    samples: DataFrame, audio: DataFrame, key: str, columns: Sequence[str], defaults: Mapping[str, object], per_key: bool = False,
+) -> DataFrame:
     """The candidate catalogue: distinct rows of the sampled tracks with their audio columns.
 
-    Tracks are made distinct before the join, so the join sees each of them once.
+    A track whose columns differ from sample to sample keeps several rows; `per_key` keeps the first of them in
+    column order. Tracks are made distinct before the join, so the join sees each of them once.
     """
     tracks = samples.select(*columns).distinct()
     filled = audio.select(key, *[null_to(c, d).alias(c) for c, d in defaults.items()]).distinct()
-    return tracks.join(filled, key).distinct()
+    found = tracks.join(filled, key).distinct()
+    return one_per_key(found, key, found.columns) if per_key else found
 
 
 def missing_keys(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:

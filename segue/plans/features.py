@@ -129,10 +129,10 @@ def sql_vocab(source: str, k: int) -> str:
       FROM {source} GROUP BY feature, token) WHERE r <= {k - 2}"""
 
 
-@query("vocab_adapt", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 2000)}")
+@query("vocab_adapt", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 20000)}")
 def _(spark, sf):
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
-    return vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=2000)
+    return vocab.fit_vocab(rows, ["text", "role", "parts"])
 
 
 NAME_VOCAB = f"""name_words AS (SELECT p_partkey, {sql_words('p_name')} AS w FROM part),
@@ -174,14 +174,14 @@ def _(spark, sf):
 
 @query(
     "merge_vocabs",
-    f"""WITH {FEATURE_TEXTS}, a AS ({sql_vocab('tokens', 500)}), {DOC_GRAMS.replace('words AS', 'dwords AS').replace('FROM words', 'FROM dwords')},
-    b AS ({sql_vocab("(SELECT 'text' AS feature, unnest(g) AS token FROM grams)", 300)})
+    f"""WITH {FEATURE_TEXTS}, a AS ({sql_vocab('tokens', 20000)}), {DOC_GRAMS.replace('words AS', 'dwords AS').replace('FROM words', 'FROM dwords')},
+    b AS ({sql_vocab("(SELECT 'text' AS feature, unnest(g) AS token FROM grams)", 10000)})
     SELECT * FROM a WHERE feature NOT IN (SELECT feature FROM b) UNION ALL SELECT * FROM b""",
 )
 def _(spark, sf):
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
-    first = vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=500)
-    second = vocab.fit_vocab(t.spread_table(spark, sf, "documents"), ["text"], max_tokens=300)
+    first = vocab.fit_vocab(rows, ["text", "role", "parts"])
+    second = vocab.fit_vocab(t.spread_table(spark, sf, "documents"), ["text"], max_tokens=10_000)
     return vocab.merge_vocabs(first, second)
 
 

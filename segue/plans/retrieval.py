@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segue.functions import vectors as V
 from segue.functions.scalars import hash_bin
 from segue.operators import evaluate, neighbors, retrieval
+from segue.operators.sampling import split_by_mod
 from segue.plans import lists
 from segue.plans import tables as t
 from segue.plans.basics import md5_sql
@@ -73,18 +74,20 @@ def _(spark, sf):
 
 @query(
     "drop_nan_vectors",
-    """SELECT vec_id, label FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CASE WHEN vec_id % 7 = 0 AND x > 0.2 THEN 'nan'::DOUBLE ELSE x::DOUBLE END) AS v FROM embeddings)
+    """SELECT vec_id, label FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CASE WHEN x::DOUBLE > 0.3::DOUBLE THEN 'nan'::DOUBLE ELSE x::DOUBLE END) AS v FROM embeddings)
     WHERE NOT list_bool_or(list_transform(v, lambda x: isnan(x)))""",
 )
 def _(spark, sf):
     # Some large values are spoilt first, as the given vectors are clean.
-    spoilt = F.transform("embedding", lambda x: F.when((F.col("vec_id") % 7 == 0) & (x > F.lit(0.2).cast("float")), F.lit(float("nan"))).otherwise(x.cast("double")))
+    spoilt = F.transform("embedding", lambda x: F.when(x.cast("double") > 0.3, F.lit(float("nan"))).otherwise(x.cast("double")))
     rows = t.table(spark, sf, "embeddings").select("vec_id", "label", spoilt.alias("v"))
     return rows.where(~V.has_nan("v")).select("vec_id", "label")
 
 
-def _leaves(spark, sf, leaf_size=25):
-    return neighbors.build_leaves(vectors(spark, sf), leaf_size=leaf_size)
+def _leaves(spark, sf, parts=20):
+    """Leaves of 500 vectors, or about `parts` leaves where there are fewer vectors."""
+    rows = vectors(spark, sf)
+    return neighbors.build_leaves(rows, leaf_size=min(500, max(1, rows.count() // parts)))
 
 
 @query("ann_build_index")
@@ -109,7 +112,7 @@ def _(spark, sf):
 def _(spark, sf):
     all_vectors = vectors(spark, sf)
     asked = all_vectors.withColumnRenamed("id", "query")
-    return neighbors.search_rerank(_leaves(spark, sf, 10), asked, all_vectors, 10, reorder=100, leaves=30, skip_self=True)
+    return neighbors.search_rerank(_leaves(spark, sf, 50), asked, all_vectors, 10, reorder=500, leaves=30, skip_self=True)
 
 
 SHORT = f"""short AS (
@@ -287,8 +290,9 @@ def _(spark, sf):
 @query("train_ranker")
 def _(spark, sf):
     rows = _rank_rows(spark, sf)
-    model = retrieval.fit_ranker(rows.where("pid % 100 <> 0"), RANK_FEATURES, iterations=3, depth=3)
-    scored = retrieval.with_predictions(model, rows.where("pid % 100 = 0"))
+    train, valid = split_by_mod(rows, "pid")
+    model = retrieval.fit_ranker(train, RANK_FEATURES, iterations=3, depth=3)
+    scored = retrieval.with_predictions(model, valid)
     return evaluate.rmse(scored, "label", "prediction")
 
 

@@ -134,16 +134,18 @@ def _(spark, sf):
 
 @query(
     "tfrecord_sink",
-    f"""WITH {TRACKS}, h AS (SELECT pid, pos, track_uri, list(track_uri) {lists.HIST} AS p, list(duration_ms) {lists.HIST} AS d FROM tracks)
-    SELECT track_uri AS track_uri_can, c_name AS pl_name_src, array_to_string(p, ',') AS track_uri_pl, {t.sql_whole('d')} AS duration_ms_songs_pl
-    FROM h JOIN customer ON pid = c_custkey WHERE len(p) = {lists.N} AND pid % 100 = 0""",
+    f"""WITH {TRACKS}, {t.ARTISTS}, {t.AUDIO} SELECT DISTINCT tracks.track_uri AS track_uri_can, track_name AS track_name_can, artist_name AS artist_name_can,
+      CAST(tracks.duration_ms AS DOUBLE) AS duration_ms_can, CAST(energy AS FLOAT)::DOUBLE AS track_energy_can
+    FROM tracks JOIN artists ON tracks.artist_uri = artists.artist_uri JOIN audio ON tracks.track_uri = audio.track_uri WHERE pos > 0""",
 )
 def _(spark, sf):
     spark.dataSource.register(TFRecordSource)
     path = scratch_path(spark, "shards")
-    valid = lists.rank_examples(spark, sf).where("pid % 100 = 0")
-    ex.encode(valid, feature_set("rank")).repartition(tables.shard_count(500, 250)).write.format("tfrecord").mode("append").save(path)
-    return _shown(spark.read.format("tfrecord").schema(example_type(feature_set("rank"))).load(path))
+    features = feature_set("candidate")
+    ex.encode(_catalogue(spark, sf), features).repartition(tables.shard_count(400, 50)).write.format("tfrecord").mode("append").save(path)
+    read = spark.read.format("tfrecord").schema(example_type(features)).load(path)
+    reals = [F.col(c).cast("double").alias(c) for c in ("duration_ms_can", "track_energy_can")]
+    return read.select("track_uri_can", "track_name_can", "artist_name_can", *reals)
 
 
 @query("scan_by_suffix", "SELECT p_brand, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1")
@@ -151,7 +153,7 @@ def _(spark, sf):
     path = scratch_path(spark, "mixed")
     rows = t.table(spark, sf, "part").select("p_brand", "p_partkey")
     rows.write.mode("overwrite").parquet(path)
-    rows.limit(5).write.mode("append").json(path)
+    rows.write.mode("append").json(path)
     found = slices.scan_by_suffix(spark, path, ".parquet")
     paths = [row.path for row in found.select("path").collect()]
     return spark.read.parquet(*paths).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
@@ -165,19 +167,19 @@ def _(spark, sf):
     return spark.read.schema("id string, embedding array<double>").json(path).select("id", t.micro_text("embedding").alias("embedding"))
 
 
-@query("vocab_save", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 1000)}")
+@query("vocab_save", f"WITH {FEATURE_TEXTS} {sql_vocab('tokens', 20000)}")
 def _(spark, sf):
     path = scratch_path(spark, "vocab")
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
-    tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
+    tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"]), path)
     return tables.load_vocab(spark, path).select("feature", "token", "n", "idx")
 
 
-@query("vocab_load", f"WITH {FEATURE_TEXTS}, v AS ({sql_vocab('tokens', 1000)}) SELECT * FROM v WHERE feature = 'text'")
+@query("vocab_load", f"WITH {FEATURE_TEXTS}, v AS ({sql_vocab('tokens', 20000)}) SELECT * FROM v WHERE feature = 'text'")
 def _(spark, sf):
     path = scratch_path(spark, "vocab")
     rows = t.spread_table(spark, sf, "conversations").withColumn("parts", F.split("text", "\n"))
-    tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"], max_tokens=1000), path)
+    tables.save_vocab(vocab.fit_vocab(rows, ["text", "role", "parts"]), path)
     return tables.load_vocab(spark, path, "text").select("feature", "token", "n", "idx")
 
 

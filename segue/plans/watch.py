@@ -173,17 +173,15 @@ def _(spark, sf):
 
 @query(
     "fs_point_in_time",
-    """WITH q AS (SELECT o_orderkey, o_custkey, CAST(o_custkey % 150 AS VARCHAR) AS user_id, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 37 % 2592000) AS at FROM orders)
-    SELECT q.o_orderkey, q.user_id, q.at, e.ts AS feature_ts, e.value, e.event_type AS kind
-    FROM q ASOF LEFT JOIN (SELECT *, CAST(user_id AS VARCHAR) AS uid FROM events) e ON q.user_id = e.uid AND q.at >= e.ts""",
+    """SELECT q.event_id, CAST(q.user_id AS VARCHAR) AS user_id, q.ts AS at, e.ts AS feature_ts, e.value, e.event_type AS kind
+    FROM (SELECT * FROM events WHERE event_type = 'purchase') q
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'purchase') e ON q.user_id = e.user_id AND q.ts >= e.ts""",
 )
 def _(spark, sf):
-    offset = F.expr("make_dt_interval(0, 0, 0, cast(o_orderkey * 37 % 2592000 as int))")
-    asked = t.table(spark, sf, "orders").select(
-        "o_orderkey", (F.col("o_custkey") % 150).cast("string").alias("user_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + offset).alias("at")
-    )
-    return fs.point_in_time(asked, _values(spark, sf), "user_id", "at", "feature_ts", ["value", "kind"])
-
+    # What was known of the user at each purchase: the values of the latest other event.
+    rows = requests(spark, sf)
+    asked = rows.where("event_type = 'purchase'").select("event_id", F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("at"))
+    return fs.point_in_time(asked, _values(spark, sf).where("kind <> 'purchase'"), "user_id", "at", "feature_ts", ["value", "kind"])
 
 
 @query(
