@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segue.session import ship_package
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,7 +23,11 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
-        QUERIES[name] = Query(run, sql)
-        return run
+        def shipped(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, sf)
+
+        QUERIES[name] = Query(shipped, sql)
+        return shipped
 
     return add

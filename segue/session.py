@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that its functions can run in their Python workers."""
+    context = spark.sparkContext
+    if any(name.endswith("/segue.zip") for name in context.listFiles):
+        return
+    package = Path(__file__).resolve().parent
+    base = f"{tempfile.mkdtemp(prefix='segue-package-')}/segue"
+    context.addPyFile(shutil.make_archive(base, "zip", root_dir=package.parent, base_dir=package.name))
