@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.llm import bpe, mixing, quality, token_counts, token_files
+from segue.llm import bpe, mixing, quality, simhash, token_counts, token_files
 from segue.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = quality.train(docs, labels, metadata=["n_chars"])
     return quality.classify(docs, model, metadata=["n_chars"])
+
+
+@query("op6_simhash_vantage")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf, "documents"))
