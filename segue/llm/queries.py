@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.llm import bpe, mixing, quality, simhash, token_counts, token_files
+from segue.llm import bpe, grid_order, hamming_search, mixing, quality, simhash, token_counts, token_files
 from segue.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,27 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_simhash_vantage")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf, "documents"))
+
+
+CODES_SQL = """
+WITH codes AS (
+  SELECT vec_id AS id, list_reduce([0::UBIGINT] || [CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)) ELSE 0::UBIGINT END
+    FOR i IN range(1, 65)], lambda a, b: a | b) AS code FROM embeddings WHERE embedding IS NOT NULL),
+ranked AS (
+  SELECT q.id AS query_id, r.id AS neighbor_id, bit_count(xor(q.code, r.code))::BIGINT AS distance,
+         row_number() OVER (PARTITION BY q.id ORDER BY bit_count(xor(q.code, r.code)), r.id)::INTEGER AS rank
+  FROM codes q JOIN codes r ON q.id <> r.id WHERE q.id % 100 = 0)
+SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op7_multi_index_hashing", CODES_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    codes = vectors.select(F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    return hamming_search.hamming_top_k(codes, codes.where("id % 100 = 0"), k=10)
+
+
+@query("op4_grid_order_embeddings")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return grid_order.link_embeddings(table(spark, sf, "embeddings"))
