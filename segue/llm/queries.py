@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.llm import bpe, grid_order, hamming_search, mixing, quality, simhash, token_counts, token_files
+from segue.llm import bpe, grid_order, hamming_search, line_dedup, mixing, quality, simhash, token_counts, token_files
 from segue.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,38 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_grid_order_embeddings")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return grid_order.link_embeddings(table(spark, sf, "embeddings"))
+
+
+NEAR_LINES_SQL = """
+raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
+        FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, no, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS line FROM raw),
+firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'no': no}) AS place FROM lines WHERE line <> '' GROUP BY line),
+halves AS (
+  SELECT DISTINCT line, n, place, side || CASE side WHEN 'l' THEN left(line, (n + more) // 2) ELSE right(line, (n + more) // 2) END AS k
+  FROM firsts, (VALUES ('l'), ('r')) s(side), (VALUES (0), (1)) e(more) WHERE n >= 16),
+pairs AS (
+  SELECT DISTINCT a.line AS line, b.line AS other, a.n AS n, b.n AS m FROM halves a JOIN halves b USING (k)
+  WHERE b.place < a.place AND abs(a.n - b.n) <= 1),
+near AS (
+  SELECT DISTINCT line FROM pairs
+  WHERE len(list_filter(range(0, greatest(n, m)), lambda i: left(line, i) = left(other, i)
+    AND right(line, greatest(0, n - i - (n >= m)::INT)) = right(other, greatest(0, m - i - (m >= n)::INT)))) > 0),
+kept AS (
+  SELECT l.doc_id, l.no FROM lines l JOIN firsts f ON l.line = f.line AND f.place = {'d': l.doc_id, 'no': l.no}
+  WHERE l.line NOT IN (SELECT line FROM near)),
+left_over AS (
+  SELECT l.doc_id, string_agg(l.raw, chr(10) ORDER BY l.no) AS text, count(*) AS n FROM lines l
+  LEFT JOIN kept k USING (doc_id, no) WHERE l.line = '' OR k.no IS NOT NULL GROUP BY 1),
+totals AS (SELECT doc_id, count(*) AS n_lines FROM raw GROUP BY 1)
+"""
+
+LINE_DEDUP_SQL = "WITH " + NEAR_LINES_SQL + """
+SELECT t.doc_id, t.n_lines::INTEGER AS n_lines, (t.n_lines - coalesce(o.n, 0))::INTEGER AS n_removed, coalesce(o.text, '') AS text
+FROM totals t LEFT JOIN left_over o USING (doc_id)
+"""
+
+
+@query("op1_line_dedup", LINE_DEDUP_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents"), report=True)
