@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from segue.llm.words import encode_words, list_parts, words_of
+from segue.llm.words import encoded_lengths, words_of
 
 BIN = 512
 
@@ -25,11 +24,7 @@ def length_histogram(docs: DataFrame, tokenizer_path: str, text: str = "text", b
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, sizes = list_parts(batch.column(batch.num_columns - 1))
-            coded = values.dictionary_encode()
-            _, counts = encode_words(tokenizer_path, coded.dictionary.to_pylist())
-            ends = np.concatenate(([0], np.cumsum(counts[np.asarray(coded.indices)])))
-            lengths = np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))])
+            lengths = encoded_lengths(tokenizer_path, batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lengths, pa.int64())], names=names)
 
     keys = [F.col(name).alias(f"by_{i}") for i, name in enumerate(by)]

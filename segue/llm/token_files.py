@@ -63,7 +63,8 @@ def unpack(words: np.ndarray, bits: int, count: int) -> np.ndarray:
 def to_bytes(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
     """One file. `block` is a multiple of 64, so that blocks pack alone as they do together."""
     blocks = -(-len(ids) // block)
-    data = pack(ids, bits)
+    step = 128 * block
+    data = np.concatenate([np.empty(0, np.uint64), *(pack(ids[i : i + step], bits) for i in range(0, len(ids), step))])
     header = np.array([(bits, block, len(sizes), len(ids), blocks)], dtype=HEADER)
     offsets = np.minimum(np.arange(blocks + 1, dtype=np.uint64) * np.uint64(block // 64 * bits * 8), np.uint64(data.nbytes))
     present = np.asarray(doc_ids.is_valid()).astype(np.uint8)
@@ -136,7 +137,7 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=manifest)
 
         for batch in batches:
-            for piece in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+            for piece in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
                 ids, sizes = encode_lists(tokenizer_path, piece.column(1))
                 if end_id is not None:
                     ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
@@ -148,7 +149,8 @@ def write_token_files(
             yield flush()
 
     manifest = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-    ordered = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).orderBy("key", "text")
+    ordered = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    ordered = ordered.repartitionByRange("key").sortWithinPartitions("key", "text")
     rows = ordered.select("key", words_of(F.col("text")).alias("words"))
     written = rows.mapInArrow(save, "part bigint, number bigint, name string, n_docs bigint, n_ids bigint")
     written.write.parquet(f"{path}/manifest")

@@ -13,6 +13,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,10 +45,44 @@ def tokenizer(path: str):
 
 def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words one after another, number of ids of each word)."""
-    found = tokenizer(path).encode_batch_fast(words, add_special_tokens=False)
-    counts = np.fromiter((len(x) for x in found), dtype=np.int64, count=len(found))
-    ids = np.fromiter(chain.from_iterable(x.ids for x in found), dtype=np.uint32, count=int(counts.sum()))
-    return ids, counts
+    ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    for first in range(0, len(words), 8192):  # an encoding holds far more than its ids
+        found = tokenizer(path).encode_batch_fast(words[first : first + 8192], add_special_tokens=False)
+        counts.append(np.fromiter((len(x) for x in found), dtype=np.int64, count=len(found)))
+        ids.append(np.fromiter(chain.from_iterable(x.ids for x in found), dtype=np.uint32, count=int(counts[-1].sum())))
+    return np.concatenate(ids), np.concatenate(counts)
+
+
+class KnownWords:
+    """The words that a worker process has met first, with their ids: a bounded table, so later texts mostly look up."""
+
+    LIMIT, LONGEST = 1 << 19, 32
+
+    def __init__(self, path: str):
+        self.path, self.words = path, pa.array([], pa.string())
+        self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, counts, place): word i has the ids of entry place[i] of a table given by its ids and their counts."""
+        place = pc.index_in(words, value_set=self.words)
+        unknown = words.filter(place.is_null())
+        new_ids, new_counts = encode_words(self.path, unknown.to_pylist())
+        ids, counts = np.concatenate([self.ids, new_ids]), np.concatenate([self.counts, new_counts])
+        missing = np.asarray(place.is_null())
+        place = np.asarray(place.fill_null(0)).astype(np.int64)
+        place[missing] = len(self.words) + np.arange(int(missing.sum()))
+        room = self.LIMIT - len(self.words)
+        short = np.flatnonzero(np.asarray(pc.binary_length(unknown)) <= self.LONGEST)[: max(0, room)]
+        if len(short):
+            self.ids = np.concatenate([self.ids, spread(new_ids, new_counts, short)])
+            self.counts = np.concatenate([self.counts, new_counts[short]])
+            self.words = pa.concat_arrays([self.words, unknown.take(pa.array(short))])
+        return ids, counts, place
+
+
+@lru_cache(maxsize=2)
+def known_words(path: str) -> KnownWords:
+    return KnownWords(path)
 
 
 def spread(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -66,12 +101,23 @@ def list_parts(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), sizes
 
 
+def edges_of(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where each text's ids begin and the last ends, from the number of ids of each word and of words of each text."""
+    return np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(sizes)))]
+
+
 def encode_lists(path: str, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after another, number of ids of each text) for lists of words."""
     values, sizes = list_parts(lists)
     coded = values.dictionary_encode()
-    codes = np.asarray(coded.indices)
-    ids, counts = encode_words(path, coded.dictionary.to_pylist())
-    ends = np.concatenate(([0], np.cumsum(counts[codes])))
-    edges = np.concatenate(([0], np.cumsum(sizes)))
-    return spread(ids, counts, codes), np.diff(ends[edges])
+    ids, counts, place = known_words(path).find(coded.dictionary)
+    place = place[np.asarray(coded.indices)]
+    return spread(ids, counts, place), np.diff(edges_of(counts[place], sizes))
+
+
+def encoded_lengths(path: str, lists: pa.Array) -> np.ndarray:
+    """The number of ids of each text, for lists of words."""
+    values, sizes = list_parts(lists)
+    coded = values.dictionary_encode()
+    _, counts, place = known_words(path).find(coded.dictionary)
+    return np.diff(edges_of(counts[place[np.asarray(coded.indices)]], sizes))
