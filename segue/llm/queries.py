@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.llm import bpe, grid_order, hamming_search, line_dedup, mixing, quality, simhash, token_counts, token_files
+from segue.llm import bpe, grid_order, hamming_search, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, token_files
 from segue.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,9 @@ FROM totals t LEFT JOIN left_over o USING (doc_id)
 @query("op1_line_dedup", LINE_DEDUP_SQL)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf, "documents"), report=True)
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
