@@ -104,15 +104,15 @@ class TokenFile:
 
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int | None = 0,
-    vocabulary: int = 50257, shard_ids: int = SHARD_IDS,
+    vocabulary: int = 50257, shard_ids: int = SHARD_IDS, step: int = 1000,
 ) -> DataFrame:
     """Encode the texts and write them in ascending order of `key`; returns the manifest, which is kept beside them.
 
     NULL texts and empty texts give just the end id (or nothing, without one). NULL keys come first; rows that repeat a
     key are ordered by their text. Other columns are not read. An empty table gives no files and an empty manifest.
 
-    Rows are dealt by ranges of the key, and a task cuts its rows in files of about `shard_ids` ids, so memory does not
-    grow with the range. A file's name holds the attempt that wrote it, and only the files of attempts that Spark has
+    Rows are dealt by ranges of the key, and a task cuts its rows in files of about `shard_ids` ids, encoding
+    `step` texts at a time, so memory does not grow with the range. A file's name holds the attempt that wrote it, and only the files of attempts that Spark has
     accepted are in the manifest: a lost executor leaves at most files that no reader looks at.
     """
     from pyarrow import fs
@@ -137,7 +137,7 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=manifest)
 
         for batch in batches:
-            for piece in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            for piece in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
                 ids, sizes = encode_lists(tokenizer_path, piece.column(1))
                 if end_id is not None:
                     ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
