@@ -111,12 +111,17 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _sound(df: DataFrame) -> DataFrame:
+    """Rows whose vector can be scored: not NULL, and without NULL or NaN among its numbers."""
+    return df.where(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x)))
+
+
 def _queries(df: DataFrame, id_col: str, vec: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("bigint").alias("query"), F.col(vec).cast("array<double>").alias("vector"))
+    return _sound(df.select(F.col(id_col).cast("bigint").alias("query"), F.col(vec).cast("array<double>").alias("vector")))
 
 
 def _items(df: DataFrame, id_col: str, vec: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("vector"))
+    return _sound(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("vector")))
 
 
 def knn(
@@ -132,7 +137,8 @@ def knn(
 ) -> DataFrame:
     """Exact k best by dot product: (query, id, score, rank), scores to 9 digits, ties by id.
 
-    Ids are whole numbers; number other ids with `dense_index` first.
+    Ids are whole numbers; number other ids with `dense_index` first. Vectors that are NULL or hold NULL or NaN
+    neither ask nor are found.
     """
     found = _grid(
         _queries(queries, query_id, vec),
@@ -160,11 +166,11 @@ def count_better(
             better = np.concatenate([(s > true[i : i + len(s), None]).sum(axis=1) for i, s in strips])
         return pa.table({"query": pa.array(ids, pa.int64()), "better": pa.array(better, pa.int64())})
 
-    left = queries.select(
+    left = _sound(queries.select(
         F.col(query_id).cast("bigint").alias("query"),
         F.col(vec).cast("array<double>").alias("vector"),
         F.col(true_score).cast("double").alias("true_score"),
-    )
+    ))
     found = _grid(left, _items(items, item_id, vec), block, cell, "query bigint, better bigint")
     return found.groupBy("query").agg(F.sum("better").alias("better"))
 
@@ -199,8 +205,7 @@ def build_leaves(
     the centres small enough to send to each task. The placed vectors are written out, partitioned by leaf if a
     `path` is given, so that searches do not place them again.
     """
-    base = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("vector"))
-    base = base.withColumn("features", array_to_vector("vector"))
+    base = _items(items, item_id, vec).withColumn("features", array_to_vector("vector"))
     n = base.count()
     leaves = min(max_leaves, max(1, math.ceil(n / leaf_size)))
     share = min(1.0, fit_rows_per_leaf * leaves / max(n, 1))
@@ -216,15 +221,18 @@ def build_leaves(
     return LeafIndex(np.array(model.clusterCenters()), sizes, placed)
 
 
-def assign_leaves(queries: DataFrame, index: LeafIndex, count: int) -> DataFrame:
-    """(query, vector, leaf): the `count` leaves with the best centre for each query."""
+def assign_leaves(queries: DataFrame, index: LeafIndex, count: int, enough: int = 1) -> DataFrame:
+    """(query, vector, leaf): the `count` leaves with the best centre for each query, and further ones in that order
+    until they hold `enough` items together."""
     centres = index.centroids
     count = min(count, len(centres))
+    sizes = np.array([index.leaf_rows.get(leaf, 0) for leaf in range(len(centres))])
 
     @F.pandas_udf("array<int>")
     def best(vectors: pd.Series) -> pd.Series:
-        scores = np.stack(vectors.to_numpy()) @ centres.T
-        return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :count].astype(np.int32)))
+        order = np.argsort(-(np.stack(vectors.to_numpy()) @ centres.T), axis=1, kind="stable").astype(np.int32)
+        needed = 1 + (np.cumsum(sizes[order], axis=1) < enough).sum(axis=1)
+        return pd.Series([row[:n] for row, n in zip(order, np.maximum(count, needed))])
 
     return queries.withColumn("leaf", F.explode(best("vector")))
 
@@ -243,22 +251,21 @@ def search_leaves(
 ) -> DataFrame:
     """Approximate k best: score only the items in the best leaves of each query.
 
-    `leaf_pct` percent of the leaves are searched, at least one, or `leaves` if given. A leaf with more than
-    `block` items is cut into blocks, and so are the queries, so a leaf that holds a third of all vectors is many
-    tasks. `quantize` scores 8-bit copies of the vectors, for a first pass that is rescored later.
+    `leaf_pct` percent of the leaves are searched, at least one, or `leaves` if given; more where these hold too few
+    items for k results. A leaf with more than `block` items is cut into blocks, and so are the queries that ask it,
+    by their own number, so a leaf that holds a third of all vectors is many tasks and a leaf that few ask is copied
+    for few. `quantize` scores 8-bit copies of the vectors, for a first pass that is rescored later.
     """
-    spark = queries.sparkSession
     count = leaves or max(1, math.ceil(index.leaves * leaf_pct / 100.0))
     asked = _queries(queries, query_id, vec)
-    nq = _block_count(asked, block)
-    pieces = {leaf: max(1, math.ceil(rows / block)) for leaf, rows in index.leaf_rows.items()}
-    table = spark.createDataFrame(list(pieces.items()), "leaf int, _pieces int")
-    left = assign_leaves(asked, index, count).join(F.broadcast(table), "leaf")
-    left = left.withColumn("_q", F.pmod(F.xxhash64("query"), F.lit(nq)).cast("int"))
-    left = left.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
-    right = index.items.join(F.broadcast(table), "leaf")
-    right = right.withColumn("_i", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int")).drop("_pieces")
-    right = right.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    assigned = assign_leaves(asked, index, count, k + int(skip_self))
+    blocks = lambda rows: F.ceil(rows / F.lit(block)).cast("int")
+    held = index.items.groupBy("leaf").agg(blocks(F.count(F.lit(1))).alias("_pieces"))
+    table = assigned.groupBy("leaf").agg(blocks(F.count(F.lit(1))).alias("_asking")).join(held, "leaf")
+    left = assigned.join(table, "leaf").withColumn("_q", F.pmod(F.xxhash64("query"), F.col("_asking")).cast("int"))
+    left = left.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).select("query", "vector", "leaf", "_q", "_i")
+    right = index.items.join(table, "leaf").withColumn("_i", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int"))
+    right = right.withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_asking") - 1))).select("id", "vector", "leaf", "_q", "_i")
     cell = _top_cell(k, skip_self)
 
     def short(q: pa.Table, c: pa.Table) -> pa.Table:

@@ -204,6 +204,14 @@ def chunk_lists(df: DataFrame, pid: str, pos: str, fields: Sequence[str], out: s
     return placed.groupBy(pid, "chunk").agg(F.array_sort(F.collect_list(item)).alias(out))
 
 
+def sorted_chunks(
+    df: DataFrame, pid: str, order: Sequence[str], fields: Sequence[str], out: str = "tracks", chunk: int = CHUNK, heavy: Sequence | None = None
+) -> DataFrame:
+    """Lists sorted by other columns than their position: the rows of a list, one after another, are in one order."""
+    ranked = positions(df, pid, order, "rank", heavy=heavy)
+    return chunk_lists(ranked, pid, "rank", fields, out, chunk)
+
+
 def unchunk_lists(df: DataFrame, out: str = "tracks") -> DataFrame:
     """Flat rows again, the inverse of `chunk_lists`."""
     return df.drop("chunk").select("*", F.inline(out)).drop(out)

@@ -17,7 +17,6 @@ from segue.session import stash
 
 HEAVY_ROWS = 1_000_000
 MAX_HEAVY = 10_000
-SMALL_ROWS = 1_000_000
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, limit: int = MAX_HEAVY) -> list:
@@ -91,31 +90,15 @@ def hash_rank(df: DataFrame, key: str, seed: int = 42, digits: int = 4, rank: st
     return ranked.withColumn(rank, F.col("_before") + F.col("_r")).drop("_h", "_bin", "_n", "_before", "_r")
 
 
-def dense_index(df: DataFrame, col: str, index: str = "idx", start: int = 0, pieces: int = 256) -> DataFrame:
+def dense_index(df: DataFrame, col: str, index: str = "idx", start: int = 0) -> DataFrame:
     """Index of each value in sorted order; `df` holds distinct values.
 
-    A small table (checked) is numbered by one window. A larger one is cut at sampled values, numbered inside
-    each piece and shifted by the piece offsets; the sample only decides how even the pieces are.
+    Values are dealt by range, numbered inside their range and shifted by the sizes of the ranges before it, so the work
+    of a task is a range, whose size the shuffle settings bound. The dealt values are written out, as they are used twice.
     """
-    if fits(df, SMALL_ROWS):
-        return df.withColumn(index, F.row_number().over(W.partitionBy(F.lit(0)).orderBy(col)) + F.lit(start - 1))
-    return index_by_pieces(df, col, index, start, pieces)
-
-
-def index_by_pieces(df: DataFrame, col: str, index: str, start: int, pieces: int) -> DataFrame:
-    """The large form of `dense_index`. The values are used four times, so they are written out first."""
-    df = stash(df, "values")
-    rows = df.count()
-    share = min(1.0, pieces * 40 / max(rows, 1))
-    sample = df.select(col).where(F.pmod(F.xxhash64(col), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    seen = sorted(row[0] for row in sample.limit(pieces * 80).collect() if row[0] is not None)
-    cuts = sorted({seen[len(seen) * i // pieces] for i in range(1, pieces)}) if seen else []
-    kind = df.schema[col].dataType
-    bounds = F.array(*[F.lit(c).cast(kind) for c in cuts]) if cuts else F.array().cast("array<string>")
-    piece = F.when(F.col(col).isNull(), F.lit(-1)).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col(col))))
-    placed = df.withColumn("_piece", piece)
+    placed = stash(df.repartitionByRange(col).withColumn("_piece", F.spark_partition_id()), "values")
     counts = placed.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
     offsets = running_offsets(counts, [], "_piece", "_n", "_before").drop("_n")
     inside = F.row_number().over(W.partitionBy("_piece").orderBy(col))
-    placed = placed.withColumn("_r", inside).join(F.broadcast(offsets), "_piece")
-    return placed.withColumn(index, F.col("_before") + F.col("_r") + F.lit(start - 1)).drop("_piece", "_before", "_r")
+    numbered = placed.withColumn("_r", inside).join(offsets, "_piece")
+    return numbered.withColumn(index, (F.col("_before") + F.col("_r") + F.lit(start - 1)).cast("bigint")).drop("_piece", "_before", "_r")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,50 +73,31 @@ def string_lookup(df: DataFrame, col: str, vocab: DataFrame, value: str, index:
     return df.join(table, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
-def vectorize_text(df: DataFrame, vocab: DataFrame, columns: Mapping[str, str], n: int = 2) -> DataFrame:
-    """Token ids of the 1- to n-grams of text columns; `columns` maps column to output name.
+def vectorize_text(df: DataFrame, key: Sequence[str], vocab: DataFrame, columns: Mapping[str, str], n: int = 2) -> DataFrame:
+    """(key, outputs): token ids of the 1- to n-grams of text columns; `columns` maps column to output name.
 
-    An array column gives one id array per element. The vocabulary of a feature is cut to MAX_TOKENS rows by
-    `fit_vocab`, which bounds what is sent to the tasks; mapping in place avoids shuffling every token.
+    `key` tells the rows apart. An array column gives one id array per element. NULL texts give NULL, texts without
+    words an empty array. The vocabulary may have any size: every distinct text is cut into grams once, its grams meet
+    the vocabulary in a join, and the ids go back to the rows that hold the text.
     """
     kinds = dict(df.dtypes)
-    for col, out in columns.items():
-        rows = vocab.where(F.col("feature") == col).select("token", "idx").limit(MAX_TOKENS + 1).collect()
-        if len(rows) > MAX_TOKENS:
-            raise ValueError(f"the vocabulary of {col} has more than {MAX_TOKENS} tokens")
-        ids = {row.token: row.idx for row in rows}
-        if kinds[col].startswith("array"):
-            df = df.withColumn(out, _nested_ids(ids)(F.transform(col, lambda t: X.ngrams(X.tokens(t), n))))
+    out = df
+    for col, name in columns.items():
+        nested = kinds[col].startswith("array")
+        table = vocab.where(F.col("feature") == col).select("token", "idx")
+        single = df.select(F.explode(col).alias("_text")) if nested else df.select(F.col(col).alias("_text"))
+        texts = single.where("_text is not null").distinct()
+        grams = texts.select("_text", F.posexplode(X.ngrams(X.tokens("_text"), n)).alias("_place", "token"))
+        placed = F.struct("_place", F.coalesce(F.col("idx"), F.lit(UNKNOWN_ID)).cast("int").alias("id"))
+        ids = grams.join(table, "token", "left").groupBy("_text").agg(F.array_sort(F.collect_list(placed)).alias("_ids"))
+        ids = texts.join(ids.select("_text", F.col("_ids.id").alias("_ids")), "_text", "left")
+        ids = ids.select("_text", F.coalesce("_ids", F.array().cast("array<int>")).alias("_ids"))
+        if nested:
+            parts = df.select(*key, F.posexplode(col).alias("_at", "_text")).join(ids, "_text", "left")
+            whole = parts.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_at", "_ids"))).alias("_all"))
+            found = whole.select(*key, F.col("_all._ids").alias(name))
+            empty = F.when(F.col(col).isNotNull(), F.array().cast("array<array<int>>"))
+            out = out.join(found, list(key), "left").withColumn(name, F.coalesce(F.col(name), empty))
         else:
-            df = df.withColumn(out, _flat_ids(ids)(X.ngrams(X.tokens(col), n)))
-    return df
-
-
-def _flat_ids(ids: dict[str, int]):
-    @F.pandas_udf("array<int>")
-    def flat(grams: pd.Series) -> pd.Series:
-        return grams.map(lambda g: None if g is None else [ids.get(t, UNKNOWN_ID) for t in g])
-
-    return flat
-
-
-def _nested_ids(ids: dict[str, int]):
-    @F.pandas_udf("array<array<int>>")
-    def nested(texts: pd.Series) -> pd.Series:
-        def one(grams):
-            return None if grams is None else [ids.get(t, UNKNOWN_ID) for t in grams]
-
-        return texts.map(lambda row: None if row is None else [one(g) for g in row])
-
-    return nested
-
-
-def token_positions(df: DataFrame, row_id: str, col: str, n: int = 2) -> DataFrame:
-    """(row id, place, token) of every gram, for joins with a vocabulary of any size."""
-    return df.select(row_id, F.posexplode(X.ngrams(X.tokens(col), n)).alias("place", "token"))
-
-
-def share_of_known(df: DataFrame, row_id: str, col: str, vocab: DataFrame, n: int = 2) -> DataFrame:
-    """Grams per row and how many of them the vocabulary holds."""
-    placed = token_positions(df, row_id, col, n).join(vocab.select("token", "idx"), "token", "left")
-    return placed.groupBy(row_id).agg(F.count(F.lit(1)).alias("n_grams"), F.count("idx").alias("n_known"))
+            out = out.join(ids.withColumnsRenamed({"_text": col, "_ids": name}), col, "left")
+    return out

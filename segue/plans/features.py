@@ -75,7 +75,8 @@ def _(spark, sf):
 def _(spark, sf):
     part = t.table(spark, sf, "part")
     names = vocab.unique_values(part.where("p_size > 40"), "p_name", start=1)
-    return vocab.string_lookup(part.select("p_partkey", "p_name"), "p_name", names, "p_name", "idx", "name_idx")
+    found = vocab.string_lookup(part.select("p_partkey", "p_name"), "p_name", names, "p_name", "idx", "name_idx")
+    return found.withColumn("name_idx", F.col("name_idx").cast("int"))
 
 
 PUNCT = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~'']"""
@@ -149,7 +150,7 @@ vocab AS ({sql_vocab('name_tokens', 50)})"""
 def _(spark, sf):
     part = t.table(spark, sf, "part")
     learnt = vocab.fit_vocab(part, ["p_name"], max_tokens=50)
-    rows = vocab.vectorize_text(part.select("p_partkey", "p_name"), learnt, {"p_name": "ids"})
+    rows = vocab.vectorize_text(part.select("p_partkey", "p_name"), ["p_partkey"], learnt, {"p_name": "ids"})
     return rows.select("p_partkey", t.text_of("ids").alias("ids"))
 
 
@@ -168,7 +169,7 @@ def _(spark, sf):
     learnt = vocab.fit_vocab(part, ["p_name"], max_tokens=50).withColumn("feature", F.lit("names"))
     heavy = t.heavy_lists(spark, sf)
     rows = S.with_history(t.placed_items(spark, sf, heavy, t.names(spark, sf)), "pid", "pos", {"names": "p_name"}, N, heavy=heavy)
-    ids = vocab.vectorize_text(rows.where(F.size("names") == N).select("pid", "pos", "names"), learnt, {"names": "ids"})
+    ids = vocab.vectorize_text(rows.where(F.size("names") == N).select("pid", "pos", "names"), ["pid", "pos"], learnt, {"names": "ids"})
     return ids.select("pid", "pos", F.array_join(F.transform("ids", t.text_of), "|").alias("ids"))
 
 

@@ -253,13 +253,14 @@ def _(spark, sf):
 
 @query(
     "sort_in_array",
-    f"""WITH {ITEMS} SELECT pid, pos // {S.CHUNK} AS chunk,
-      string_agg(CAST(track_id AS VARCHAR), ',' ORDER BY duration DESC, pos) AS tracks FROM items GROUP BY pid, pos // {S.CHUNK}""",
+    f"""WITH {ITEMS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY duration DESC, pos) - 1 AS rank FROM items)
+    SELECT pid, rank // {S.CHUNK} AS chunk, string_agg(CAST(track_id AS VARCHAR), ',' ORDER BY rank) AS tracks FROM ranked GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    rows = S.chunk_lists(t.items(spark, sf).withColumn("down", -F.col("duration")), "pid", "pos", ["down", "track_id"])
-    ordered = F.array_sort(F.transform("tracks", lambda x: F.struct(x.down, x.pos, x.track_id)))
-    return rows.select("pid", "chunk", t.text_of(F.transform(ordered, lambda x: x.track_id)).alias("tracks"))
+    heavy = t.heavy_lists(spark, sf)
+    rows = t.placed_items(spark, sf, heavy).withColumn("down", -F.col("duration"))
+    nested = S.sorted_chunks(rows, "pid", ["down", "pos"], ["track_id"], heavy=heavy)
+    return nested.select("pid", "chunk", t.text_of(F.transform("tracks", lambda x: x.track_id)).alias("tracks"))
 
 
 @query(

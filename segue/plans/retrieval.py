@@ -84,10 +84,8 @@ def _(spark, sf):
     return rows.where(~V.has_nan("v")).select("vec_id", "label")
 
 
-def _leaves(spark, sf, parts=20):
-    """Leaves of 500 vectors, or about `parts` leaves where there are fewer vectors."""
-    rows = vectors(spark, sf)
-    return neighbors.build_leaves(rows, leaf_size=min(500, max(1, rows.count() // parts)))
+def _leaves(spark, sf, leaf_size=25):
+    return neighbors.build_leaves(vectors(spark, sf), leaf_size=leaf_size)
 
 
 @query("ann_build_index")
@@ -112,7 +110,7 @@ def _(spark, sf):
 def _(spark, sf):
     all_vectors = vectors(spark, sf)
     asked = all_vectors.withColumnRenamed("id", "query")
-    return neighbors.search_rerank(_leaves(spark, sf, 50), asked, all_vectors, 10, reorder=500, leaves=30, skip_self=True)
+    return neighbors.search_rerank(_leaves(spark, sf, 10), asked, all_vectors, 10, reorder=500, leaves=30, skip_self=True)
 
 
 SHORT = f"""short AS (
@@ -222,7 +220,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows, cols = np.arange(DIM)[:, None], np.arange(16)[None, :]
     model = retrieval.projection((rows * (cols + 1)) % 7 - 3.0)
-    scored = retrieval.score(vectors(spark, sf), model, "id", "embedding", double=True)
+    scored = retrieval.score(vectors(spark, sf), model, "id", "embedding", DIM, double=True)
     return scored.where(~V.has_nan("embedding")).select("id", t.micro_text(F.transform("embedding", lambda x: F.round(x, 6))).alias("embedding"))
 
 
@@ -258,7 +256,11 @@ def _(spark, sf):
     return out.select("playlist_name", "rank", "track_name", "album_name", "track_id", "neighbor_distance")
 
 
-@query("train_retrieval")
+@query(
+    "train_retrieval",
+    """WITH pairs AS (SELECT o_custkey AS pid, l_partkey AS track_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT 'list' AS side, count(DISTINCT pid) AS n, 8 AS dims FROM pairs UNION ALL SELECT 'item', count(DISTINCT track_id), 8 FROM pairs""",
+)
 def _(spark, sf):
     rows = t.raw_items(spark, sf).select("pid", "track_id")
     asked, items = retrieval.fit_retrieval(rows, "pid", "track_id", rank=8, iterations=3)

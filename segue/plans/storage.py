@@ -45,7 +45,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Many shards, read in parallel and in no order.
     path = scratch_path(spark, "interleave")
-    tables.write_shards(t.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, 160, 10)
+    tables.write_shards(t.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, 10)
     return spark.read.parquet(path)
 
 
@@ -94,7 +94,7 @@ def _shown(rows):
 @query("export_examples", EXPORT)
 def _(spark, sf):
     path = scratch_path(spark, "examples")
-    ex.export_examples(lists.rank_examples(spark, sf), "rank", path, total_mb=16, shard_mb=2, by=("pid", "pos"))
+    ex.export_examples(lists.rank_examples(spark, sf), "rank", path, shard_mb=64)
     return _shown(spark.read.schema(example_type(feature_set("rank"))).parquet(path))
 
 
@@ -127,7 +127,7 @@ def _(spark, sf):
     spark.dataSource.register(TFRecordSource)
     path = scratch_path(spark, "records")
     rows = t.table(spark, sf, "part").select("p_name", "p_retailprice", "p_size", F.split("p_name", " ").alias("words"))
-    ex.encode(rows, TRACK_RECORD).repartition(4).write.format("tfrecord").mode("append").save(path)
+    tables.write_shards(ex.encode(rows, TRACK_RECORD), path, 64, "tfrecord", mode="append")
     read = spark.read.format("tfrecord").schema(example_type(TRACK_RECORD)).load(path)
     return read.select("p_name", F.col("p_retailprice").cast("double").alias("p_retailprice"), "p_size", F.array_join("words", "|").alias("words"))
 
@@ -142,7 +142,7 @@ def _(spark, sf):
     spark.dataSource.register(TFRecordSource)
     path = scratch_path(spark, "shards")
     features = feature_set("candidate")
-    ex.encode(_catalogue(spark, sf), features).repartition(tables.shard_count(400, 50)).write.format("tfrecord").mode("append").save(path)
+    tables.write_shards(ex.encode(_catalogue(spark, sf), features), path, 50, "tfrecord", mode="append")
     read = spark.read.format("tfrecord").schema(example_type(features)).load(path)
     reals = [F.col(c).cast("double").alias(c) for c in ("duration_ms_can", "track_energy_can")]
     return read.select("track_uri_can", "track_name_can", "artist_name_can", *reals)
@@ -154,9 +154,8 @@ def _(spark, sf):
     rows = t.table(spark, sf, "part").select("p_brand", "p_partkey")
     rows.write.mode("overwrite").parquet(path)
     rows.write.mode("append").json(path)
-    found = slices.scan_by_suffix(spark, path, ".parquet")
-    paths = [row.path for row in found.select("path").collect()]
-    return spark.read.parquet(*paths).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    found = slices.read_by_suffix(spark, path, ".parquet", rows.schema)
+    return found.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("write_embeddings_json", f"SELECT CAST(vec_id AS VARCHAR) AS id, {sql_micro('list_transform(embedding, lambda x: x::DOUBLE)')} AS embedding FROM embeddings")
@@ -208,8 +207,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "runs")
     measured = t.table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value_max"))
-    for row in measured.collect():
-        tables.log_run(spark, path, f"run-{row.event_type.lower()}", "events", {"kind": row.event_type}, {"n": row.n, "value_max": row.value_max})
+    metrics = {"n": F.col("n"), "value_max": F.col("value_max")}
+    tables.log_runs(measured, path, F.concat(F.lit("run-"), F.lower("event_type")), "events", {"kind": F.col("event_type")}, metrics)
     tables.log_run(spark, path, "run-other", "others", {}, {"n": 0})
     return tables.read_runs(spark, path, "events")
 
@@ -228,7 +227,8 @@ def _(spark, sf):
 
 def _stream(spark, sf):
     schema = t.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # a pattern that names the table itself, be it a file or a folder of files
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
 
 
 @query("stream_request_log", f"SELECT event_id, user_id, ts, event_type, value, props FROM events WHERE {md5_sql('event_id')} % 1000 < 800")

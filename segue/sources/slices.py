@@ -31,16 +31,17 @@ def unnest_items(df: DataFrame, col: str = "tracks", keep: Sequence[str] = ("pid
     return df.select(*keep, F.inline(col))
 
 
-def unique_tracks(items: DataFrame) -> DataFrame:
-    return items.select("track_uri", "album_uri", "artist_uri").distinct()
-
-
 def scan_by_suffix(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """Paths and sizes of the files under a folder whose names end with the suffix."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
     return files.load(path).select("path", "length")
 
 
+def read_by_suffix(spark: SparkSession, path: str, suffix: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of those files; the reader picks them, so no path comes to the driver's code."""
+    return spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)
+
+
 def normalize(df: DataFrame, col: str) -> DataFrame:
     """Nested fields of a struct column as flat columns named a.b.c."""
 

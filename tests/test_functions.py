@@ -96,13 +96,24 @@ def test_nan_vectors(spark):
 
 
 def test_vocabulary(spark):
-    df = spark.createDataFrame([("a b a", ["x y", "x"]), ("a c", ["y"]), (None, None)], "t string, l array<string>")
+    rows = [(1, "a b a", ["x y", "x"]), (2, "a c", ["y"]), (3, None, None), (4, "", [None, "", "q"]), (5, "a b a", [])]
+    df = spark.createDataFrame(rows, "k int, t string, l array<string>")
     learnt = vocab.fit_vocab(df, ["t", "l"], max_tokens=5)
     got = {(r.feature, r.token): (r.n, r.idx) for r in learnt.collect()}
-    assert got["t", "a"] == (3, 2) and got["t", "a b"] == (1, 3) and got["t", "a c"] == (1, 4)
-    assert got["l", "x"] == (2, 2) and got["l", "y"] == (2, 3) and got["l", "x y"] == (1, 4)
-    ids = vocab.vectorize_text(df, learnt, {"t": "ti", "l": "li"}).select("ti", "li").collect()
-    assert ids[0].ti == [2, 1, 2, 3, 1] and ids[0].li == [[2, 3, 4], [2]] and ids[2].ti is None
+    assert got["t", "a"] == (5, 2) and got["t", "a b"] == (2, 3) and got["t", "b"] == (2, 4)
+    assert got["l", "x"] == (2, 2) and got["l", "y"] == (2, 3) and got["l", "q"] == (1, 4)
+    ids = {r.k: (r.ti, r.li) for r in vocab.vectorize_text(df, ["k"], learnt, {"t": "ti", "l": "li"}).collect()}
+    assert ids == {
+        1: ([2, 4, 2, 3, 1], [[2, 3, 1], [2]]), 2: ([2, 1, 1], [[3]]), 3: (None, None), 4: ([], [None, [], [4]]), 5: ([2, 4, 2, 3, 1], []),
+    }
+
+
+def test_vectors_of_a_large_vocabulary(spark):
+    words = spark.range(25_000).selectExpr("id AS k", "concat('w', id) AS t")
+    learnt = words.selectExpr("'t' AS feature", "t AS token", "cast(k + 2 AS int) AS idx")
+    found = vocab.vectorize_text(words, ["k"], learnt, {"t": "ids"})
+    assert found.where("ids = array(cast(k + 2 AS int))").count() == 25_000
+    assert "Python" not in found._jdf.queryExecution().toString()
 
 
 def test_merge_and_compare(spark):

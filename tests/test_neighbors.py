@@ -114,3 +114,28 @@ def test_ranker_beats_the_mean(spark):
     fitted = evaluate.rmse(retrieval.with_predictions(model, df), "label", "prediction").first().rmse
     spread = df.agg(F.stddev_pop("label")).first()[0]
     assert fitted < spread / 3
+
+
+def test_spoilt_vectors_neither_ask_nor_are_found(spark):
+    rng = np.random.default_rng(7)
+    good = rng.normal(size=(40, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(good)] + [(100 + i, [float("nan"), 1.0, 1.0, 1.0]) for i in range(3)]
+    rows += [(200, None), (201, [None, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    found = neighbors.knn(df.withColumnRenamed("id", "query"), df, 3, skip_self=True)
+    assert as_lists(found) == brute(good, 3)
+    index = neighbors.build_leaves(df, leaf_size=10)
+    every = neighbors.search_leaves(index, df.withColumnRenamed("id", "query"), 3, leaf_pct=100.0, skip_self=True)
+    assert as_lists(every) == brute(good, 3)
+
+
+def test_small_leaves_still_give_k_results(data):
+    vectors, df = data
+    index = neighbors.build_leaves(df, leaf_size=4)
+    found = as_lists(neighbors.search_leaves(index, df.withColumnRenamed("id", "query"), 10, leaves=1, skip_self=True))
+    assert len(found) == len(vectors) and all(len(ids) == 10 for ids in found.values())
+
+
+def test_score_without_rows(spark):
+    empty = spark.createDataFrame([], "id bigint, embedding array<double>")
+    assert retrieval.score(empty, retrieval.projection(np.eye(4)), "id", "embedding", 4).count() == 0

@@ -138,10 +138,23 @@ def test_hash_rank_is_a_permutation(spark):
 def test_dense_index_in_pieces(spark):
     words = spark.createDataFrame([(f"w{i * 7919 % 3000:05d}",) for i in range(3000)] + [("",), ("é",)], "w string")
     whole = skew.dense_index(words, "w", start=3)
-    cut = skew.index_by_pieces(words, "w", "idx", 3, 16)
+    ordered = sorted((r.w for r in words.collect()), key=str.encode)
+    assert {r.w: r.idx for r in whole.collect()} == {w: i for i, w in enumerate(ordered, 3)}
+    cut = skew.dense_index(words.repartition(5), "w", start=3)
     assert rows_of(whole, "w", "idx") == rows_of(cut, "w", "idx")
 
 
+def test_sorted_lists_are_one_order_beyond_a_chunk(spark):
+    rows = [(p, i, (i * 7919) % 600) for p, n in ((1, 600), (2, 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "pid bigint, pos bigint, value int")
+    for heavy in ([], [1]):
+        nested = S.sorted_chunks(df, "pid", ["value", "pos"], ["value"], heavy=heavy).orderBy("pid", "chunk").collect()
+        for p in (1, 2):
+            values = [x.value for r in nested if r.pid == p for x in r.tracks]
+            assert values == sorted(v for q, _, v in rows if q == p)
+        assert [len(r.tracks) for r in nested] == [250, 250, 100, 3]
+
+
 def test_split_by_mod_is_disjoint(spark):
     df, rows = make_items(spark)
     train, valid = sampling.split_by_mod(df, "pid", 4, 0)

@@ -53,8 +53,8 @@ def test_declared_schema(spark, tmp_path):
 def test_shards(spark, tmp_path):
     assert [tables.shard_count(*a) for a in ((44_000, 2_000), (500, 250), (10, 250))] == [22, 2, 1]
     df = spark.range(100)
-    tables.write_shards(df, str(tmp_path / "s"), 500, 100, by=("id",))
-    assert slices.scan_by_suffix(spark, str(tmp_path / "s"), ".parquet").count() == 5
+    tables.write_shards(df, str(tmp_path / "s"), 100, by=("id",))
+    assert slices.scan_by_suffix(spark, str(tmp_path / "s"), ".parquet").count() == 1
     assert spark.read.parquet(str(tmp_path / "s")).count() == 100
 
 
@@ -207,3 +207,28 @@ def test_examples_end_to_end(spark):
     assert first.track_uri_pl == ["t0", "t1", "t2", "t3", "t4"] and first.candidate_rank == [5, 4, 3, 2, 1]
     assert first.pl_name_src == "" and first.track_energy_pl == [1, 1, 1, 0, 1] and first.num_pl_artists_new == 3.0
     assert first.pl_duration_ms_new == 10.0 and first.num_pl_songs_new == 5.0
+
+
+def test_shards_follow_the_data(spark, tmp_path):
+    found = []
+    for rows in (200, 40_000):
+        path = str(tmp_path / f"shards-{rows}")
+        tables.write_shards(spark.range(rows).selectExpr("id", "sha2(cast(id AS string), 512) AS text"), path, 0.5, by=("id",))
+        assert spark.read.parquet(path).count() == rows
+        found.append(len(spark.read.parquet(path).inputFiles()))
+    assert found[0] == 1 and found[1] > 4
+
+
+def test_null_values_in_records(spark):
+    rows = spark.createDataFrame([("a", None, ["x", None]), (None, 2.0, None)], "s string, f double, l array<string>")
+    got = ex.encode(rows, {"s": ("string", False), "f": ("float", False), "l": ("string", True)}).collect()
+    assert [tuple(r) for r in got] == [(["a"], [], ["x"]), ([], [2.0], None)]
+
+
+def test_streams_read_files_and_folders_alike(spark, sf, tmp_path):
+    from segue.plans import load_queries
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    run = load_queries()["stream_request_log"].run
+    of = lambda folder: sorted(r.event_id for r in run(spark, folder).collect())
+    assert of(str(tmp_path)) == of(sf) and of(sf)
