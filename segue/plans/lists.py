@@ -419,20 +419,44 @@ SELECT s.pid, s.pos, track_uri AS track_uri_can, track_name AS track_name_can, a
 FROM s JOIN customer ON s.pid = c_custkey WHERE len(track_uri_pl) = {N}"""
 
 
-@query("parse_examples", RANK_SQL)
-def _(spark, sf):
+def _parsed(spark, sf, name):
+    """Examples of a feature set, with those of the columns in RANK_SQL that the set has."""
     heavy = t.heavy_lists(spark, sf)
     rows = examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy, clustered=True)
-    parsed = parse(rows, "rank", N, keep=("pid", "pos"))
-    return parsed.select(
-        "pid", "pos", "track_uri_can", "track_name_can", "artist_genres_can", F.col("artist_followers_can").cast("double").alias("artist_followers_can"),
-        F.col("track_energy_can").cast("double").alias("track_energy_can"), "track_key_can", "pl_name_src", "pl_collaborative_src",
-        *[F.col(c).cast("double").alias(c) for c in ("pl_duration_ms_new", "num_pl_songs_new", "num_pl_artists_new", "num_pl_albums_new")],
-        F.array_join("track_uri_pl", ",").alias("track_uri_pl"), F.array_join("artist_genres_pl", "|").alias("artist_genres_pl"),
-        t.whole_text("track_tempo_pl").alias("track_tempo_pl"),
-        t.micro_text(F.transform("track_energy_pl", lambda x: x.cast("double"))).alias("track_energy_pl"),
-        t.whole_text("candidate_rank").alias("candidate_rank"),
-    )
+    parsed = parse(rows, name, N, keep=("pid", "pos"))
+    texts = ["pid", "pos", "track_uri_can", "track_name_can", "artist_genres_can", "track_key_can", "pl_name_src", "pl_collaborative_src"]
+    reals = ["artist_followers_can", "track_energy_can", "pl_duration_ms_new", "num_pl_songs_new", "num_pl_artists_new", "num_pl_albums_new"]
+    shown = {c: F.col(c) for c in texts} | {c: F.col(c).cast("double") for c in reals} | {
+        "track_uri_pl": F.array_join("track_uri_pl", ","), "artist_genres_pl": F.array_join("artist_genres_pl", "|"),
+        "track_tempo_pl": t.whole_text("track_tempo_pl"),
+        "track_energy_pl": t.micro_text(F.transform("track_energy_pl", lambda x: x.cast("double"))),
+        "candidate_rank": t.whole_text("candidate_rank"),
+    }
+    return parsed.select(*[column.alias(c) for c, column in shown.items() if c in parsed.columns])
+
+
+@query("parse_examples", RANK_SQL)
+def _(spark, sf):
+    return _parsed(spark, sf, "rank")
+
+
+@query("parse_examples_towers", f"SELECT * EXCLUDE (candidate_rank) FROM ({RANK_SQL})")
+def _(spark, sf):
+    return _parsed(spark, sf, "towers")
+
+
+AUDIO_RANK_SQL = f"""SELECT pid, pos, pl_name_src, track_name_can, artist_genres_can, track_energy_can, track_key_can, track_tempo_pl,
+  track_energy_pl, candidate_rank FROM ({RANK_SQL})"""
+
+
+@query("parse_examples_audio_rank", AUDIO_RANK_SQL)
+def _(spark, sf):
+    return _parsed(spark, sf, "audio-rank")
+
+
+@query("parse_examples_lw_audio_rank", AUDIO_RANK_SQL)
+def _(spark, sf):
+    return _parsed(spark, sf, "lw-audio-rank")
 
 
 @query(

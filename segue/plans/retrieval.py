@@ -240,22 +240,36 @@ def _(spark, sf):
     return scored.select("query", t.micro_text("embedding").alias("embedding"))
 
 
-@query(
-    "recommend_playlists",
-    f"""WITH {LAST}, s AS (SELECT pid, vec_id AS id, {sql_dot('v', 'embedding')} AS score FROM asked, embeddings),
+RECOMMENDED = f"""WITH {LAST}, s AS (SELECT pid, vec_id AS id, {sql_dot('v', 'embedding')} AS score FROM asked, embeddings),
     r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, id) AS rank FROM s)
     SELECT c_name AS playlist_name, CAST(rank AS INTEGER) AS rank, p_name AS track_name, p_brand AS album_name, id AS track_id, score AS neighbor_distance
-    FROM r JOIN part ON id = p_partkey JOIN customer ON pid = c_custkey WHERE rank <= 10""",
-)
-def _(spark, sf):
+    FROM r JOIN part ON id = p_partkey JOIN customer ON pid = c_custkey WHERE rank <= 10"""
+
+
+def _recommended(spark, sf, **how):
     catalogue = t.table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"), F.col("p_brand").alias("album_name")
     )
     named = t.lists(spark, sf).select(F.col("pid").alias("query"), F.col("name").alias("playlist_name"))
-    out = retrieval.recommend(t.items(spark, sf), _item_vectors(spark, sf), catalogue, named, "track_id")
+    out = retrieval.recommend(t.items(spark, sf), _item_vectors(spark, sf), catalogue, named, "track_id", **how)
     return out.select("playlist_name", "rank", "track_name", "album_name", "track_id", "neighbor_distance")
 
 
+@query("recommend_playlists", RECOMMENDED)
+def _(spark, sf):
+    return _recommended(spark, sf)
+
+
+@query("recommend_playlists_all_leaves", RECOMMENDED)
+def _(spark, sf):
+    return _recommended(spark, sf, index=_leaves(spark, sf), leaf_pct=100.0)
+
+
+@query("recommend_playlists_index")
+def _(spark, sf):
+    return _recommended(spark, sf, index=_leaves(spark, sf))
+
+
 @query(
     "train_retrieval",
     """WITH pairs AS (SELECT o_custkey AS pid, l_partkey AS track_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
