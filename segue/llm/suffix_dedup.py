@@ -25,7 +25,7 @@ from segue.session import stash
 
 GRAM = 40
 BITMAP_BITS, BUCKET_BITS = 1 << 26, 32_768  # 2,048 bitmaps of 4 kB
-PIECE = 1024
+PIECE = 1 << 13  # as many nodes as a task sorts at a time
 PART_BYTES, TASK_NODES = 1 << 19, 1 << 13
 BLOCKS = 5
 LEFT, RIGHT = 0, 1
