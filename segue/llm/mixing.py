@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 UNIT = float(2**52)
+MOST = 700.0  # beyond this rate exp(-rate) is no longer a normal double
 
 
 def uniform(*parts: Column) -> Column:
@@ -53,7 +54,8 @@ def rates(docs: DataFrame, source: str, weights: Mapping[str, float] | None, pow
     weighted = counts.withColumn("weight", weight)
     share = F.col("weight") / F.sum("weight").over(every)
     mean = F.coalesce(F.lit(float(total)) * F.sum("n").over(every) * share / F.col("n"), F.lit(0.0))
-    return weighted.select("mix_source", mean.alias("mean"))
+    too_many = F.raise_error(F.concat(F.lit("over 700 copies of each document are wanted of source "), F.coalesce(F.col("mix_source").cast("string"), F.lit("NULL"))))
+    return weighted.select("mix_source", F.when(mean > MOST, too_many.cast("double")).otherwise(mean).alias("mean"))
 
 
 def mix_sources(
@@ -65,7 +67,8 @@ def mix_sources(
     The count is the Poisson distribution with the source's rate, inverted at a level hashed from `key` and `seed`, so
     it needs no state and no order, and a lost task gives the same rows again. Its expected total is `total` times the
     table. NULL is a source of its own; NULL keys draw the same level; rows that repeat a key have the same count. All
-    columns are kept. A column that is already called as `copy` is replaced. An empty table gives no rows.
+    columns are kept. A column that is already called as `copy` is replaced. An empty table gives no rows. A rate above
+    700 copies fails the job.
 
     The order is that of a hash of (seed, key, copy): the rows are dealt by its range, so a hot source spreads evenly.
     The table of rates has a row for each source and is joined without a hint; adaptive execution splits a hot source.

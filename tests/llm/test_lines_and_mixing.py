@@ -142,3 +142,5 @@ def test_mix_odd_cases(spark):
     with pytest.raises(ValueError):
         mix_sources(spark.createDataFrame(rows, DOCS), weights={"a": -1.0})
     assert mix_sources(spark.createDataFrame(rows, DOCS), weights={"a": 0.0}).where(F.col("source") == "a").count() == 0
+    with pytest.raises(Exception, match="over 700 copies"):
+        mix_sources(spark.createDataFrame(rows, DOCS), total=5000.0).collect()
