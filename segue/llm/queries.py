@@ -109,7 +109,20 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return hamming_search.hamming_top_k(codes, codes.where("id % 100 = 0"), k=10)
 
 
-@query("op4_grid_order_embeddings")
+LINKED_SQL = """
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v, list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS square FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / sqrt(a.square * b.square) >= 0.9),
+reached AS (SELECT vec_id AS a, vec_id AS c FROM vectors UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.c = l.a),
+least AS (SELECT a, min(c) AS component_id FROM reached GROUP BY 1),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least ON vec_id = least.a LEFT JOIN counted ON vec_id = counted.a
+"""
+
+
+@query("op4_grid_order_embeddings", LINKED_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return grid_order.link_embeddings(table(spark, sf, "embeddings"))
 
