@@ -176,19 +176,20 @@ def train(
 
     def read(batches):
         for batch in batches:
-            fields = batch.column(1).flatten()
+            fields = batch.column(2).flatten()
             for first, data, edges in slices(fields[0]):
                 statistics, words = describe(data, edges)
                 numbers = with_metadata(statistics, fields[1][first : first + len(statistics)])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0)[first : first + len(statistics)],
+                    *(batch.column(i)[first : first + len(statistics)] for i in (0, 1)),
                     pa.array(list(numbers), pa.list_(pa.float64())),
                     pa.ListArray.from_arrays(pa.array(words.edges.astype(np.int32)), pa.array(words.index)),
                     pa.ListArray.from_arrays(pa.array(words.edges.astype(np.int32)), pa.array(words.value)),
-                ], names=["label", "numbers", "index", "value"])
+                ], names=["key", "label", "numbers", "index", "value"])
 
-    found = rows.select("label", "doc").mapInArrow(read, "label double, numbers array<double>, index array<int>, value array<double>")
-    table = found.toArrow().combine_chunks()
+    named = rows.select(F.col("key").cast("string").alias("key"), "label", "doc")
+    found = named.mapInArrow(read, "key string, label double, numbers array<double>, index array<int>, value array<double>")
+    table = found.toArrow().sort_by("key").combine_chunks()  # the order in which rows arrive must not change the model
     width = STATISTICS + len(metadata)
     if not table.num_rows:
         return Model(np.zeros(width), np.ones(width), 0.0, np.zeros(WORD_BUCKETS + width), np.zeros((WORD_BUCKETS + width, 1)))
