@@ -4,12 +4,16 @@ Spark splits the texts in words. A task packs its documents in chunks: the chunk
 distinct words apart. The distinct words go by hash to buckets, where each word of the whole corpus is encoded once, and
 the ids go back to the chunks that asked. There they are put in the words' places and, through the table of pieces,
 turned back into text. So a word crosses the network once for each chunk it stands in, however often it stands there.
+
+The texts are read twice, once for the words and once for their places, which is cheaper than keeping both. A chunk is
+named by a hash of all it holds, so both readings name it alike, and a chunk whose words were not answered stops the job.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import uuid
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from segue.llm.words import encode_words, list_parts, spread, tokenizer, words_of
+from segue.llm.words import edges_of, encode_words, list_parts, spread, tokenizer, words_of
 from segue.session import stash
 
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 2_000_000
 BUCKET_BYTES = 64 << 20
 
 
@@ -39,8 +44,8 @@ def from_blob(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
-def chunk_rows(keys: list[pa.Array], lists: list[pa.Array], buckets: int) -> Iterator[dict]:
-    """The rows of one chunk: its documents (bucket -1), and its distinct words for each bucket."""
+def chunk_rows(keys: list[pa.Array], lists: list[pa.Array], buckets: int, asking: bool) -> Iterator[dict]:
+    """The rows of one chunk: if `asking`, its distinct words for each bucket, else its documents (bucket -1)."""
     parts = [list_parts(x) for x in lists]
     coded = pa.chunked_array([values for values, _ in parts]).combine_chunks().dictionary_encode()
     words = coded.dictionary
@@ -50,17 +55,24 @@ def chunk_rows(keys: list[pa.Array], lists: list[pa.Array], buckets: int) -> Ite
     number = np.empty(len(words), np.int32)
     number[by_count] = np.arange(len(words), dtype=np.int32)
     words = words.take(pa.array(by_count))
-    bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words.to_pylist()), np.int32, len(words))
+    raw = [w.encode() for w in words.to_pylist()]
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int32, len(words))
     order = np.argsort(bucket, kind="stable").astype(np.int32)
-    name = uuid.uuid4().hex
-    planes = number[codes].astype("<u4").view(np.uint8).reshape(-1, 4)
-    docs = to_blob(key=pa.concat_arrays(keys), size=np.concatenate([sizes for _, sizes in parts]))
-    planes = to_blob(**{f"p{i}": np.ascontiguousarray(planes[:, i]) for i in range(4)})
-    yield {"chunk": name, "bucket": -1, "docs": docs, "codes": planes, "words": to_blob(order=order)}
+    sizes = np.concatenate([sizes for _, sizes in parts])
+    codes = number[codes].astype("<u4")
+    key = pa.concat_arrays(keys)
+    name = hashlib.blake2b(digest_size=16)
+    for held in (repr(key.to_pylist()).encode(), sizes.tobytes(), codes.tobytes(), *raw):
+        name.update(held)
+    if not asking:
+        planes = codes.view(np.uint8).reshape(-1, 4)
+        planes = to_blob(**{f"p{i}": np.ascontiguousarray(planes[:, i]) for i in range(4)})
+        yield {"chunk": name.hexdigest(), "bucket": -1, "docs": to_blob(key=key, size=sizes), "codes": planes, "words": to_blob(order=order)}
+        return
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
         asked = words.take(pa.array(order[edges[b] : edges[b + 1]]))
-        yield {"chunk": name, "bucket": int(b), "docs": None, "codes": None, "words": to_blob(word=asked)}
+        yield {"chunk": name.hexdigest(), "bucket": int(b), "docs": None, "codes": None, "words": to_blob(word=asked)}
 
 
 def piece_table(path: str) -> list[bytes]:
@@ -87,30 +99,36 @@ def encode_decode(
     token's string in a text becomes its id, as in the library.
 
     Chunks are bounded by words (a longer text is a chunk of its own) and buckets by their share of the corpus, so no
-    task holds more than that. Chunks are written to the shared folder once, as they are read twice.
+    task holds more than that. Rows that do not come straight from a table are written to the shared folder first, as
+    both readings must meet them in the same order.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"\b(Join|Aggregate|Repartition\w*|RebalancePartitions|Sort|Window|Union|Generate|Limit|\w*RDD|\w*Map\w*)\b", plan):
+        rows = stash(rows, "texts")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     kind = rows.schema["key"].dataType.simpleString()
+    key_type = to_arrow_type(rows.schema["key"].dataType)
     packed_schema = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("codes", pa.binary()), ("words", pa.binary())])
 
-    def pack_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, lists, held = [], [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys.append(batch.column(0))
-            lists.append(batch.column(1))
-            held += len(lists[-1].flatten())
-            if held >= chunk_words:
-                for row in chunk_rows(keys, lists, buckets):
+    def pack_chunks(asking: bool):
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, lists, held = [], [], 0
+            for batch in batches:
+                for piece in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                    keys.append(piece.column(0))
+                    lists.append(piece.column(1))
+                    held += len(lists[-1].flatten())
+                    if held >= chunk_words:
+                        for row in chunk_rows(keys, lists, buckets, asking):
+                            yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
+                        keys, lists, held = [], [], 0
+            if keys:
+                for row in chunk_rows(keys, lists, buckets, asking):
                     yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
-                keys, lists, held = [], [], 0
-        if keys:
-            for row in chunk_rows(keys, lists, buckets):
-                yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
+
+        return pack
 
     def encode_bucket(group: pa.Table) -> pa.Table:
         asked = [from_blob(x.as_py()).column("word").combine_chunks() for x in group.column("words")]
@@ -125,33 +143,37 @@ def encode_decode(
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "docs": pa.nulls(len(asked), pa.binary()), "codes": pa.nulls(len(asked), pa.binary()), "words": pa.array(answers, pa.binary())})
 
     def put_back(group: pa.Table) -> pa.Table:
-        group = group.sort_by("bucket")
-        head = {name: from_blob(group.column(name)[0].as_py()) for name in ("docs", "codes", "words")}
-        planes = np.column_stack([np.asarray(head["codes"].column(f"p{i}").combine_chunks()) for i in range(4)])
-        codes = np.ascontiguousarray(planes).view("<u4").reshape(-1)
-        place = np.empty(head["words"].num_rows, np.int64)
-        place[np.asarray(head["words"].column("order").combine_chunks())] = np.arange(len(place))
-        answers = [list_parts(from_blob(x.as_py()).column("ids")) for x in group.column("words")[1:]]
+        bucket = np.asarray(group.column("bucket").combine_chunks())
+        blobs = {int(b): group.column("words")[i].as_py() for i, b in enumerate(bucket) if b >= 0}
+        answers = [list_parts(from_blob(blobs[b]).column("ids")) for b in sorted(blobs)]
         ids = np.concatenate([np.empty(0, np.uint32), *(np.asarray(v) for v, _ in answers)])
         counts = np.concatenate([np.empty(0, np.int64), *(n for _, n in answers)])
-        at = place[codes]
-        ends = np.concatenate(([0], np.cumsum(counts[at])))[np.concatenate(([0], np.cumsum(np.asarray(head["docs"].column("size").combine_chunks()))))]
-        ids = spread(ids, counts, at)
-        keys, pieces, out = head["docs"].column("key").combine_chunks(), piece_table_of(tokenizer_path), []
-        for first in range(0, len(keys), 500):
-            last = min(first + 500, len(keys))
-            edges = ends[first : last + 1]
-            mine = ids[edges[0] : edges[-1]]
-            texts = [b"".join([pieces[i] for i in ids[a:b].tolist()]).decode("utf-8", "replace") for a, b in zip(edges, edges[1:])]
-            lists = pa.ListArray.from_arrays(pa.array((edges - edges[0]).astype(np.int32)), pa.array(mine.astype(np.int32)))
-            out.append(pa.RecordBatch.from_arrays([keys[first:last], lists, pa.array(texts, pa.string())], names=["key", "ids", "decoded"]))
-        return pa.Table.from_batches(out)
+        out = []
+        for i in np.flatnonzero(bucket < 0):  # one, or as many as there are copies of the chunk
+            head = {name: from_blob(group.column(name)[int(i)].as_py()) for name in ("docs", "codes", "words")}
+            if head["words"].num_rows != len(counts):
+                raise ValueError("the two readings of the texts differ: write the table first")
+            planes = np.column_stack([np.asarray(head["codes"].column(f"p{p}").combine_chunks()) for p in range(4)])
+            place = np.empty(len(counts), np.int32)
+            place[np.asarray(head["words"].column("order").combine_chunks())] = np.arange(len(place), dtype=np.int32)
+            at = place[np.ascontiguousarray(planes).view("<u4").reshape(-1)]
+            keys, sizes = (head["docs"].column(name).combine_chunks() for name in ("key", "size"))
+            edges = np.concatenate(([0], np.cumsum(np.asarray(sizes))))
+            pieces = piece_table_of(tokenizer_path)
+            for first in range(0, len(keys), 200):
+                last = min(first + 200, len(keys))
+                mine = at[edges[first] : edges[last]]
+                found = spread(ids, counts, mine)
+                ends = edges_of(counts[mine], np.asarray(sizes)[first:last])
+                texts = [b"".join([pieces[i] for i in found[a:b].tolist()]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found.astype(np.int32)))
+                out.append(pa.RecordBatch.from_arrays([keys[first:last], lists, pa.array(texts, pa.string())], names=["key", "ids", "decoded"]))
+        return pa.Table.from_batches(out, pa.schema([("key", key_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]))
 
     split = rows.select("key", words_of(F.col("text")).alias("words"))
     chunk_schema = "chunk string, bucket int, docs binary, codes binary, words binary"
-    chunks = stash(split.mapInArrow(pack_chunks, chunk_schema), "chunks")
-    asked = chunks.where("bucket >= 0").groupBy("bucket").applyInArrow(encode_bucket, chunk_schema)
-    whole = chunks.where("bucket < 0").unionByName(asked).groupBy("chunk").applyInArrow(put_back, f"key {kind}, ids array<int>, decoded string")
+    asked = split.mapInArrow(pack_chunks(True), chunk_schema).groupBy("bucket").applyInArrow(encode_bucket, chunk_schema)
+    whole = split.mapInArrow(pack_chunks(False), chunk_schema).unionByName(asked).groupBy("chunk").applyInArrow(put_back, f"key {kind}, ids array<int>, decoded string")
     return whole.select(F.col("key").alias(key), "ids", "decoded")
 
 
