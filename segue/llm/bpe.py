@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from segue.llm.text_bytes import release
 from segue.llm.words import edges_of, encode_words, list_parts, spread, tokenizer, words_of
 from segue.session import stash
 
@@ -127,6 +128,8 @@ def encode_decode(
             if keys:
                 for row in chunk_rows(keys, lists, buckets, asking):
                     yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
+            keys, lists = [], []
+            release()
 
         return pack
 
@@ -140,9 +143,12 @@ def encode_decode(
             at += len(words)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts[mine]))).astype(np.int32)), pa.array(spread(ids, counts, mine)))
             answers.append(to_blob(ids=lists))
+        del ids, counts, codes, coded
+        release()
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "docs": pa.nulls(len(asked), pa.binary()), "codes": pa.nulls(len(asked), pa.binary()), "words": pa.array(answers, pa.binary())})
 
     def put_back(group: pa.Table) -> pa.Table:
+        release()
         bucket = np.asarray(group.column("bucket").combine_chunks())
         blobs = {int(b): group.column("words")[i].as_py() for i, b in enumerate(bucket) if b >= 0}
         answers = [list_parts(from_blob(blobs[b]).column("ids")) for b in sorted(blobs)]

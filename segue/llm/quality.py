@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segue.llm.text_bytes import PrefixHash, mix, slices
+from segue.llm.text_bytes import PrefixHash, mix, release, slices
 
 WORD_BUCKETS = 1 << 14
 SAMPLE_ROWS = 8_000
@@ -210,6 +210,7 @@ def quality_score(model: Model, text: Column, metadata: Column) -> Column:
             statistics, words = describe(data, edges)
             numbers_here = with_metadata(statistics, numbers[first : first + len(statistics)])
             out.append(model.score(model.inputs(numbers_here, words)))
+        release()
         return pa.array(np.concatenate(out) if out else np.empty(0))
 
     return score(text, metadata)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from segue.llm.components import Forest, components
+from segue.llm.text_bytes import release
 from segue.session import stash
 
 LEAF_ROWS = 32_768
@@ -68,6 +69,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
                 piece = batch.slice(first, 500)
                 fps = fingerprint_of(piece.column(1), words).view(np.int64)
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(fps)], names=["key", "fp"])
+        release()
 
     rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(read, "key bigint, fp bigint")
@@ -255,6 +257,7 @@ def near_links(fps: DataFrame, within: int = 4, leaf_rows: int = LEAF_ROWS) -> D
         found.alone(np.flatnonzero(home))
         found.cross(np.flatnonzero(home), np.flatnonzero(~home))
         a, b = found.forest.edges()
+        release()
         return pa.table({"a": points[a].view(np.int64), "b": points[b].view(np.int64)})
 
     dealt = fps.select("fp").mapInArrow(deal, "leaf bigint, fp bigint, home boolean")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,16 @@ MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(3
 SLICE_BYTES = 1 << 20
 
 
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps a task's process for later tasks of other stages, and what it
+    holds on to is missing there. Only the GNU library has the second call; elsewhere the first one has to do."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def text_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, the edges of the texts among them); NULL is the empty text."""
     texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).cast(pa.large_string())
