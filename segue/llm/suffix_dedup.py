@@ -29,6 +29,7 @@ PIECE = 1 << 13  # as many nodes as a task sorts at a time
 PART_BYTES, TASK_NODES = 1 << 19, 1 << 13
 BLOCKS = 5
 LEFT, RIGHT = 0, 1
+OWN, EARLIER = 1, 2  # whose part the string starting at a byte belongs to
 
 
 class Spans:
@@ -47,7 +48,8 @@ class Spans:
 
 def parts(texts: pa.Array, spans: Spans) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, np.ndarray]]:
     """Runs of whole texts, or parts of a very long one: (texts' numbers, bytes, first and last byte of each text, offset
-    of the part in its text, whether a string may start at a byte). Parts overlap by what surroundings need."""
+    of the part in its text, whether a string may start at a byte). Parts overlap by what surroundings need; where
+    strings of the part before start that reach into this one, it says EARLIER."""
     data, edges = text_parts(texts)
     margin = 2 * spans.length
     first = 0
@@ -58,8 +60,9 @@ def parts(texts: pa.Array, spans: Spans) -> Iterator[tuple[np.ndarray, np.ndarra
         if last == first + 1 and size > 2 * PART_BYTES:
             for start in range(0, size, PART_BYTES):
                 low, high = max(0, start - margin), min(size, start + PART_BYTES + margin)
-                own = np.zeros(high - low, bool)
-                own[start - low : max(0, min(start + PART_BYTES, size - spans.length + 1) - low)] = True
+                own = np.zeros(high - low, np.int8)
+                own[max(0, start - spans.reach - low) : start - low] = EARLIER
+                own[start - low : max(0, min(start + PART_BYTES, size - spans.length + 1) - low)] = OWN
                 yield np.array([first]), data[edges[first] + low : edges[first] + high], np.array([0]), np.array([high - low]), low, own
         else:
             low, high = edges[first:last] - edges[first], edges[first + 1 : last + 1] - edges[first]
@@ -74,11 +77,12 @@ def parts(texts: pa.Array, spans: Spans) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 class Anchors:
-    """The anchors of a part, with their surroundings inside their text."""
+    """The anchors of a part, with their surroundings inside their text. An anchor that the strings of the part before
+    pick too is left to that part."""
 
     def __init__(self, data: np.ndarray, low: np.ndarray, high: np.ndarray, own: np.ndarray, spans: Spans):
         self.data, self.spans = data, spans
-        starts = np.flatnonzero(own)
+        starts = np.flatnonzero(own == OWN)
         if not len(starts):
             self.at = np.empty(0, np.int64)
             return
@@ -90,8 +94,9 @@ class Anchors:
             least, size = np.minimum(least[:-size], least[size:]), size * 2
         if size < width:
             least = np.minimum(least[: size - width], least[width - size :])
-        at = (least[starts] & np.uint64(0xFFFFFF)).astype(np.int64)
-        self.at = np.unique(at[np.concatenate(([True], at[1:] != at[:-1]))])
+        picked = lambda starts: (least[starts] & np.uint64(0xFFFFFF)).astype(np.int64)
+        at = picked(starts)
+        self.at = np.setdiff1d(at[np.concatenate(([True], at[1:] != at[:-1]))], picked(np.flatnonzero(own == EARLIER)))
         self.text = np.searchsorted(high, self.at, "right")
         self.low = np.maximum(self.at - spans.reach, low[self.text])
         self.high = np.minimum(self.at + spans.length, high[self.text])

@@ -191,3 +191,16 @@ def test_repeats_in_long_texts(spark, monkeypatch):
                 cut[int(i), int(at)] = c
     expected = {(int(i), int(a)): c for a, i, c in zip(whole.at - whole.edges[0], whole.text, whole.surroundings())}
     assert cut == expected
+
+
+def test_long_text_in_parts_has_each_anchor_once(spark):
+    rng = np.random.default_rng(10)
+    long = rng.integers(97, 123, (1 << 20) + 300_000).astype(np.uint8).tobytes().decode()
+    # a passage over the second boundary stands in another text too, one before the first boundary twice in the long one
+    at = (1 << 20) - 300
+    texts = [long[: 700_000] + long[1000:1400] + long[700_000:], "z" * 10 + long[at - 400 : at + 100], "short"]
+    frame = spark.createDataFrame([(i, t, *REST) for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(frame).collect()}
+    expected = dict(enumerate(slow_repeats(texts, 200)))
+    assert {i: x[:3] for i, x in got.items()} == {i: x[:3] for i, x in expected.items()}
+    assert got == expected
