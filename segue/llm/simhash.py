@@ -8,9 +8,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from segue.llm.components import Forest, components
 from segue.llm.text_bytes import release
@@ -60,7 +59,11 @@ def majority(hashes: list[np.ndarray], sizes: np.ndarray, most: int = 1 << 17) -
     return out
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
+def id_of(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))
+
+
+def fingerprints(docs: DataFrame, key: Column, text: str = "text", words: int = 4) -> DataFrame:
     """(key, fp): the fingerprint of each row as a signed 64-bit number; zero for a text without words and for NULL."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +74,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(fps)], names=["key", "fp"])
         release()
 
-    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(read, "key bigint, fp bigint")
+    rows = docs.select(key.alias("key"), F.col(text).alias("text"))
+    return rows.mapInArrow(read, f"key {rows.schema['key'].dataType.simpleString()}, fp bigint")
 
 
 def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -264,6 +267,13 @@ def near_links(fps: DataFrame, within: int = 4, leaf_rows: int = LEAF_ROWS) -> D
     return dealt.groupBy("leaf").applyInArrow(join, "a bigint, b bigint")
 
 
+def linked_groups(rows: DataFrame, within: int, leaf_rows: int) -> DataFrame:
+    """(fp, least, component) for each fingerprint of (key, fp): its least key, and a number that its group shares."""
+    points = stash(rows.groupBy("fp").agg(F.min("key").alias("least")), "points")
+    linked = components(near_links(points, within, leaf_rows))
+    return points.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, within: int = 4, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
@@ -276,10 +286,8 @@ def simhash_components(
 
     Equal fingerprints are grouped by one aggregate first, so a hot group of copies is one point from there on.
     """
-    rows = stash(fingerprints(docs, key, text, words), "fingerprints")
-    points = stash(rows.groupBy("fp").agg(F.min("key").alias("least")), "points")
-    linked = components(near_links(points, within, leaf_rows))
-    placed = points.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    rows = stash(fingerprints(docs, id_of(key), text, words), "fingerprints")
+    placed = linked_groups(rows, within, leaf_rows)
     roots = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = placed.join(roots, "component").select("fp", "component_id")
     id_ = lambda name: F.nullif(F.col(name), F.lit(NO_ID))
@@ -289,10 +297,15 @@ def simhash_components(
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, within: int = 4) -> DataFrame:
-    """One row of each group, with all its columns: that of the smallest key, of equal keys the first text in order."""
-    groups = simhash_components(docs, key, text, words, within)
-    chosen = groups.select(F.coalesce("component_id", F.lit(NO_ID)).alias("chosen")).distinct()
-    nested = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("id"))
-    first = W.partitionBy("id").orderBy(F.col(f"doc.`{text}`"))
-    kept = nested.join(chosen, F.col("id") == F.col("chosen"), "left_semi").withColumn("r", F.row_number().over(first))
-    return kept.where("r = 1").select("doc.*")
+    """One row of each group, with all its columns: that of the smallest key, of equal keys the least hash of the text.
+
+    A group is known by its first row's key and hash, as keys may be NULL or repeat in unrelated groups. Rows that agree
+    in both are one row after a partial aggregate; of these stays the one with the least hash of its other columns.
+    """
+    own = F.struct(id_of(key).alias("id"), F.xxhash64(text).alias("th"))
+    rows = fingerprints(docs, own, text, words)
+    firsts = linked_groups(rows, within, LEAF_ROWS).groupBy("component").agg(F.min("least").alias("first")).select("first.id", "first.th")
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    nested = docs.select(own.alias("own"), F.struct("*").alias("doc"), tie.alias("tie"))
+    single = nested.groupBy("own.id", "own.th").agg(F.min_by("doc", "tie").alias("doc"))
+    return single.join(firsts, ["id", "th"], "left_semi").select("doc.*")

@@ -204,3 +204,21 @@ def test_long_text_in_parts_has_each_anchor_once(spark):
     expected = dict(enumerate(slow_repeats(texts, 200)))
     assert {i: x[:3] for i, x in got.items()} == {i: x[:3] for i, x in expected.items()}
     assert got == expected
+
+
+def test_each_group_keeps_one_row(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join("w%d" % rng.randrange(500) for _ in range(80))
+    alone, copied, other = [text() for _ in range(6)], text(), text()
+    rows = [(None, t, *REST) for t in alone]  # unrelated, all without an id
+    rows += [(5, copied, *REST), (3, copied, *REST), (5, other, *REST), (None, other, *REST), (None, alone[0], *REST)]
+    rows += [(7, t, *REST) for t in (text(), text())] + [(7, rows[0][1], *REST)]
+    kept = keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    expected = [(None, t) for t in alone[1:]] + [(3, copied), (5, other), (7, alone[0])] + [(i, t) for i, t, *_ in rows[-3:-1]]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, expected))
+
+
+def test_equal_rows_of_a_group_keep_one(spark):
+    rows = [(i, "one two three four five six", *REST) for i in (None, None, 4, 4)] + [(None, "", *REST), (None, None, *REST)]
+    kept = keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["4", "None"]
