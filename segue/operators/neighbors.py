@@ -27,6 +27,8 @@ BLOCK = 32_768
 SPREAD = 512
 TILE = 4_000_000
 DIGITS = 9
+RECALL = 0.95  # aimed at on a sample, so that all queries together stay above 0.9
+SAMPLE = 1_000
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -237,13 +239,34 @@ def assign_leaves(queries: DataFrame, index: LeafIndex, count: int, enough: int
     return queries.withColumn("leaf", F.explode(best("vector")))
 
 
+def leaves_for_recall(
+    index: LeafIndex, queries: DataFrame, k: int = 10, target: float = RECALL, query_id: str = "query", vec: str = "embedding",
+    skip_self: bool = False, sample: int = SAMPLE,
+) -> int:
+    """The fewest leaves to search per query that hold `target` of the true k best, measured on the index itself.
+
+    The true neighbours of at most `sample` queries, the first by hash, are found exactly. A neighbour is found once its
+    leaf is searched, so the place of that leaf in the query's order of leaves is all that has to be known.
+    """
+    asked = _queries(queries, query_id, vec).orderBy(F.xxhash64("query"), "query").limit(sample).collect()
+    if not asked:
+        return 1
+    drawn = index.items.sparkSession.createDataFrame(asked, "query bigint, vector array<double>")
+    exact = knn(drawn, index.items, k, "query", "id", "vector", skip_self, query_rows=len(asked))
+    order = np.argsort(-(np.array([r.vector for r in asked]) @ index.centroids.T), axis=1, kind="stable")
+    places = dict(zip((r.query for r in asked), np.argsort(order, axis=1)))
+    found = exact.select("query", "id").join(index.items.select("id", "leaf"), "id").select("query", "leaf").collect()
+    ranks = np.sort([places[r.query][r.leaf] for r in found])
+    return int(ranks[math.ceil(target * len(ranks)) - 1]) + 1 if len(ranks) else 1
+
+
 def search_leaves(
     index: LeafIndex,
     queries: DataFrame,
     k: int = 10,
     query_id: str = "query",
     vec: str = "embedding",
-    leaf_pct: float = 7.0,
+    leaf_pct: float | None = None,
     leaves: int | None = None,
     skip_self: bool = False,
     block: int = BLOCK,
@@ -251,12 +274,14 @@ def search_leaves(
 ) -> DataFrame:
     """Approximate k best: score only the items in the best leaves of each query.
 
-    `leaf_pct` percent of the leaves are searched, at least one, or `leaves` if given; more where these hold too few
-    items for k results. A leaf with more than `block` items is cut into blocks, and so are the queries that ask it,
+    `leaves` leaves are searched if given, or `leaf_pct` percent of them and at least one, else as many as
+    `leaves_for_recall` finds necessary; more where these hold too few items for k results. A leaf with more than `block` items is cut into blocks, and so are the queries that ask it,
     by their own number, so a leaf that holds a third of all vectors is many tasks and a leaf that few ask is copied
     for few. `quantize` scores 8-bit copies of the vectors, for a first pass that is rescored later.
     """
-    count = leaves or max(1, math.ceil(index.leaves * leaf_pct / 100.0))
+    if leaves is None and leaf_pct is not None:
+        leaves = max(1, math.ceil(index.leaves * leaf_pct / 100.0))
+    count = leaves or leaves_for_recall(index, queries, k, query_id=query_id, vec=vec, skip_self=skip_self)
     asked = _queries(queries, query_id, vec)
     assigned = assign_leaves(asked, index, count, k + int(skip_self))
     blocks = lambda rows: F.ceil(rows / F.lit(block)).cast("int")
@@ -293,10 +318,12 @@ def rescore(found: DataFrame, queries: DataFrame, items: DataFrame, k: int, quer
 
 
 def search_rerank(
-    index: LeafIndex, queries: DataFrame, items: DataFrame, k: int = 10, reorder: int = 500, leaves: int = 30,
+    index: LeafIndex, queries: DataFrame, items: DataFrame, k: int = 10, reorder: int = 500, leaves: int | None = None,
     query_id: str = "query", item_id: str = "id", vec: str = "embedding", skip_self: bool = False,
 ) -> DataFrame:
-    """Two stages: the best `reorder` by 8-bit vectors over `leaves` leaves, then exact scores for those."""
+    """Two stages: the best `reorder` by 8-bit vectors over `leaves` leaves, then exact scores for those. Without
+    `leaves`, as many are searched as `leaves_for_recall` finds necessary for the k best."""
+    leaves = leaves or leaves_for_recall(index, queries, k, query_id=query_id, vec=vec, skip_self=skip_self)
     first = search_leaves(index, queries, reorder, query_id, vec, leaves=leaves, skip_self=skip_self, quantize=True)
     return rescore(first, queries, items, k, query_id, item_id, vec)
 

@@ -97,7 +97,7 @@ def _(spark, sf):
 @query("ann_search")
 def _(spark, sf):
     asked = vectors(spark, sf).withColumnRenamed("id", "query")
-    return neighbors.search_leaves(_leaves(spark, sf), asked, 10, leaf_pct=7.0, skip_self=True)
+    return neighbors.search_leaves(_leaves(spark, sf), asked, 10, skip_self=True)
 
 
 @query("ann_search_all_leaves", f"WITH {ALL_PAIRS} {sql_knn(10)}")
@@ -110,7 +110,24 @@ def _(spark, sf):
 def _(spark, sf):
     all_vectors = vectors(spark, sf)
     asked = all_vectors.withColumnRenamed("id", "query")
-    return neighbors.search_rerank(_leaves(spark, sf, 10), asked, all_vectors, 10, reorder=500, leaves=30, skip_self=True)
+    return neighbors.search_rerank(_leaves(spark, sf, 10), asked, all_vectors, 10, reorder=500, skip_self=True)
+
+
+@query("ann_index_recall")
+def _(spark, sf):
+    # What both searches of the index find of the true neighbours of the queries with an id divisible by 100.
+    rows = vectors(spark, sf)
+    asked = rows.where("id % 100 = 0").withColumnRenamed("id", "query")
+    of_all = rows.withColumnRenamed("id", "query")
+    exact = neighbors.knn(asked, rows, 10, skip_self=True)
+    coarse, fine = _leaves(spark, sf), _leaves(spark, sf, 10)
+    count = [neighbors.leaves_for_recall(index, of_all, 10, skip_self=True) for index in (coarse, fine)]
+    found = {
+        "ann_search": neighbors.search_leaves(coarse, asked, 10, leaves=count[0], skip_self=True),
+        "ann_rerank": neighbors.search_rerank(fine, asked, rows, 10, reorder=500, leaves=count[1], skip_self=True),
+    }
+    both = [neighbors.recall(out, exact).withColumn("search", F.lit(name)) for name, out in found.items()]
+    return both[0].unionByName(both[1]).select("search", "recalled", "expected", "recall")
 
 
 SHORT = f"""short AS (

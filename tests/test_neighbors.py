@@ -139,3 +139,17 @@ def test_small_leaves_still_give_k_results(data):
 def test_score_without_rows(spark):
     empty = spark.createDataFrame([], "id bigint, embedding array<double>")
     assert retrieval.score(empty, retrieval.projection(np.eye(4)), "id", "embedding", 4).count() == 0
+
+
+@pytest.mark.parametrize("leaf_size", [5, 20])
+def test_searches_reach_the_recall_aimed_at(data, leaf_size):
+    vectors, df = data
+    index = neighbors.build_leaves(df, leaf_size=leaf_size)
+    asked = df.withColumnRenamed("id", "query")
+    exact = neighbors.knn(asked, df, 10, skip_self=True)
+    for found in (neighbors.search_leaves(index, asked, 10, skip_self=True), neighbors.search_rerank(index, asked, df, 10, skip_self=True)):
+        assert neighbors.recall(found, exact).first().recall >= 0.9
+    few = neighbors.leaves_for_recall(index, asked, 10, 0.5, skip_self=True)
+    assert 1 <= few < neighbors.leaves_for_recall(index, asked, 10, skip_self=True) <= index.leaves
+    low = neighbors.recall(neighbors.search_leaves(index, asked, 10, leaves=few, skip_self=True), exact).first().recall
+    assert low >= 0.5
