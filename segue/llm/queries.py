@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.llm import bpe, grid_order, hamming_search, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, token_files
+from segue.llm import (
+    bpe, decontamination, grid_order, hamming_search, hard_negatives, line_dedup, mixing, quality, simhash, spelling, suffix_dedup,
+    token_counts, token_files,
+)
 from segue.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +169,89 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PHRASE_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k : k + 9], ' ') AS phrase FROM starts),
+places AS (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS k FROM d, (SELECT DISTINCT n FROM phrases)),
+runs AS (SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS phrase FROM places),
+found AS (SELECT r.* FROM runs r SEMI JOIN phrases p ON r.n = p.n AND r.phrase = p.phrase),
+covered AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS i FROM found) GROUP BY 1),
+items AS (SELECT DISTINCT f.doc_id, p.item FROM found f JOIN phrases p ON f.n = p.n AND f.phrase = p.phrase),
+named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM items GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op11_positional_decontamination", PHRASE_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+  FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_rotated_code_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, "vec_id % 100 = 0")
+
+
+# The table of the checksum is made by its rule; 3988292384 is its fixed polynomial, 4294967295 its start.
+SPELLING_SQL = rf"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce([i] || range(8), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({LOWER_SQL}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+occurring AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM runs GROUP BY 1, 2),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(0, length(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT),
+    lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1]))) AS h
+  FROM occurring, steps),
+spoilt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spoilt GROUP BY 1 HAVING sum(n) >= 3 AND length(word) >= 5),
+less AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+cuts AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM less),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) WHERE a.word <> b.word
+  UNION SELECT DISTINCT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT DISTINCT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+ranked AS (SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words w LEFT JOIN ranked k ON w.word = k.word AND k.r = 1),
+walked AS (
+  SELECT word, word AS root, form AS ahead FROM formed
+  UNION ALL SELECT w.word, f.word, f.form FROM walked w JOIN formed f ON w.ahead = f.word)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM formed f JOIN walked w ON f.word = w.word AND w.ahead IS NULL
+"""
+
+
+@query("op13_trie_spelling", SPELLING_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"), slip=97)
