@@ -88,7 +88,8 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(paths, edges) of the trie over (id, text), as written tables.
 
     paths (id, text, depth, node, code): the nodes of each word from its middle on. edges (node, code, label, child, ends,
-    codes): child is the next node, and codes how it goes on; or child is NULL where one word is left, which `ends` names.
+    codes, after): child is the next node, and codes how it goes on; or child is NULL where one word is left, which `ends`
+    names. `after` is what can follow the first character.
     """
     places = beginnings(words)
     nodes = places.groupBy("node").agg(F.min("code").alias("low"), F.max("code").alias("high")).where("low <> high").select("node")
@@ -100,7 +101,10 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     step = F.min(F.struct(F.length(label), label.alias("label"), "child", F.when(F.col("child").isNull(), F.col("id")).alias("ends")))
     edges = paths.groupBy("node", "code").agg(step.alias("step")).select("node", "code", "step.label", "step.child", "step.ends")
     codes = paths.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(coded(F.col("code"))), "").alias("codes"))
-    return paths.select("id", "text", "depth", "node", "code"), stash(edges.join(codes, "child", "left"), "trie-edges")
+    second = F.expr("substring(label, 2, 1)")
+    after = F.when(second != "", second).when(F.col("child").isNull(), F.lit("#")).otherwise(F.col("codes"))
+    edges = edges.join(codes, "child", "left").withColumn("after", F.when(F.col("code") != "", after))
+    return paths.select("id", "text", "depth", "node", "code"), stash(edges, "trie-edges")
 
 
 def coded(code: Column) -> Column:
@@ -112,17 +116,26 @@ def near_in_trie(words: DataFrame) -> list[DataFrame]:
     """Parts of (id, other): words one edit apart whose first difference lies in the second half of `id`'s word."""
     paths, edges = trie(words)
     chars = F.char_length("text")
+    next_code = F.expr("substring(text, depth + 2, 1)")
     opened = paths.where(F.col("depth") >= F.floor(chars / 2)).withColumnRenamed("code", "own")
-    opened = dealt_join(opened, edges, ["node"]).where(F.col("own") != F.col("code"))
-    more, long = F.expr("substring(label, 2)"), F.char_length("label")
-    after = lambda skip, what, size: F.expr(f"substring(text, depth + 1 + {skip}, {size})") == what
-    takes = F.col("code") != ""
-    moved = F.array(
-        F.when(takes & after(0, more, "char_length(label) - 1"), F.col("depth") + long - 1),  # the other word has one more
-        F.when(takes & (F.col("depth") < chars) & after(1, more, "char_length(label) - 1"), F.col("depth") + long),
-        F.when((F.col("depth") < chars) & after(1, F.col("label"), "char_length(label)"), F.col("depth") + 1 + long),
+    names = ["id", "text", "position", "child", "ends", "codes"]
+    # the other word has one character more here, or another one: two characters of it are known with the edge's first
+    looks = F.array(
+        F.struct(F.lit(0).alias("skip"), coded(F.col("own")).alias("second")),
+        F.when(F.col("depth") < chars, F.struct(F.lit(1).alias("skip"), coded(next_code).alias("second"))),
     )
-    states = opened.select("id", "text", F.explode(F.array_compact(moved)).alias("position"), "child", "ends", "codes")
+    looking = opened.select("id", "text", "depth", "node", "own", F.explode(F.array_compact(looks)).alias("look"))
+    looking = looking.select("id", "text", "depth", "node", "own", "look.skip", "look.second")
+    onward = edges.where("code <> ''").withColumn("second", F.explode(F.split("after", "")))
+    met = dealt_join(looking, onward, ["node", "second"]).where(F.col("own") != F.col("code"))
+    met = met.where(F.expr("substring(text, depth + 1 + skip, char_length(label) - 1) = substring(label, 2)"))
+    more = met.withColumn("position", F.expr("depth + skip + char_length(label) - 1")).select(*names)
+    # the other word lacks a character here
+    lacking = opened.where(F.col("depth") < chars).withColumn("code", next_code)
+    met = dealt_join(lacking, edges, ["node", "code"]).where(F.col("own") != F.col("code"))
+    met = met.where(F.expr("substring(text, depth + 2, char_length(label)) = label"))
+    less = met.withColumn("position", F.expr("depth + 1 + char_length(label)")).select(*names)
+    states = more.unionByName(less)
     ahead = F.instr("codes", coded(F.expr("substring(text, position + 1, 1)"))) > 0
     whole = F.when(F.col("child").isNotNull(), ahead).otherwise(F.col("position") == F.char_length("text"))
     found = []
