@@ -42,9 +42,10 @@ def clean_artists(artists: DataFrame) -> DataFrame:
 
 
 def clean_track_columns(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Candidate columns of an enriched track: blank text filled, numbers as doubles; genres as `clean_artists` left them."""
+    """Candidate columns of an enriched track: blank text filled, numbers as doubles; genres as `clean_artists` left them.
+    The position goes along where there is one."""
     texts = ["artist_name", "track_uri", "album_uri", "artist_uri", "track_name", "album_name"]
-    columns: list[Column] = [F.col("pid"), F.col("pos").cast("bigint").alias("pos_can")]
+    columns: list[Column] = [F.col("pid"), *[F.col("pos").cast("bigint").alias("pos_can") for c in items.columns if c == "pos"]]
     columns += [blank_to(c).alias(f"{c}_can") for c in texts]
     columns.append(as_double("duration_ms").alias("duration_ms_can"))
     columns += [null_to(as_double(c), 0.0).alias(f"{c}_can") for c in ("track_pop", "artist_pop")]

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.scalars import null_to
-from segue.operators.sequence import training_samples
+from segue.operators.sequence import Lists, training_samples
 from segue.schemas import (
     AUDIO_EXAMPLE_REALS, AUDIO_EXAMPLE_TEXTS, ENTITY_TEXTS, HISTORY_REALS, RANK_LABEL, feature_set,
 )
@@ -24,20 +22,19 @@ def fill_audio(audio: DataFrame, key: str = "track_uri") -> DataFrame:
     return audio.select(F.col(key).alias(f"{key}_can"), *reals, *texts)
 
 
-def build_examples(items: DataFrame, lists: DataFrame, n: int = 5, heavy: Sequence | None = None, full_only: bool = True, clustered: bool = False) -> DataFrame:
+def build_examples(items: Lists, lists: DataFrame, n: int = 5, full_only: bool = True) -> DataFrame:
     """Examples of the `rank` feature set plus `pid` and `pos`.
 
-    `items` holds pid, pos and all candidate columns (`…_can`), audio included: each feature table is joined once
-    per track before the window, and the history arrays take the joined columns along. `lists` holds pid, name and
-    collaborative. `clustered` as in `with_prefix_aggregates`.
+    `items` holds all candidate columns (`…_can`), audio included: each feature table is joined once per track before
+    the lists are cut, and the history arrays take the joined columns along. `lists` holds pid, name and collaborative.
     """
     names = [*ENTITY_TEXTS, *AUDIO_EXAMPLE_TEXTS, *HISTORY_REALS, *AUDIO_EXAMPLE_REALS]
     history = {f"{c}_pl": f"{HISTORY_SOURCES.get(c, c)}_can" for c in names}
     samples = training_samples(
-        items, "pid", "pos", history,
+        items, history,
         sums={"pl_duration_ms_new": "duration_ms_can"},
         distincts={"num_pl_artists_new": "artist_name_can", "num_pl_albums_new": "album_uri_can"},
-        count="num_pl_songs_new", rank=RANK_LABEL, n=n, full_only=full_only, heavy=heavy, clustered=clustered,
+        count="num_pl_songs_new", rank=RANK_LABEL, n=n, full_only=full_only,
     )
     named = lists.select(
         "pid", null_to("name", "").alias("pl_name_src"), F.col("collaborative").alias("pl_collaborative_src")

@@ -1,183 +1,195 @@
-"""Ordered lists as windows: positions, history, running aggregates, chunks.
+"""Ordered lists as scans: positions, history, running aggregates, chunks.
 
-A list ("playlist") is a key `pid` and a dense position `pos`. Ordinary lists are handled by one window over
-`pid`, so positions, history and aggregates share one shuffle. Lists with very many items are cut by position.
+A list ("playlist") is a key `pid` and an order. All lists together are sorted once by (list, order) and cut into ranges,
+the pieces; a list of any length, be its key NULL, lies in one piece or in some that follow each other. Windows run
+inside (list, piece). What a piece must know of the pieces before it comes as extra rows: at most one list goes on from
+one piece to the next, so there is at most one carried row of sums for a piece, the last n items for its history, and
+the values already seen for its distinct counts. No list is looked at for its size and none takes another path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from segue.operators.skew import heavy_keys, running_offsets, split_heavy
 from segue.session import stash
 
-BLOCK = 100_000
 CHUNK = 250
+PIECE, LEAD, PLACE = "_piece", "_lead", "_place"
 
 
-def _heavy(df: DataFrame, pid: str, heavy: Sequence | None) -> Sequence:
-    return heavy_keys(df, pid) if heavy is None else heavy
+@dataclass(frozen=True)
+class Lists:
+    """Lists cut into pieces. `rows` and `shared` are written tables; `shared` holds the rows of the lists that lie in
+    several pieces, which are fewer than pieces. Without `dense`, positions were given and may have gaps."""
 
+    rows: DataFrame
+    shared: DataFrame
+    pid: str
+    order: tuple[str, ...]
+    pos: str
+    dense: bool
 
-def positions(
-    df: DataFrame,
-    pid: str,
-    order: Sequence[str],
-    pos: str = "pos",
-    bin_by: Column | None = None,
-    heavy: Sequence | None = None,
-) -> DataFrame:
-    """Dense 0-based position of each row in its list.
+    @property
+    def columns(self) -> list[str]:
+        names = [c for c in self.rows.columns if c != PIECE]
+        return [*names, self.pos] if self.dense else names
+
+
+def cut_lists(df: DataFrame, pid: str, order: Sequence[str], pos: str = "pos", pieces: int | None = None) -> Lists:
+    """Sort the rows by list and order and cut them into ranges; `order` must be total within a list.
 
-    `order` must be total within a list. Heavy lists are cut by `bin_by`, a non-decreasing function of the order
-    with some thousand values (default: the first order column): bins are counted, the counts summed, and only
-    one bin is sorted in one task.
+    A column called `pos` is taken as the given positions, by which the lists are ordered; else positions are counted.
+    Each range is a task's share by the shuffle settings, or there are `pieces` of them.
     """
-    bins = F.col(order[0]) if bin_by is None else bin_by
-
-    def light(part: DataFrame) -> DataFrame:
-        w = W.partitionBy(pid).orderBy(*order)
-        return part.withColumn(pos, (F.row_number().over(w) - 1).cast("bigint"))
-
-    def cut(part: DataFrame) -> DataFrame:
-        binned = part.withColumn("_bin", bins)
-        counts = binned.groupBy(pid, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-        offsets = running_offsets(counts, [pid], "_bin", "_n", "_before").drop("_n")
-        inside = F.row_number().over(W.partitionBy(pid, "_bin").orderBy(*order))
-        joined = binned.withColumn("_r", inside).join(offsets, [pid, "_bin"])
-        placed = joined.withColumn(pos, (F.col("_before") + F.col("_r") - 1).cast("bigint"))
-        return placed.select(*df.columns, pos)
-
-    return split_heavy(df, pid, _heavy(df, pid, heavy), light, cut)
-
-
-def with_history(
-    df: DataFrame,
-    pid: str,
-    pos: str,
-    attrs: Mapping[str, str | Column],
-    n: int = 5,
-    rank: str | None = None,
-    heavy: Sequence | None = None,
-    block: int = BLOCK,
+    dense = pos not in df.columns
+    order = tuple(order) if dense else (pos,)
+    by = [pid, *order]
+    ranged = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    rows = stash(ranged.withColumn(PIECE, F.spark_partition_id()), "lists")
+    ends = rows.groupBy(PIECE).agg(F.min(F.struct(pid)).alias("first"), F.max(F.struct(pid)).alias("last"))
+    before = F.lag("last").over(W.partitionBy(F.lit(0)).orderBy(PIECE))  # a row for each piece
+    going = ends.withColumn("before", before).where(F.col("before").isNotNull() & F.col(f"first.{pid}").eqNullSafe(F.col(f"before.{pid}")))
+    going = going.select(F.col(f"first.{pid}").alias("_going")).distinct()
+    shared = rows.join(F.broadcast(going), F.col(pid).eqNullSafe(F.col("_going")), "left_semi")
+    return Lists(rows, stash(shared, "shared-lists"), pid, order, pos, dense)
+
+
+def _carried(lists: Lists, totals: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Sums of (pid, piece, values...) over a list's earlier pieces, a row for each piece that goes on with a list."""
+    before = W.partitionBy(lists.pid).orderBy(PIECE).rowsBetween(W.unboundedPreceding, -1)
+    piece = W.partitionBy(lists.pid).orderBy(PIECE)
+    sums = totals.withColumns({v: F.sum(v).over(before) for v in values} | {"_no": F.row_number().over(piece)})
+    return sums.where("_no > 1").drop("_no")
+
+
+def _shared_positions(lists: Lists) -> DataFrame:
+    """The rows of `shared` with their positions in PLACE."""
+    if not lists.dense:
+        return lists.shared.withColumn(PLACE, F.col(lists.pos))
+    inside = F.row_number().over(W.partitionBy(lists.pid, PIECE).orderBy(*lists.order))
+    counts = lists.shared.groupBy(lists.pid, PIECE).agg(F.count(F.lit(1)).alias("_n"))
+    carried = _carried(lists, counts, ["_n"]).select(F.col(lists.pid).alias("_list"), F.col(PIECE).alias("_at"), "_n")
+    met = (F.col(PIECE) == F.col("_at")) & F.col(lists.pid).eqNullSafe(F.col("_list"))
+    joined = lists.shared.withColumn("_r", inside).join(F.broadcast(carried), met, "left")
+    return joined.withColumn(PLACE, (F.col("_r") - 1 + F.coalesce("_n", F.lit(0))).cast("bigint")).drop("_r", "_n", "_list", "_at")
+
+
+def _earlier_items(lists: Lists, n: int) -> DataFrame:
+    """The last n positions before each piece that goes on with a list, as rows of that piece."""
+    placed = _shared_positions(lists)
+    starts = placed.groupBy(lists.pid, PIECE).agg(F.min(PLACE).alias("_start"))
+    starts = starts.withColumn("_no", F.row_number().over(W.partitionBy(lists.pid).orderBy(PIECE))).where("_no > 1")
+    back = F.explode(F.sequence(F.col("_start") - n, F.col("_start") - 1)).alias("_wanted")
+    wanted = starts.select(F.col(lists.pid).alias("_list"), F.col(PIECE).alias("_to"), back)
+    met = (F.col(PLACE) == F.col("_wanted")) & F.col(lists.pid).eqNullSafe(F.col("_list"))
+    found = placed.join(wanted, met).drop(PIECE, "_list", "_wanted").withColumnRenamed("_to", PIECE)
+    return found.withColumn(LEAD, F.lit(1))
+
+
+def _seen_values(lists: Lists, column: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that say which values earlier pieces have, number of new values in each piece)."""
+    held = lists.shared.where(F.col(column).isNotNull()).select(lists.pid, PIECE, column).distinct()
+    first = F.row_number().over(W.partitionBy(lists.pid, column).orderBy(PIECE))
+    numbered = held.withColumn("_no", first)
+    new = numbered.groupBy(lists.pid, PIECE).agg(F.sum(F.when(F.col("_no") == 1, 1.0).otherwise(0.0)).alias(name))
+    return numbered.where("_no > 1").drop("_no").withColumn(LEAD, F.lit(0)), new
+
+
+def fan_out(
+    lists: Lists, history: Mapping[str, str | Column] | None = None, n: int = 5, rank: str | None = None,
+    sums: Mapping[str, str] | None = None, distincts: Mapping[str, str] | None = None, count: str | None = None,
 ) -> DataFrame:
-    """Parallel arrays of the items at positions [pos-n, pos-1], in order of position.
+    """Every item with its position, its history and aggregates over all earlier items of its list.
 
-    `attrs` maps array name to item column. The frame is a range on position, so gaps stay gaps. `rank` names an
-    array of distances to the current item. Heavy lists are cut into blocks of positions; the last n positions
-    of a block are repeated at the start of the next, so no frame crosses a cut.
-    """
-    sources = {name: F.col(c) if isinstance(c, str) else c for name, c in attrs.items()}
+    `history` maps an array's name to an item column: the items at positions [pos-n, pos-1] in order, so gaps stay gaps;
+    `rank` names an array of their distances. `sums` and `distincts` map a result to the column that is added up or
+    counted once for each value (NULL is not counted), `count` names the number of earlier items.
 
-    def arrays(part: DataFrame, keys: Sequence[str]) -> DataFrame:
-        item = F.struct(F.col(pos).alias("_p"), *[c.alias(name) for name, c in sources.items()])
-        frame = W.partitionBy(*keys).orderBy(pos).rangeBetween(-n, -1)
-        seen = part.withColumn("_hist", F.collect_list(item).over(frame))
-        out = {name: F.col(f"_hist.{name}") for name in sources}
+    All of it is one shuffle by (list, piece): a distinct count is the running sum of "first time seen" flags.
+    """
+    history, sums, distincts = dict(history or {}), dict(sums or {}), dict(distincts or {})
+    pid, pos = lists.pid, lists.pos
+    counted = {name: f"_c_{name}" for name in [*sums, *distincts, *([count] if count else []), *([PLACE] if lists.dense else [])]}
+    totals = {name: F.sum(F.col(c).cast("double")) for name, c in sums.items()}
+    totals |= {name: F.count(F.lit(1)).cast("double") for name in counted if name in (count, PLACE)}
+
+    extra, carried = [], lists.shared.groupBy(pid, PIECE).agg(F.lit(1).alias("_one"), *[t.alias(f"_c_{name}") for name, t in totals.items()])
+    for name, column in distincts.items():
+        seen, new = _seen_values(lists, column, f"_c_{name}")
+        extra.append(seen)
+        new = new.select(F.col(pid).alias("_list"), F.col(PIECE).alias("_at"), f"_c_{name}")
+        met = (F.col(PIECE) == F.col("_at")) & F.col(pid).eqNullSafe(F.col("_list"))
+        carried = carried.join(new, met, "left").drop("_list", "_at").fillna(0.0, [f"_c_{name}"])
+    if counted:
+        extra.append(_carried(lists, carried.drop("_one"), list(counted.values())).withColumn(LEAD, F.lit(0)))
+    if history:
+        extra.append(_earlier_items(lists, n))
+    rows = lists.rows.withColumns({LEAD: F.lit(1), "_own": F.lit(True)})
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), extra, rows)
+    if PLACE not in rows.columns:
+        rows = rows.withColumn(PLACE, F.lit(None).cast("bigint"))
+
+    if distincts:  # else each window over a value would shuffle for itself
+        rows = rows.repartition(pid, PIECE)
+    along = [LEAD, *lists.order]
+    own = F.coalesce("_own", F.lit(False))
+    for name, column in distincts.items():
+        first = F.row_number().over(W.partitionBy(pid, PIECE, column).orderBy(*along)) == 1
+        rows = rows.withColumn(f"_f_{name}", (first & F.col(column).isNotNull()).cast("double"))
+    measures = {name: F.col(c).cast("double") for name, c in sums.items()} | {name: F.col(f"_f_{name}") for name in distincts}
+    earlier = W.partitionBy(pid, PIECE).orderBy(*along).rowsBetween(W.unboundedPreceding, -1)
+    added = {}
+    for name, held in counted.items():
+        measure = F.when(own, measures.get(name, F.lit(1.0))).otherwise(F.col(held))
+        added[name] = F.coalesce(F.sum(measure).over(earlier), F.lit(0.0))
+    if lists.dense:
+        added[pos] = F.coalesce(PLACE, added.pop(PLACE).cast("bigint"))
+    rows = rows.withColumns(added)
+    if history:
+        frame = W.partitionBy(pid, PIECE).orderBy(*along).rowsBetween(-n, -1) if lists.dense else W.partitionBy(pid, PIECE).orderBy(pos).rangeBetween(-n, -1)
+        item = F.struct(F.col(pos).alias("_p"), *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in history.items()])
+        rows = rows.withColumn("_hist", F.collect_list(F.when(F.col(LEAD) == 1, item)).over(frame))
+        out = {name: F.col(f"_hist.{name}") for name in history}
         if rank:
             out[rank] = F.transform("_hist._p", lambda p: (F.col(pos) - p).cast("double"))
-        return seen.withColumns(out).drop("_hist")
+        rows = rows.withColumns(out)
+    results = [*sums, *distincts, *([count] if count else []), *history, *([rank] if rank and history else [])]
+    return rows.where(own).select(*lists.columns, *[c for c in results if c not in lists.columns])
 
-    def cut(part: DataFrame) -> DataFrame:
-        size = max(block, n)
-        own = F.floor(F.col(pos) / size)
-        near_end = F.col(pos) % size >= size - n
-        homes = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
-        spread = part.withColumn("_own", own).withColumn("_block", F.explode(homes))
-        return arrays(spread, [pid, "_block"]).where(F.col("_block") == F.col("_own")).drop("_block", "_own")
 
-    return split_heavy(df, pid, _heavy(df, pid, heavy), lambda d: arrays(d, [pid]), cut)
+def positions(df: DataFrame, pid: str, order: Sequence[str], pos: str = "pos") -> DataFrame:
+    """Dense 0-based position of each row in its list; `order` must be total within a list."""
+    return fan_out(cut_lists(df.drop(pos), pid, order, pos))
 
 
-def with_prefix_aggregates(
-    df: DataFrame,
-    pid: str,
-    pos: str,
-    sums: Mapping[str, str],
-    distincts: Mapping[str, str],
-    count: str | None = None,
-    heavy: Sequence | None = None,
-    block: int = BLOCK,
-    clustered: bool = False,
-) -> DataFrame:
-    """Running sums, row count and distinct counts over all earlier items of the list.
+def with_history(df: DataFrame, pid: str, pos: str, attrs: Mapping[str, str | Column], n: int = 5, rank: str | None = None) -> DataFrame:
+    """`fan_out` of the history alone, for rows whose positions are given."""
+    return fan_out(cut_lists(df, pid, [pos], pos), attrs, n, rank)
 
-    A distinct count is the running sum of "first time seen" flags, so there is no distinct window and no
-    growing set. NULL is not counted. Heavy lists are written out once, as they are used several times: flags come from one aggregate over (list, value), sums run
-    inside blocks of positions, and the totals of the earlier blocks are added.
 
-    Rows are brought together by list once, before the windows over (list, value), which would else shuffle each
-    for itself. Pass `clustered` if the rows of a list already share a partition, as after `positions`.
-    """
-    heavy = _heavy(df, pid, heavy)
-    totals = {name: F.col(c).cast("double") for name, c in sums.items()}
-    if count:
-        totals[count] = F.lit(1.0)
-
-    def flag(name: str) -> str:
-        return f"_first_{name}"
-
-    def measures() -> dict[str, Column]:
-        return {**totals, **{name: F.col(flag(name)) for name in distincts}}
-
-    def light(part: DataFrame) -> DataFrame:
-        part = part.repartition(pid) if distincts and not (clustered and not heavy) else part
-        for name, c in distincts.items():
-            w = W.partitionBy(pid, c).orderBy(pos)
-            first = (F.row_number().over(w) == 1) & F.col(c).isNotNull()
-            part = part.withColumn(flag(name), first.cast("double"))
-        w = W.partitionBy(pid).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-        out = part.withColumns({name: F.coalesce(F.sum(m).over(w), F.lit(0.0)) for name, m in measures().items()})
-        return out.drop(*[flag(name) for name in distincts])
-
-    def cut(part: DataFrame) -> DataFrame:
-        part = stash(part, "heavy-lists")
-        for name, c in distincts.items():
-            firsts = part.where(F.col(c).isNotNull()).groupBy(pid, c).agg(F.min(pos).alias(pos))
-            firsts = firsts.select(pid, pos, F.lit(1.0).alias(flag(name)))
-            part = part.join(firsts, [pid, pos], "left").fillna(0.0, [flag(name)])
-        part = part.withColumn("_block", F.floor(F.col(pos) / block))
-        parts = measures()
-        sums_ = part.groupBy(pid, "_block").agg(*[F.sum(m).alias(f"_t_{name}") for name, m in parts.items()])
-        before = W.partitionBy(pid).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-        earlier = sums_.select(
-            pid, "_block", *[F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0.0)).alias(f"_b_{x}") for x in parts]
-        )
-        w = W.partitionBy(pid, "_block").orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-        inside = part.withColumns({f"_i_{x}": F.coalesce(F.sum(m).over(w), F.lit(0.0)) for x, m in parts.items()})
-        joined = inside.join(earlier, [pid, "_block"])
-        joined = joined.withColumns({x: F.col(f"_i_{x}") + F.col(f"_b_{x}") for x in parts})
-        return joined.select(*df.columns, *parts)
-
-    return split_heavy(df, pid, heavy, light, cut)
+def with_prefix_aggregates(
+    df: DataFrame, pid: str, pos: str, sums: Mapping[str, str], distincts: Mapping[str, str], count: str | None = None
+) -> DataFrame:
+    """`fan_out` of the aggregates alone, for rows whose positions are given."""
+    return fan_out(cut_lists(df, pid, [pos], pos), sums=sums, distincts=distincts, count=count)
 
 
 def training_samples(
-    items: DataFrame,
-    pid: str,
-    pos: str,
-    history: Mapping[str, str],
-    sums: Mapping[str, str],
-    distincts: Mapping[str, str],
-    count: str = "n_items",
-    rank: str | None = "candidate_rank",
-    n: int = 5,
-    full_only: bool = True,
-    heavy: Sequence | None = None,
-    clustered: bool = False,
+    lists: Lists, history: Mapping[str, str], sums: Mapping[str, str], distincts: Mapping[str, str], count: str = "n_items",
+    rank: str | None = "candidate_rank", n: int = 5, full_only: bool = True,
 ) -> DataFrame:
     """One sample per item that has earlier items: history arrays plus aggregates over all earlier items.
 
     With `full_only` just the samples with exactly n history items stay; otherwise those with at least one
     earlier item.
     """
-    heavy = _heavy(items, pid, heavy)
-    out = with_prefix_aggregates(items, pid, pos, sums, distincts, count, heavy, clustered=clustered)
-    out = with_history(out, pid, pos, history, n, rank, heavy)
+    out = fan_out(lists, history, n, rank, sums, distincts, count)
     first = next(iter(history))
     return out.where(F.size(first) == n) if full_only else out.where(F.col(count) > 0)
 
@@ -205,10 +217,10 @@ def chunk_lists(df: DataFrame, pid: str, pos: str, fields: Sequence[str], out: s
 
 
 def sorted_chunks(
-    df: DataFrame, pid: str, order: Sequence[str], fields: Sequence[str], out: str = "tracks", chunk: int = CHUNK, heavy: Sequence | None = None
+    df: DataFrame, pid: str, order: Sequence[str], fields: Sequence[str], out: str = "tracks", chunk: int = CHUNK
 ) -> DataFrame:
     """Lists sorted by other columns than their position: the rows of a list, one after another, are in one order."""
-    ranked = positions(df, pid, order, "rank", heavy=heavy)
+    ranked = positions(df, pid, order, "rank")
     return chunk_lists(ranked, pid, "rank", fields, out, chunk)
 
 

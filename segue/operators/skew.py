@@ -1,13 +1,8 @@
-"""Ways to keep one heavy key from becoming one heavy task.
-
-A window over a key sends all rows of the key to one task. For most keys that is the cheapest plan:
-one shuffle, no second pass. Keys with very many rows are found first and take another path that cuts
-the key into pieces of a bounded size; both paths give the same rows.
-"""
+"""Ways to keep one heavy key from becoming one heavy task."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,38 +10,33 @@ from pyspark.sql import Window as W
 
 from segue.session import stash
 
-HEAVY_ROWS = 1_000_000
-MAX_HEAVY = 10_000
-
+DEALT_ROWS, MOST_HOT = 100_000, 10_000
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, limit: int = MAX_HEAVY) -> list:
-    """Keys with more than `min_rows` rows, heaviest first.
 
-    At most `limit` keys reach the driver. A key that is left out holds less than 1/limit of all rows,
-    because `limit` keys with at least as many rows come before it.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.where((F.col("n") > min_rows) & F.col(key).isNotNull())
-    return [row[0] for row in counts.orderBy(F.desc("n"), key).limit(limit).collect()]
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether the frame has at most `max_rows` rows; reads no more than one row beyond that."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def split_heavy(
-    df: DataFrame,
-    key: str,
-    heavy: Sequence,
-    light_plan: Callable[[DataFrame], DataFrame],
-    heavy_plan: Callable[[DataFrame], DataFrame],
+def dealt_groups(
+    many: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner", per_part: int = DEALT_ROWS, most: int = MOST_HOT
 ) -> DataFrame:
-    """Run `light_plan` on the ordinary keys and `heavy_plan` on the listed ones; the union is whole."""
-    if not heavy:
-        return light_plan(df)
-    listed = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
-    return light_plan(df.where(~listed)).unionByName(heavy_plan(df.where(listed)))
+    """The join on `keys` of many rows a key with few; keys with more than `per_part` rows of `many` are dealt over tasks.
 
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether the frame has at most `max_rows` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    The rows of such a key go to parts by their hash, and its rows of `few` are repeated for each part. The list of these
+    keys is broadcast: a part holds at least one row in `most` of the table, so there are at most `most` keys whatever the
+    table's size. `many` is read twice, so it should be a written table. `how` is inner, left_semi or left_anti.
+    """
+    keys = list(keys)
+    total = many.count()
+    if total <= per_part:
+        return many.join(few, keys, how)
+    part = max(per_part, total // most)
+    hot = many.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).alias("_parts")).where("_parts > 1")
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    left = many.join(F.broadcast(hot), keys, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts)).drop("_parts")
+    right = few.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
 
 
 def top_per_group(

@@ -167,8 +167,7 @@ def _(spark, sf):
 def _(spark, sf):
     part = t.table(spark, sf, "part")
     learnt = vocab.fit_vocab(part, ["p_name"], max_tokens=50).withColumn("feature", F.lit("names"))
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy, t.names(spark, sf)), "pid", "pos", {"names": "p_name"}, N, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf, t.names(spark, sf)), {"names": "p_name"}, N)
     ids = vocab.vectorize_text(rows.where(F.size("names") == N).select("pid", "pos", "names"), ["pid", "pos"], learnt, {"names": "ids"})
     return ids.select("pid", "pos", F.array_join(F.transform("ids", t.text_of), "|").alias("ids"))
 
@@ -219,8 +218,7 @@ def _(spark, sf):
 
 @query("pool_mean_1d", f"WITH {ITEMS}, h AS (SELECT pid, pos, list(duration) {HIST} AS d FROM items) SELECT pid, pos, round(list_avg(d), 6) AS duration_mean FROM h WHERE len(d) > 0")
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy), "pid", "pos", {"d": "duration"}, N, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"d": "duration"}, N)
     return rows.where(F.size("d") > 0).select("pid", "pos", F.round(V.mean("d"), 6).alias("duration_mean"))
 
 

@@ -11,6 +11,7 @@ from segue.plans import tables as t
 from segue.plans.registry import query
 from segue.plans.tables import ALBUM_ITEMS, ARTISTS, AUDIO, ITEMS, TRACKS, sql_micro, sql_text, sql_whole
 from segue.schemas import AUDIO_EXAMPLE_REALS, AUDIO_EXAMPLE_TEXTS
+from segue.session import stash
 from segue.sources.examples import encode, parse, require_fields
 
 N = 5
@@ -41,11 +42,10 @@ flags AS (
     FROM samples WHERE len(track_pl) = {N}""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
     rows = S.training_samples(
-        t.album_items(spark, sf, heavy), "pid", "pos",
+        t.album_lists(spark, sf),
         {"track_pl": "track_id", "artist_pl": "artist_id", "duration_pl": "duration"},
-        {"duration_seed": "duration"}, {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", n=N, heavy=heavy, clustered=True,
+        {"duration_seed": "duration"}, {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", n=N,
     )
     rows = sampling.with_split(rows, "pid")
     return rows.select(
@@ -62,10 +62,7 @@ def _(spark, sf):
     SELECT pid, pos, track_id, coalesce({sql_text('track_pl')}, '') AS track_pl, coalesce({sql_text('artist_pl')}, '') AS artist_pl FROM h""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(
-        t.placed_items(spark, sf, heavy), "pid", "pos", {"track_pl": "track_id", "artist_pl": "artist_id"}, N, heavy=heavy
-    )
+    rows = S.fan_out(t.item_lists(spark, sf), {"track_pl": "track_id", "artist_pl": "artist_id"}, N)
     return rows.select("pid", "pos", "track_id", t.text_of("track_pl").alias("track_pl"), t.text_of("artist_pl").alias("artist_pl"))
 
 
@@ -75,8 +72,7 @@ def _(spark, sf):
     SELECT pid, pos, {sql_text('list_transform(before, lambda p: pos - p)')} AS candidate_rank FROM h WHERE pos > 0""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy), "pid", "pos", {"track_pl": "track_id"}, N, "rank", heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"track_pl": "track_id"}, N, "rank")
     return rows.where("pos > 0").select("pid", "pos", t.whole_text("rank").alias("candidate_rank"))
 
 
@@ -86,8 +82,7 @@ def _(spark, sf):
     FROM items a JOIN items b ON a.pid = b.pid AND b.pos >= a.pos - {N} AND b.pos < a.pos GROUP BY a.pid, a.pos""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy), "pid", "pos", {"d": "duration"}, N, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"d": "duration"}, N)
     total = F.aggregate("d", F.lit(0.0), lambda acc, x: acc + x)
     return rows.where(F.size("d") > 0).select("pid", "pos", F.size("d").cast("bigint").alias("n"), total.alias("duration"))
 
@@ -98,8 +93,7 @@ def _(spark, sf):
     SELECT pid, pos, track_id, {sql_text('track_pl')} AS track_pl FROM h WHERE len(track_pl) = {N}""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy), "pid", "pos", {"track_pl": "track_id"}, N, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"track_pl": "track_id"}, N)
     return rows.where(F.size("track_pl") == N).select("pid", "pos", "track_id", t.text_of("track_pl").alias("track_pl"))
 
 
@@ -109,9 +103,7 @@ def _(spark, sf):
     FROM items a JOIN items b ON a.pid = b.pid AND b.pos < a.pos GROUP BY a.pid, a.pos""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_prefix_aggregates(t.placed_items(spark, sf, heavy), "pid", "pos", {}, {}, "n", heavy)
-    rows = S.with_history(rows, "pid", "pos", {"before": "pos"}, 1, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"before": "pos"}, 1, count="n")
     return rows.where("n > 0").select(
         "pid", "pos", F.col("n").cast("bigint").alias("n_before"), F.element_at("before", -1).alias("last_before")
     )
@@ -122,10 +114,8 @@ PREFIX = """SELECT pid, pos, coalesce(sum(duration) {e}, 0) AS duration_seed, CA
 
 
 def _prefix(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_prefix_aggregates(
-        t.album_items(spark, sf, heavy), "pid", "pos", {"duration_seed": "duration"},
-        {"n_artists": "artist_id", "n_albums": "album"}, "n_songs", heavy, clustered=True,
+    rows = S.fan_out(
+        t.album_lists(spark, sf), sums={"duration_seed": "duration"}, distincts={"n_artists": "artist_id", "n_albums": "album"}, count="n_songs"
     )
     return rows.select("pid", "pos", "duration_seed", "n_songs", "n_artists", "n_albums")
 
@@ -135,24 +125,36 @@ def _(spark, sf):
     return _prefix(spark, sf)
 
 
-@query(
-    "agg_playlist_seed",
-    f"""WITH {ALBUM_ITEMS} SELECT a.pid, a.pos, sum(b.duration) / 1.0::DOUBLE AS duration_seed, CAST(count(*) AS DOUBLE) AS n_songs,
+SEEDS = f"""WITH {ALBUM_ITEMS} SELECT a.pid, a.pos, sum(b.duration) / 1.0::DOUBLE AS duration_seed, CAST(count(*) AS DOUBLE) AS n_songs,
       CAST(count(DISTINCT b.artist_id) AS DOUBLE) AS n_artists, CAST(count(DISTINCT b.album) AS DOUBLE) AS n_albums
-    FROM items a JOIN album_items b ON a.pid = b.pid AND b.pos < a.pos GROUP BY a.pid, a.pos""",
-)
+    FROM items a JOIN album_items b ON a.pid = b.pid AND b.pos < a.pos GROUP BY a.pid, a.pos"""
+
+
+@query("agg_playlist_seed", SEEDS)
 def _(spark, sf):
     return _prefix(spark, sf).where("n_songs > 0")
 
 
+@query("agg_playlist_seed_groupby", SEEDS)
+def _(spark, sf):
+    # the check form: where each value stands first comes from a group-by, so distinct counts are sums like the others
+    rows = stash(S.fan_out(t.album_lists(spark, sf)).select("pid", "pos", "artist_id", "album", "duration"), "album-items")
+    first = lambda c, a, b: rows.groupBy("pid", c).agg(F.min("pos").alias("pos")).select("pid", "pos", F.lit(a).alias("fa"), F.lit(b).alias("fb"))
+    firsts = first("artist_id", 1, 0).unionByName(first("album", 0, 1)).groupBy("pid", "pos").agg(F.sum("fa").alias("fa"), F.sum("fb").alias("fb"))
+    flagged = rows.join(firsts, ["pid", "pos"], "left").fillna(0, ["fa", "fb"]).select("pid", "pos", "duration", "fa", "fb")
+    sums = {"duration_seed": "duration", "n_artists": "fa", "n_albums": "fb"}
+    out = S.with_prefix_aggregates(flagged, "pid", "pos", sums, {}, "n_songs")
+    return out.where("n_songs > 0").select("pid", "pos", "duration_seed", "n_songs", "n_artists", "n_albums")
+
+
 @query(
-    "agg_playlist_seed_groupby",
+    "near_aggregates",
     f"""WITH {ALBUM_ITEMS} SELECT a.pid, a.pos, sum(b.duration) AS duration_near, CAST(count(*) AS BIGINT) AS n_near,
       CAST(count(DISTINCT b.artist_id) AS BIGINT) AS n_artists, CAST(count(DISTINCT b.album) AS BIGINT) AS n_albums
     FROM items a JOIN album_items b ON a.pid = b.pid AND b.pos < a.pos AND b.pos >= a.pos - {N} GROUP BY a.pid, a.pos""",
 )
 def _(spark, sf):
-    rows = t.album_items(spark, sf, t.heavy_lists(spark, sf))
+    rows = S.fan_out(t.album_lists(spark, sf))
     pairs = S.near_pairs(rows, "pid", "pos", N, [], {"a": "artist_id", "b": "album", "d": "duration"})
     # A group has at most N rows, so sets are cheaper than distinct counts, which copy every row per column.
     return pairs.groupBy("pid", "pos").agg(
@@ -162,7 +164,7 @@ def _(spark, sf):
 
 
 @query(
-    "join_self_theta",
+    "near_pairs",
     f"""WITH {ITEMS} SELECT a.pid, a.pos, b.pos AS pos_pl, a.track_id AS track_can, b.track_id AS track_pl
     FROM items a JOIN items b ON a.pid = b.pid AND b.pos < a.pos AND b.pos >= a.pos - {N}""",
 )
@@ -182,11 +184,7 @@ def _(spark, sf):
            coalesce({sql_text('track_pl')}, '') AS track_pl, n_before, duration_before FROM s""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_prefix_aggregates(
-        t.album_items(spark, sf, heavy), "pid", "pos", {"duration_before": "duration"}, {}, "n_before", heavy
-    )
-    rows = S.with_history(rows, "pid", "pos", {"track_pl": "track_id"}, N, heavy=heavy)
+    rows = S.fan_out(t.album_lists(spark, sf), {"track_pl": "track_id"}, N, sums={"duration_before": "duration"}, count="n_before")
     return rows.select(
         sample_id("pid", "pos").alias("pid_pos_id"), "pid", "pos", "track_id", "album", t.text_of("track_pl").alias("track_pl"),
         F.col("n_before").cast("bigint").alias("n_before"), "duration_before",
@@ -201,17 +199,14 @@ def _(spark, sf):
     SELECT * FROM seed WHERE n_songs > 0""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_prefix_aggregates(
-        t.placed_items(spark, sf, heavy), "pid", "pos", {"duration_seed": "duration"}, {}, "n_songs", heavy
-    )
+    rows = S.fan_out(t.item_lists(spark, sf), sums={"duration_seed": "duration"}, count="n_songs")
     return rows.where("n_songs > 0").select(
         sample_id("pid", "pos").alias("pid_pos_id"), "pid", "pos", "track_id", "duration_seed", "n_songs"
     )
 
 
 @query(
-    "seq_prefix",
+    "prefix_in_chunk",
     f"""WITH {ITEMS}, p AS (SELECT pid, pos, pos // {S.CHUNK} AS chunk,
       list(track_id) OVER (PARTITION BY pid, pos // {S.CHUNK} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM items)
     SELECT pid, pos, chunk, coalesce({sql_text('b')}, '') AS prefix FROM p""",
@@ -257,9 +252,8 @@ def _(spark, sf):
     SELECT pid, rank // {S.CHUNK} AS chunk, string_agg(CAST(track_id AS VARCHAR), ',' ORDER BY rank) AS tracks FROM ranked GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = t.placed_items(spark, sf, heavy).withColumn("down", -F.col("duration"))
-    nested = S.sorted_chunks(rows, "pid", ["down", "pos"], ["track_id"], heavy=heavy)
+    rows = t.items(spark, sf).withColumn("down", -F.col("duration"))
+    nested = S.sorted_chunks(rows, "pid", ["down", "pos"], ["track_id"])
     return nested.select("pid", "chunk", t.text_of(F.transform("tracks", lambda x: x.track_id)).alias("tracks"))
 
 
@@ -288,9 +282,9 @@ GENRES = """CASE WHEN split_part(substr(genres, 2, length(genres) - 2), ',', 1)
   ELSE string_split(substr(genres, 2, length(genres) - 2), ',') END"""
 
 
-def _enriched(spark, sf, heavy, audio_columns=False):
+def _enriched(spark, sf, audio_columns=False):
     """Items with track and artist features; for examples also the audio columns, and genres as text. Tables of one key are joined to each other first, so the items are
-    joined once per key, and all of it comes before the positions."""
+    joined once per key."""
     keys = t.raw_items(spark, sf).withColumns(
         {"track_uri": F.col("track_id").cast("string"), "artist_uri": F.col("artist_id").cast("string")}
     )
@@ -305,7 +299,11 @@ def _enriched(spark, sf, heavy, audio_columns=False):
     if audio_columns:
         artists = artists.withColumn("artist_genres", join_genres("artist_genres"))
     rows = enrich.enrich_items(keys, {"track_uri": track, "artist_uri": artists})
-    return S.positions(rows.withColumnRenamed("duration", "duration_ms"), "pid", t.ORDER, heavy=heavy)
+    return rows.withColumnRenamed("duration", "duration_ms")
+
+
+def _placed(spark, sf, audio_columns=False):
+    return S.positions(_enriched(spark, sf, audio_columns), "pid", t.ORDER)
 
 
 @query(
@@ -319,20 +317,25 @@ def _enriched(spark, sf, heavy, audio_columns=False):
     FROM tracks JOIN audio ON tracks.track_uri = audio.track_uri JOIN artists ON tracks.artist_uri = artists.artist_uri""",
 )
 def _(spark, sf):
-    cleaned = enrich.clean_track_columns(_enriched(spark, sf, t.heavy_lists(spark, sf)))
+    cleaned = enrich.clean_track_columns(_placed(spark, sf))
     return cleaned.withColumn("artist_genres_can", F.array_join("artist_genres_can", "|"))
 
 
-def example_items(spark, sf, heavy):
+def _example_rows(rows, *keep):
+    return enrich.clean_track_columns(rows, [f"{c}_can" for c in [*AUDIO_EXAMPLE_REALS, *AUDIO_EXAMPLE_TEXTS]] + list(keep))
+
+
+def example_items(spark, sf):
     """Items with every candidate column of the example schema."""
-    rows = _enriched(spark, sf, heavy, audio_columns=True)
-    base = enrich.clean_track_columns(rows, [f"{c}_can" for c in [*AUDIO_EXAMPLE_REALS, *AUDIO_EXAMPLE_TEXTS]])
-    return base.withColumnRenamed("pos_can", "pos")
+    return _example_rows(_placed(spark, sf, audio_columns=True)).withColumnRenamed("pos_can", "pos")
+
+
+def example_lists(spark, sf):
+    return S.cut_lists(_example_rows(_enriched(spark, sf, audio_columns=True), *t.ORDER), "pid", t.ORDER)
 
 
 def rank_examples(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    return examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy, clustered=True)
+    return examples.build_examples(example_lists(spark, sf), t.lists(spark, sf), N)
 
 
 @query(
@@ -359,8 +362,7 @@ def _(spark, sf):
     FROM u JOIN part ON u.track_id = p_partkey GROUP BY u.pid, u.pos""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_history(t.placed_items(spark, sf, heavy), "pid", "pos", {"track_pl": "track_id"}, N, heavy=heavy)
+    rows = S.fan_out(t.item_lists(spark, sf), {"track_pl": "track_id"}, N)
     full = rows.where(F.size("track_pl") == N).withColumn("row_id", F.struct("pid", "pos"))
     part = t.table(spark, sf, "part").withColumnRenamed("p_partkey", "track")
     found = enrich.lookup_arrays(full.select("row_id", "track_pl"), "row_id", "track_pl", part, "track", {"p_size": 0, "p_retailprice": 0.0})
@@ -377,10 +379,7 @@ def _(spark, sf):
            duration AS duration_ms_can FROM s JOIN customer ON s.pid = c_custkey""",
 )
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    rows = S.with_prefix_aggregates(
-        t.placed_items(spark, sf, heavy), "pid", "pos", {"duration_ms_seed_pl": "duration"}, {}, "n_songs_pl", heavy
-    )
+    rows = S.fan_out(t.item_lists(spark, sf), sums={"duration_ms_seed_pl": "duration"}, count="n_songs_pl")
     joined = rows.join(t.lists(spark, sf), "pid").select(
         "pid", "name", "collaborative", "duration_ms_seed_pl", "n_songs_pl", F.col("track_id").cast("string").alias("track_id"), "duration"
     )
@@ -421,9 +420,7 @@ FROM s JOIN customer ON s.pid = c_custkey WHERE len(track_uri_pl) = {N}"""
 
 def _parsed(spark, sf, name):
     """Examples of a feature set, with those of the columns in RANK_SQL that the set has."""
-    heavy = t.heavy_lists(spark, sf)
-    rows = examples.build_examples(example_items(spark, sf, heavy), t.lists(spark, sf), N, heavy, clustered=True)
-    parsed = parse(rows, name, N, keep=("pid", "pos"))
+    parsed = parse(rank_examples(spark, sf), name, N, keep=("pid", "pos"))
     texts = ["pid", "pos", "track_uri_can", "track_name_can", "artist_genres_can", "track_key_can", "pl_name_src", "pl_collaborative_src"]
     reals = ["artist_followers_can", "track_energy_can", "pl_duration_ms_new", "num_pl_songs_new", "num_pl_artists_new", "num_pl_albums_new"]
     shown = {c: F.col(c) for c in texts} | {c: F.col(c).cast("double") for c in reals} | {
@@ -482,8 +479,7 @@ CATALOGUE = f"""WITH {TRACKS}, {AUDIO}, {ARTISTS}, firsts AS (SELECT DISTINCT tr
 
 @query("distinct_candidates", CATALOGUE)
 def _(spark, sf):
-    heavy = t.heavy_lists(spark, sf)
-    cleaned = enrich.clean_track_columns(_enriched(spark, sf, heavy)).where("pos_can > 0")
+    cleaned = enrich.clean_track_columns(_placed(spark, sf)).where("pos_can > 0")
     columns = ["track_uri", "track_name", "artist_uri", "artist_name", "album_uri", "duration_ms", "track_pop", "artist_pop", "artist_followers"]
     filled = examples.fill_audio(t.audio(spark, sf)).select(
         "track_uri_can", "track_danceability_can", "track_tempo_can", "track_time_signature_can"

@@ -99,7 +99,7 @@ def _(spark, sf):
 
 
 def _catalogue(spark, sf):
-    items = lists.example_items(spark, sf, t.heavy_lists(spark, sf)).where("pos > 0")
+    items = lists.example_items(spark, sf).where("pos > 0")
     return items.select(*feature_set("candidate")).distinct()
 
 

@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.operators.sequence import positions
-from segue.operators.skew import heavy_keys
+from segue.operators.sequence import Lists, cut_lists, fan_out
 
 ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -37,24 +36,17 @@ def raw_items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def heavy_lists(spark: SparkSession, sf: str) -> list:
-    """Lists that need cutting; found once per query and handed on."""
-    return heavy_keys(raw_items(spark, sf).select("pid"), "pid")
-
-
-def placed_items(spark: SparkSession, sf: str, heavy: list, *features: DataFrame) -> DataFrame:
-    """Items with positions. Feature tables are joined before, so later windows by list need no new shuffle."""
+def item_lists(spark: SparkSession, sf: str, *features: DataFrame) -> Lists:
+    """The lists of items with the columns of feature tables, which are joined before the lists are cut."""
     rows = raw_items(spark, sf)
     for feature in features:
         rows = rows.join(feature, "track_id" if "track_id" in feature.columns else "artist_id")
-    placed = positions(rows, "pid", ORDER, heavy=heavy)
-    return placed.drop(*ORDER)
+    return cut_lists(rows, "pid", ORDER)
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
     """(pid, pos, track_id, artist_id, duration)."""
-    placed = placed_items(spark, sf, heavy_lists(spark, sf))
-    return placed.select("pid", "pos", "track_id", "artist_id", "duration")
+    return fan_out(item_lists(spark, sf)).select("pid", "pos", "track_id", "artist_id", "duration")
 
 
 ITEMS = """
@@ -72,8 +64,8 @@ def albums(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(F.col("p_partkey").alias("track_id"), F.col("p_brand").alias("album"))
 
 
-def album_items(spark: SparkSession, sf: str, heavy: list) -> DataFrame:
-    return placed_items(spark, sf, heavy, albums(spark, sf))
+def album_lists(spark: SparkSession, sf: str) -> Lists:
+    return item_lists(spark, sf, albums(spark, sf))
 
 
 ALBUM_ITEMS = ITEMS + """,
@@ -136,10 +128,9 @@ def names(spark: SparkSession, sf: str) -> DataFrame:
     return part.select(F.col("p_partkey").alias("track_id"), "p_name", "p_brand")
 
 
-def tracks(spark: SparkSession, sf: str, heavy: list | None = None) -> DataFrame:
+def tracks(spark: SparkSession, sf: str) -> DataFrame:
     """List items in the source's shape: text keys and names."""
-    heavy = heavy_lists(spark, sf) if heavy is None else heavy
-    return placed_items(spark, sf, heavy, names(spark, sf)).select(
+    return fan_out(item_lists(spark, sf, names(spark, sf))).select(
         "pid", "pos", F.col("track_id").cast("string").alias("track_uri"), F.col("p_name").alias("track_name"),
         F.col("artist_id").cast("string").alias("artist_uri"), F.col("p_brand").alias("album_uri"),
         F.lower("p_brand").alias("album_name"), F.col("duration").alias("duration_ms"),

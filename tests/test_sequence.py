@@ -1,4 +1,4 @@
-"""List windows: the ordinary and the heavy path must agree, with each other and with a plain loop."""
+"""List scans: any number of pieces must give what a plain loop gives."""
 
 import random
 
@@ -26,44 +26,75 @@ def rows_of(df, *columns):
     return sorted(tuple(map(repr, r)) for r in df.select(*columns).collect())
 
 
-@pytest.mark.parametrize("heavy", [[], [4, 5], [1, 2, 3, 4, 5]])
-def test_history_matches_a_loop(spark, heavy):
+@pytest.mark.parametrize("pieces", [1, 7, 40])
+def test_history_matches_a_loop(spark, pieces):
     df, rows = make_items(spark)
-    out = S.with_history(df, "pid", "pos", {"track_pl": "track"}, 5, "rank", heavy, block=7)
+    out = S.fan_out(S.cut_lists(df, "pid", ["pos"], pieces=pieces), {"track_pl": "track"}, 5, "rank")
     expected = {}
     for pid, pos, *_ in rows:
         before = sorted((q, t) for p, q, t, *_ in rows if p == pid and pos - 5 <= q < pos)
         expected[pid, pos] = ([t for _, t in before], [float(pos - q) for q, _ in before])
     found = {(r.pid, r.pos): (r.track_pl, r.rank) for r in out.collect()}
-    assert found == expected
+    assert found == expected and out.columns == [*df.columns, "track_pl", "rank"]
 
 
-@pytest.mark.parametrize("heavy", [[], [4, 5], [1, 2, 3, 4, 5]])
-def test_prefix_aggregates_match_a_loop(spark, heavy):
+@pytest.mark.parametrize("pieces", [1, 7, 40])
+def test_prefix_aggregates_match_a_loop(spark, pieces):
     df, rows = make_items(spark)
-    out = S.with_prefix_aggregates(df, "pid", "pos", {"total": "ms"}, {"artists": "artist", "albums": "album"}, "n", heavy, block=9)
+    lists = S.cut_lists(df, "pid", ["pos"], pieces=pieces)
+    out = S.fan_out(lists, sums={"total": "ms"}, distincts={"artists": "artist", "albums": "album"}, count="n")
+    found = {(r.pid, r.pos): (r.total, r.n, r.artists, r.albums) for r in out.collect()}
+    assert found == prefixes(rows)
+
+
+def prefixes(rows):
     expected = {}
     for pid, pos, *_ in rows:
         before = [r for r in rows if r[0] == pid and r[1] < pos]
         artists = {r[3] for r in before if r[3] is not None}
         expected[pid, pos] = (sum(r[5] for r in before), len(before), len(artists), len({r[4] for r in before}))
-    found = {(r.pid, r.pos): (r.total, r.n, r.artists, r.albums) for r in out.collect()}
-    assert found == expected
+    return expected
 
 
-@pytest.mark.parametrize("heavy", [[], [5], [1, 2, 3, 4, 5]])
-def test_positions_are_dense_and_ordered(spark, heavy):
+@pytest.mark.parametrize("pieces", [1, 9, 60])
+def test_positions_are_dense_and_ordered(spark, pieces):
     df, rows = make_items(spark, gaps=False)
     shuffled = df.withColumnRenamed("pos", "at").withColumn("day", F.floor(F.col("at") / 10))
-    out = S.positions(shuffled, "pid", ["day", "at"], heavy=heavy)
+    out = S.fan_out(S.cut_lists(shuffled, "pid", ["day", "at"], pieces=pieces))
     assert out.where("pos <> at").count() == 0 and out.count() == len(rows)
 
 
-def test_samples_agree_for_ordinary_and_heavy_lists(spark):
+def test_one_path_for_a_third_of_all_rows_and_null_lists(spark):
+    """A list with a third of the rows, a NULL list as long, and short ones; counted positions, all results at once."""
+    rng = random.Random(5)
+    lengths = {None: 400, 7: 400, **{p: rng.randrange(1, 12) for p in range(100, 160)}}
+    rows = [(p, i, f"t{rng.randrange(50)}", rng.choice([None, "a", "b", "c", f"x{i}"]), f"b{rng.randrange(9)}", float(rng.randrange(9))) for p, n in lengths.items() for i in range(n)]
+    expected = prefixes(rows)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "pid bigint, at bigint, track string, artist string, album string, ms double")
+    lists = S.cut_lists(df, "pid", ["at"], pieces=23)
+    assert lists.shared.where("pid = 7").count() == lists.shared.where("pid is null").count() == 400
+    out = S.fan_out(lists, {"track_pl": "track"}, 5, "rank", {"total": "ms"}, {"artists": "artist", "albums": "album"}, "n").collect()
+    assert {(r.pid, r.pos): (r.total, r.n, r.artists, r.albums) for r in out} == expected
+    tracks = {(p, i): t for p, i, t, *_ in rows}
+    for r in out:
+        assert r.pos == r["at"] and r.track_pl == [tracks[r.pid, q] for q in range(max(0, r.pos - 5), r.pos)]
+        assert r.rank == [float(d) for d in range(min(5, r.pos), 0, -1)]
+
+
+def test_empty_lists_and_pieces_shorter_than_the_history(spark):
+    empty = spark.createDataFrame([], "pid bigint, at bigint, track string")
+    assert S.fan_out(S.cut_lists(empty, "pid", ["at"]), {"h": "track"}, count="n").count() == 0
+    df = spark.createDataFrame([(1, i, f"t{i}") for i in range(30)], "pid bigint, at bigint, track string")
+    out = S.fan_out(S.cut_lists(df, "pid", ["at"], pieces=15), {"h": "track"}, 5, count="n").collect()
+    assert {r.pos: (r.h, r.n) for r in out} == {i: ([f"t{j}" for j in range(max(0, i - 5), i)], float(i)) for i in range(30)}
+
+
+def test_samples_have_a_full_history(spark):
     df, _ = make_items(spark)
-    args = ("pid", "pos", {"track_pl": "track"}, {"total": "ms"}, {"artists": "artist"})
-    plain = S.training_samples(df, *args, heavy=[])
-    cut = S.training_samples(df, *args, heavy=[4, 5])
+    plain, cut = (
+        S.training_samples(S.cut_lists(df, "pid", ["pos"], pieces=k), {"track_pl": "track"}, {"total": "ms"}, {"artists": "artist"}) for k in (1, 30)
+    )
     names = ["pid", "pos", "track_pl", "total", "artists", "n_items", "candidate_rank"]
     assert rows_of(plain, *names) == rows_of(cut, *names)
     sizes = {r.pid: r["count"] for r in plain.groupBy("pid").count().collect()}
@@ -72,18 +103,6 @@ def test_samples_agree_for_ordinary_and_heavy_lists(spark):
     assert plain.where("exists(candidate_rank, r -> r < 1 or r > 5)").count() == 0
 
 
-def test_heavy_keys_are_found_and_bounded(spark):
-    df, _ = make_items(spark, gaps=False)
-    assert skew.heavy_keys(df, "pid", min_rows=30) == [5, 4]
-    assert skew.heavy_keys(df, "pid", min_rows=0, limit=2) == [5, 4]
-
-
-def test_null_keys_survive_the_split(spark):
-    df = spark.createDataFrame([(None, 1), (1, 1), (2, 1)], "pid bigint, x int")
-    out = skew.split_heavy(df, "pid", [1], lambda d: d, lambda d: d)
-    assert out.count() == 3
-
-
 def test_chunks_hold_every_item(spark):
     df, rows = make_items(spark)
     nested = S.chunk_lists(df, "pid", "pos", ["track"], chunk=16)
@@ -147,12 +166,11 @@ def test_dense_index_in_pieces(spark):
 def test_sorted_lists_are_one_order_beyond_a_chunk(spark):
     rows = [(p, i, (i * 7919) % 600) for p, n in ((1, 600), (2, 3)) for i in range(n)]
     df = spark.createDataFrame(rows, "pid bigint, pos bigint, value int")
-    for heavy in ([], [1]):
-        nested = S.sorted_chunks(df, "pid", ["value", "pos"], ["value"], heavy=heavy).orderBy("pid", "chunk").collect()
-        for p in (1, 2):
-            values = [x.value for r in nested if r.pid == p for x in r.tracks]
-            assert values == sorted(v for q, _, v in rows if q == p)
-        assert [len(r.tracks) for r in nested] == [250, 250, 100, 3]
+    nested = S.sorted_chunks(df, "pid", ["value", "pos"], ["value"]).orderBy("pid", "chunk").collect()
+    for p in (1, 2):
+        values = [x.value for r in nested if r.pid == p for x in r.tracks]
+        assert values == sorted(v for q, _, v in rows if q == p)
+    assert [len(r.tracks) for r in nested] == [250, 250, 100, 3]
 
 
 def test_split_by_mod_is_disjoint(spark):
@@ -169,9 +187,9 @@ def test_batches(spark):
     assert sampling.repeat_epochs(df, 3).groupBy("epoch").count().where("count = 1000").count() == 3
 
 
-def test_window_form_needs_one_shuffle(spark):
+def test_windows_need_one_shuffle(spark):
     df, _ = make_items(spark)
-    plan = S.training_samples(
-        df, "pid", "pos", {"track_pl": "track"}, {"total": "ms"}, {"artists": "artist", "albums": "album"}, heavy=[]
-    )._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    lists = S.cut_lists(df, "pid", ["pos"])
+    out = S.training_samples(lists, {"track_pl": "track"}, {"total": "ms"}, {"artists": "artist", "albums": "album"})
+    rows = out._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert rows.count("Exchange ") == 1 and "Join" not in rows

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segue.operators import enrich, examples
+from segue.operators.sequence import cut_lists
 from segue.schemas import AUDIO_FEATURES, example_type, feature_set
 from segue.sources import examples as ex
 from segue.sources import slices, tables, tfrecord
@@ -200,7 +201,7 @@ def test_examples_end_to_end(spark):
         items = items.withColumn(f"{c}_can", F.lit(2.0))
     items = items.join(examples.fill_audio(table), "track_uri_can")
     named = spark.createDataFrame([(1, None, "false")], "pid bigint, name string, collaborative string")
-    out = examples.build_examples(items, named, 5, heavy=[])
+    out = examples.build_examples(cut_lists(items, "pid", ["pos"]), named, 5)
     parsed = ex.parse(out, "rank", 5).orderBy("track_uri_can").collect()
     assert [r.track_uri_can for r in parsed] == ["t5", "t6", "t7"]
     first = parsed[0]
