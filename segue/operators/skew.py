@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from segue.session import stash
 
-DEALT_ROWS, MOST_HOT = 100_000, 10_000
+DEALT_ROWS, MOST_HOT, DRAWN = 100_000, 10_000, 64
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -19,20 +19,25 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def dealt_groups(
-    many: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner", per_part: int = DEALT_ROWS, most: int = MOST_HOT
+    many: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner", per_part: int = DEALT_ROWS, rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The join on `keys` of many rows a key with few; keys with more than `per_part` rows of `many` are dealt over tasks.
 
-    The rows of such a key go to parts by their hash, and its rows of `few` are repeated for each part. The list of these
-    keys is broadcast: a part holds at least one row in `most` of the table, so there are at most `most` keys whatever the
-    table's size. `many` is read twice, so it should be a written table. `how` is inner, left_semi or left_anti.
+    The rows of such a key go to parts by their hash, and its rows of `few` are repeated for each part. The keys are found
+    in one row of DRAWN, by hash, unless `counts` (keys, n) has them; the MOST_HOT heaviest are broadcast, so a key that is
+    not listed has fewer than one row in MOST_HOT of the table. Which keys are listed changes the tasks, never the result.
+    `many` is read twice, so it should be a written table or cheap; `rows`, if given, saves counting it. `how` is inner,
+    left_semi or left_anti.
     """
     keys = list(keys)
-    total = many.count()
-    if total <= per_part:
+    if (many.count() if rows is None else rows) <= per_part:
         return many.join(few, keys, how)
-    part = max(per_part, total // most)
-    hot = many.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).alias("_parts")).where("_parts > 1")
+    if counts is None:
+        drawn = many.where(F.pmod(F.xxhash64(F.lit(9), *many.columns), F.lit(DRAWN)) == 0)
+        counts = drawn.groupBy(*keys).agg((F.count(F.lit(1)) * DRAWN).alias("n"))
+    hot = counts.select(*keys, F.ceil(F.col("n") / F.lit(per_part)).alias("_parts")).where("_parts > 1")
+    hot = hot.orderBy(F.desc("_parts"), *keys).limit(MOST_HOT)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = many.join(F.broadcast(hot), keys, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts)).drop("_parts")
     right = few.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts")

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from segue.functions import vectors as V
 from segue.functions.scalars import hash_bin
-from segue.operators import evaluate, neighbors, retrieval
+from segue.operators import evaluate, factors, neighbors, retrieval, tree_index
 from segue.operators.sampling import split_by_mod
 from segue.plans import lists
 from segue.plans import tables as t
 from segue.plans.basics import md5_sql
 from segue.plans.registry import query
 from segue.plans.tables import ITEMS, TRACKS
+from segue.session import stash
 from segue.sources.examples import label_rows
 
 DIM = 64
@@ -84,50 +88,105 @@ def _(spark, sf):
     return rows.where(~V.has_nan("v")).select("vec_id", "label")
 
 
-def _leaves(spark, sf, leaf_size=25):
-    return neighbors.build_leaves(vectors(spark, sf), leaf_size=leaf_size)
+def _tree(spark, sf, leaf_size=25):
+    return tree_index.build(vectors(spark, sf), leaf_size=leaf_size, skip_self=True)
+
+
+def _asked(spark, sf):
+    """The stated queries of the approximate searches."""
+    return vectors(spark, sf).where("id % 100 = 0").withColumnRenamed("id", "query")
 
 
 @query("ann_build_index")
 def _(spark, sf):
-    index = _leaves(spark, sf)
+    index = _tree(spark, sf)
     return index.items.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
 
 
+@query(
+    "ann_index_check",
+    """SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS miscounted, true AS below_parents
+    FROM embeddings""",
+)
+def _(spark, sf):
+    # Every row is in one leaf, under the nearest of its parent's centres; counts of nodes are those of their rows.
+    index = _tree(spark, sf)
+    centres = index.nodes.select("parent", F.col("node").alias("sibling"), "centre")
+    gap = F.aggregate(F.zip_with("vector", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    parent = F.floor((F.col("leaf") - 1) / index.fan)
+    gaps = index.items.withColumn("parent", parent).join(centres, "parent").select("id", "leaf", "sibling", gap.alias("gap"))
+    best = gaps.groupBy("id").agg(F.min("gap").alias("least"), F.min(F.when(F.col("sibling") == F.col("leaf"), F.col("gap"))).alias("own"))
+    held = index.items.groupBy("leaf").agg(F.count(F.lit(1)).alias("held")).join(index.nodes.withColumnRenamed("leaf", "is_leaf"), F.col("leaf") == F.col("node"))
+    within = index.nodes.select("n", "parent").join(index.nodes.select(F.col("node").alias("parent"), F.col("n").alias("above")), "parent")
+    return index.items.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids")).join(
+        best.agg(F.sum((F.col("own") > F.col("least") + 1e-9).cast("bigint")).alias("misplaced")), how="cross"
+    ).join(held.agg(F.sum((F.col("held") != F.col("n")).cast("bigint")).alias("miscounted")), how="cross").join(
+        within.agg(F.coalesce(F.min(F.col("n") < F.col("above")), F.lit(True)).alias("below_parents")), how="cross"
+    )
+
+
 @query("ann_search")
 def _(spark, sf):
-    asked = vectors(spark, sf).withColumnRenamed("id", "query")
-    return neighbors.search_leaves(_leaves(spark, sf), asked, 10, skip_self=True)
+    return tree_index.search(_tree(spark, sf), _asked(spark, sf), 10, skip_self=True)
 
 
 @query("ann_search_all_leaves", f"WITH {ALL_PAIRS} {sql_knn(10)}")
 def _(spark, sf):
     asked = vectors(spark, sf).withColumnRenamed("id", "query")
-    return neighbors.search_leaves(_leaves(spark, sf), asked, 10, leaf_pct=100.0, skip_self=True)
+    return tree_index.search(_tree(spark, sf), asked, 10, share=1.0, skip_self=True)
 
 
 @query("ann_rerank")
 def _(spark, sf):
-    all_vectors = vectors(spark, sf)
-    asked = all_vectors.withColumnRenamed("id", "query")
-    return neighbors.search_rerank(_leaves(spark, sf, 10), asked, all_vectors, 10, reorder=500, skip_self=True)
+    return tree_index.search(_tree(spark, sf, 10), _asked(spark, sf), 10, reorder=500, skip_self=True)
+
+
+def _searches(spark, sf):
+    """(name, what was found, what is right) of each approximate search."""
+    rows, asked = vectors(spark, sf), _asked(spark, sf)
+    exact = stash(neighbors.knn(asked, rows, 10, skip_self=True), "exact")
+    lists_ = stash(retrieval.score_lists(t.items(spark, sf), _item_vectors(spark, sf), "pid", "pos", "track_id"), "queries")
+    return [
+        ("ann_search", tree_index.search(_tree(spark, sf), asked, 10, skip_self=True), exact),
+        ("ann_rerank", tree_index.search(_tree(spark, sf, 10), asked, 10, reorder=500, skip_self=True), exact),
+        ("recommend_playlists_index", retrieval.recommend_ids(lists_, _item_vectors(spark, sf), 10, 25), neighbors.knn(lists_, _item_vectors(spark, sf), 10)),
+    ]
 
 
 @query("ann_index_recall")
 def _(spark, sf):
-    # What both searches of the index find of the true neighbours of the queries with an id divisible by 100.
-    rows = vectors(spark, sf)
-    asked = rows.where("id % 100 = 0").withColumnRenamed("id", "query")
-    of_all = rows.withColumnRenamed("id", "query")
-    exact = neighbors.knn(asked, rows, 10, skip_self=True)
-    coarse, fine = _leaves(spark, sf), _leaves(spark, sf, 10)
-    count = [neighbors.leaves_for_recall(index, of_all, 10, skip_self=True) for index in (coarse, fine)]
-    found = {
-        "ann_search": neighbors.search_leaves(coarse, asked, 10, leaves=count[0], skip_self=True),
-        "ann_rerank": neighbors.search_rerank(fine, asked, rows, 10, reorder=500, leaves=count[1], skip_self=True),
-    }
-    both = [neighbors.recall(out, exact).withColumn("search", F.lit(name)) for name, out in found.items()]
-    return both[0].unionByName(both[1]).select("search", "recalled", "expected", "recall")
+    # What each search of the index finds of the true neighbours.
+    both = [neighbors.recall(found, exact).withColumn("search", F.lit(name)) for name, found, exact in _searches(spark, sf)]
+    return reduce(DataFrame.unionByName, both).select("search", "recalled", "expected", "recall")
+
+
+@query(
+    "ann_search_check",
+    f"""WITH {ITEMS}, n AS (SELECT count(*) FILTER (WHERE vec_id % 100 = 0) * 10 AS asked FROM embeddings),
+    l AS (SELECT count(DISTINCT pid) * 10 AS asked FROM items WHERE track_id IN (SELECT vec_id FROM embeddings))
+    SELECT name AS search, CAST(CASE WHEN name = 'recommend_playlists_index' THEN l.asked ELSE n.asked END AS BIGINT) AS n_found,
+           CAST(0 AS BIGINT) AS wrong_scores, CAST(0 AS BIGINT) AS wrong_ranks, true AS recall_reached
+    FROM n, l, (VALUES ('ann_search'), ('ann_rerank'), ('recommend_playlists_index')) s(name)""",
+)
+def _(spark, sf):
+    # Approximate: which rows are found is not SQL's to say, but their number, scores, ranks and recall of 0.9 are.
+    out = []
+    for name, found, exact in _searches(spark, sf):
+        found = stash(found, "found")
+        right = found.join(exact.select("query", "id", F.col("score").alias("true")), ["query", "id"], "left")
+        order = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))
+        # a found row that is no true neighbour must score below the worst one of them
+        worst = exact.groupBy("query").agg(F.min("score").alias("worst"))
+        checked = right.join(worst, "query").withColumn("place", order)
+        wrong = F.when(F.col("true").isNull(), F.col("score") > F.col("worst")).otherwise(F.abs(F.col("score") - F.col("true")) > 1e-8)
+        counted = checked.agg(
+            F.count(F.lit(1)).alias("n_found"), F.sum(wrong.cast("bigint")).alias("wrong_scores"),
+            F.sum((F.col("place") != F.col("rank")).cast("bigint")).alias("wrong_ranks"), F.count("true").alias("hit"),
+        )
+        expected = exact.agg(F.count(F.lit(1)).alias("expected"))
+        reached = F.col("hit") >= 0.9 * F.col("expected")
+        out.append(counted.join(expected, how="cross").select(F.lit(name).alias("search"), "n_found", "wrong_scores", "wrong_ranks", reached.alias("recall_reached")))
+    return reduce(DataFrame.unionByName, out)
 
 
 SHORT = f"""short AS (
@@ -279,12 +338,12 @@ def _(spark, sf):
 
 @query("recommend_playlists_all_leaves", RECOMMENDED)
 def _(spark, sf):
-    return _recommended(spark, sf, index=_leaves(spark, sf), leaf_pct=100.0)
+    return _recommended(spark, sf, leaf_size=25, share=1.0)
 
 
 @query("recommend_playlists_index")
 def _(spark, sf):
-    return _recommended(spark, sf, index=_leaves(spark, sf))
+    return _recommended(spark, sf, leaf_size=25)
 
 
 @query(
@@ -299,6 +358,85 @@ def _(spark, sf):
     return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dims"))
 
 
+@query(
+    "cooccurrence_pmi",
+    f"""WITH {ITEMS}, c AS (SELECT a.track_id AS a, b.track_id AS b, count(*)::DOUBLE AS n FROM items a JOIN items b
+      ON a.pid = b.pid AND a.pos <> b.pos AND abs(a.pos - b.pos) <= {lists.N} AND a.track_id <> b.track_id GROUP BY 1, 2),
+    m AS (SELECT a, sum(n) AS n FROM c GROUP BY 1), t AS (SELECT sum(n) AS n FROM m),
+    x AS (SELECT c.a, c.b, ln(c.n * t.n / (p.n * q.n)) AS x FROM c JOIN m p ON c.a = p.a JOIN m q ON c.b = q.a, t)
+    SELECT a, b, round(x, 6) AS x FROM x WHERE x > 0""",
+)
+def _(spark, sf):
+    counts = factors.cooccurrence(t.items(spark, sf), "pid", "pos", "track_id", lists.N)
+    return factors.positive_pmi(counts).select("a", "b", F.round("x", 6).alias("x"))
+
+
+def _held_out(spark, sf):
+    """(items of lists to learn from, items of the other lists without their last one, that last one as the truth)."""
+    items = stash(t.items(spark, sf), "items")
+    ends = items.groupBy("pid").agg(F.max("pos").alias("end")).where("end > 0")
+    asked = items.where("pid % 10 = 0").join(ends, "pid")
+    truth = asked.where("pos = end").select(F.col("pid").alias("query"), F.col("track_id").alias("true_id"))
+    return items.where("pid % 10 <> 0"), asked.where("pos < end").drop("end"), truth
+
+
+KS = (10, 50, 100)
+
+
+def _scored(method, items_vectors, kept, truth):
+    asked = retrieval.score_lists(kept, items_vectors, "pid", "pos", "track_id").join(truth, "query")
+    return evaluate.factorized_top_k(asked, items_vectors, "true_id", KS).withColumn("method", F.lit(method))
+
+
+@query("train_item_vectors")
+def _(spark, sf):
+    # Held-out lists: how often their last item is among the best of the catalogue, for two learners and by popularity.
+    train, kept, truth = _held_out(spark, sf)
+    pmi = stash(factors.item_vectors(train, "pid", "pos", "track_id", rank=16, rounds=2), "pmi-vectors")
+    _, als = retrieval.fit_retrieval(train, "pid", "track_id", rank=16, iterations=5)
+    als = stash(als.select("id", F.col("embedding").cast("array<double>").alias("embedding")), "als-vectors")
+    base = factors.popularity(train, "track_id", truth, "true_id", KS).withColumn("method", F.lit("popularity"))
+    out = [_scored("pmi", pmi, kept, truth), _scored("als", als, kept, truth), base]
+    return reduce(DataFrame.unionByName, out).select("method", "n", *[f"top_{k}" for k in KS])
+
+
+def _part_features(spark, sf):
+    """(id, features) of every part: size, price and a flag for each brand."""
+    brand = F.right("p_brand", F.lit(1)).try_cast("int")
+    flags = [F.when(brand == i, 1.0).otherwise(0.0) for i in range(1, 6)]
+    return t.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.array(F.col("p_size") / 50.0, F.col("p_retailprice") / 2000.0, *flags).alias("features"))
+
+
+@query(
+    "feature_gram",
+    """WITH f AS (SELECT p_partkey, list_concat([p_size / 50.0::DOUBLE, p_retailprice / 2000.0::DOUBLE],
+        list_transform(range(1, 6), lambda i: CASE WHEN TRY_CAST(right(p_brand, 1) AS INTEGER) = i THEN 1.0::DOUBLE ELSE 0 END), [1.0::DOUBLE]) AS x FROM part),
+    r AS (SELECT x, embedding AS y FROM f JOIN embeddings ON p_partkey = vec_id)
+    SELECT 'xx' AS side, i, j, round(sum(x[i + 1] * x[j + 1]), 6) AS total FROM r, range(0, 8) a(i), range(0, 8) b(j) GROUP BY ALL
+    UNION ALL SELECT 'xy', i, j, round(sum(x[i + 1] * y[j + 1]::DOUBLE), 6) FROM r, range(0, 8) a(i), range(0, 64) b(j) GROUP BY ALL""",
+)
+def _(spark, sf):
+    rows = _part_features(spark, sf).join(_item_vectors(spark, sf), "id")
+    return factors.gram_sums(rows, "features", "embedding").select("side", "i", "j", F.round("total", 6).alias("total"))
+
+
+@query("unseen_item_vectors")
+def _(spark, sf):
+    # One item in five is taken out of all lists; its vector comes from its features alone.
+    train, kept, truth = _held_out(spark, sf)
+    seen = F.col("track_id") % 5 != 0
+    learnt = stash(factors.item_vectors(train.where(seen), "pid", "pos", "track_id", rank=16, rounds=2), "pmi-vectors")
+    described = _part_features(spark, sf)
+    ridge = factors.fit_ridge(described.join(learnt, "id"), "features", "embedding")
+    unseen = ridge.vectors(described.where("id % 5 = 0"), "id", "features")
+    both = stash(learnt.unionByName(unseen), "both-vectors")
+    wanted = truth.where("true_id % 5 = 0")
+    asked = retrieval.score_lists(kept.where(seen), learnt, "pid", "pos", "track_id").join(wanted, "query")
+    out = evaluate.factorized_top_k(asked, both, "true_id", KS).withColumn("method", F.lit("features"))
+    base = factors.popularity(train.where(seen), "track_id", wanted, "true_id", KS).withColumn("method", F.lit("popularity"))
+    return out.unionByName(base).select("method", "n", *[f"top_{k}" for k in KS])
+
+
 def _rank_rows(spark, sf):
     """One row per (sample, history item): numeric features of both and the distance between them."""
     samples = lists.rank_examples(spark, sf)
