@@ -89,16 +89,20 @@ def checked(docs: DataFrame, places: DataFrame, key: str, text: str, slop: int |
     hashed = by_doc.select(F.col("doc.th").alias("th"))
     rows = documents(docs, key, text).select("doc", "text", F.col("doc.th").alias("th"))
     rows = marked(rows, "th", hashed, by_doc.count()).groupBy("doc").agg(F.first("text").alias("text"))
-    held = rows.join(by_doc, "doc").select("doc", "places", words_of(F.col("text")).alias("w"))
+    held = rows.join(by_doc, "doc")
     asked = lambda x: F.split(x.phrase, " ")
-    if slop is None:
-        true = lambda x: F.slice("w", x.at + 1, F.size(asked(x))) == asked(x)
-    else:
-        around = lambda x: F.slice("w", F.greatest(x.at - slop, F.lit(0)) + 1, x.at + slop + 1 - F.greatest(x.at - slop, F.lit(0)))
-        true = lambda x: F.size(F.array_except(asked(x), around(x))) == 0
-    held = held.withColumn("spans", F.filter("places", true)).where(F.size("spans") > 0)
+
+    def true(w: Column, x: Column) -> Column:
+        if slop is None:
+            return F.slice(w, x.at + 1, F.size(asked(x))) == asked(x)
+        first = F.greatest(x.at - slop, F.lit(0))
+        return F.size(F.array_except(asked(x), F.slice(w, first + 1, x.at + slop + 1 - first))) == 0
+
+    # the words are held in an array of one, so that a text is split once and not for each place
+    spans = F.transform(F.array(words_of(F.col("text"))), lambda w: F.filter("places", lambda x: true(w, x)))[0]
+    held = stash(held.select("doc", spans.alias("spans")), "phrase-hits").where(F.size("spans") > 0)
     covered = F.flatten(F.transform("spans", lambda x: F.sequence(x.at, x.at + F.size(asked(x)) - 1)))
-    return stash(held.select("doc", "spans", F.size(F.array_distinct(covered)).cast("bigint").alias("n_hit")), "phrase-hits")
+    return held.select("doc", "spans", F.size(F.array_distinct(covered)).cast("bigint").alias("n_hit"))
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", words: int = 10) -> DataFrame:
@@ -137,8 +141,9 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     items that occur with such a run, items_sha256 is of their ids, sorted as text and joined by commas.
 
     NULL and empty texts have no words, items without words cannot occur. Rows that repeat a key are documents of their
-    own, equal rows count each, NULL keys are kept. Items that repeat an id are one item with the phrases of all of them; an item without id
-    marks words but is not named. Other columns are not read. Empty tables of documents give no rows, of items no hits.
+    own, equal rows count each, NULL keys are kept. Items that repeat an id are one item with the phrases of all of them;
+    an item without id marks words but is not named. Other columns are not read. Empty tables of documents give no rows,
+    of items no hits.
     """
     phrases, index, hits = search(docs, items, key, text, item_key, item_text, words, None)
     spans = hits.select("doc", F.explode(F.array_distinct("spans.phrase")).alias("phrase"))
