@@ -1,33 +1,13 @@
-"""A join of many rows a key with few rows a key that keeps hot keys out of single tasks, and bitmaps of hashes."""
+"""Bitmaps of hashes, lower case, and the join that keeps hot keys out of single tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PER_PART, MOST_HOT = 100_000, 10_000
-MAP_BITS = 32_768
-
+from segue.operators.skew import dealt_groups as dealt_join  # noqa: F401
 
-def dealt_join(many: DataFrame, few: DataFrame, keys: Sequence[str], per_part: int = PER_PART) -> DataFrame:
-    """The inner join on `keys`; keys with more than `per_part` rows of `many` are dealt over several tasks.
-
-    The rows of such a key go to parts by their hash, and its rows of `few` are repeated for each part. The list of
-    these keys is broadcast: a part holds at least one row in MOST_HOT of the table, so it has at most MOST_HOT rows
-    whatever the table's size. `many` is read twice, so it should be a written table.
-    """
-    keys = list(keys)
-    total = many.count()
-    if total <= per_part:
-        return many.join(few, keys)
-    part = max(per_part, total // MOST_HOT)
-    hot = many.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).alias("_parts")).where("_parts > 1")
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    left = many.join(F.broadcast(hot), keys, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts)).drop("_parts")
-    right = few.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts")
-    return left.join(right, [*keys, "_part"]).drop("_part")
+MAP_BITS = 32_768
 
 
 def marked(rows: DataFrame, h: str, found: DataFrame, n: int) -> DataFrame:

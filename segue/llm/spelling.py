@@ -56,13 +56,15 @@ def word_name(word: Column) -> Column:
     return F.when(F.char_length(word) > NAMED, long).otherwise(word)
 
 
-def beginnings(words: DataFrame) -> DataFrame:
+def beginnings(words: DataFrame, long: bool) -> DataFrame:
     """(id, depth, node, code): from its middle on, where each word passes in the trie and how it goes on ('' at its end)."""
     first = F.expr("cast((char_length(text) - 1) div 2 as int)")
     short = words.where(F.char_length("text") <= NAMED)
     depths = short.select("id", "text", F.explode(F.sequence(first, F.char_length("text"))).alias("depth"))
     node = F.left(F.col("text"), F.col("depth"))
     plain = depths.select("id", "depth", node.alias("node"), F.expr("substring(text, depth + 1, 1)").alias("code"))
+    if not long:
+        return plain
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "depth", "node", "code"]
@@ -80,26 +82,32 @@ def beginnings(words: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
-    long = words.where(F.char_length("text") > NAMED).select("id", "text")
-    return plain.unionByName(long.mapInArrow(walk, "id string, depth bigint, node string, code string").withColumn("depth", F.col("depth").cast("int")))
+    longer = words.where(F.char_length("text") > NAMED).select("id", "text")
+    return plain.unionByName(longer.mapInArrow(walk, "id string, depth bigint, node string, code string").withColumn("depth", F.col("depth").cast("int")))
 
 
-def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(paths, edges) of the trie over (id, text), as written tables.
+def trie(words: DataFrame, backward: bool, long: bool) -> tuple[DataFrame, DataFrame]:
+    """(paths, edges) of the trie over (id, word, n), as written tables.
 
-    paths (id, text, depth, node, code): the nodes of each word from its middle on. edges (node, code, label, child, ends,
+    paths (id, text, depth, node, code): the nodes of each word from its middle on. edges (node, code, label, child, ends, n,
     codes, after): child is the next node, and codes how it goes on; or child is NULL where one word is left, which `ends`
-    names. `after` is what can follow the first character.
+    names, with its n. `after` is what can follow the first character.
     """
-    places = beginnings(words)
-    nodes = places.groupBy("node").agg(F.min("code").alias("low"), F.max("code").alias("high")).where("low <> high").select("node")
-    along = dealt_join(places, nodes, ["node"])
+    read = F.reverse if backward else F.col
+    words = words.select("id", read("word").alias("text"), "n")
+    places = beginnings(words, long)
+    passed = places.groupBy("node").agg(F.min("code").alias("low"), F.max("code").alias("high"), F.count(F.lit(1)).alias("n"))
+    nodes = stash(passed.where("low <> high").select("node", "n"), "trie-nodes")
+    along = dealt_join(places, nodes.select("node"), ["node"], rows=2**62, counts=nodes)
     path = W.partitionBy("id").orderBy("depth")
     along = along.withColumns({"child": F.lead("node").over(path), "until": F.lead("depth").over(path)})
-    paths = stash(along.join(words, "id"), "trie-paths")
+    # a short word is its own name
+    along = along.join(words.select("id", "text"), "id") if long else along.withColumn("text", read("id"))
+    paths = stash(along, "trie-paths")
     label = F.expr("substring(text, depth + 1, coalesce(until, char_length(text)) - depth)")
     step = F.min(F.struct(F.length(label), label.alias("label"), "child", F.when(F.col("child").isNull(), F.col("id")).alias("ends")))
     edges = paths.groupBy("node", "code").agg(step.alias("step")).select("node", "code", "step.label", "step.child", "step.ends")
+    edges = edges.join(words.select(F.col("id").alias("ends"), "n"), "ends", "left")
     codes = paths.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(coded(F.col("code"))), "").alias("codes"))
     second = F.expr("substring(label, 2, 1)")
     after = F.when(second != "", second).when(F.col("child").isNull(), F.lit("#")).otherwise(F.col("codes"))
@@ -112,13 +120,14 @@ def coded(code: Column) -> Column:
     return F.when(code == "", F.lit("#")).otherwise(code)
 
 
-def near_in_trie(words: DataFrame) -> list[DataFrame]:
-    """Parts of (id, other): words one edit apart whose first difference lies in the second half of `id`'s word."""
-    paths, edges = trie(words)
+def near_in_trie(words: DataFrame, backward: bool, long: bool) -> list[DataFrame]:
+    """Parts of (id, other, other_n): words one edit apart whose first difference, from where the trie begins, lies in the
+    second half of `id`'s word."""
+    paths, edges = trie(words, backward, long)
     chars = F.char_length("text")
     next_code = F.expr("substring(text, depth + 2, 1)")
     opened = paths.where(F.col("depth") >= F.floor(chars / 2)).withColumnRenamed("code", "own")
-    names = ["id", "text", "position", "child", "ends", "codes"]
+    names = ["id", "text", "position", "child", "ends", "n", "codes"]
     # the other word has one character more here, or another one: two characters of it are known with the edge's first
     looks = F.array(
         F.struct(F.lit(0).alias("skip"), coded(F.col("own")).alias("second")),
@@ -127,12 +136,13 @@ def near_in_trie(words: DataFrame) -> list[DataFrame]:
     looking = opened.select("id", "text", "depth", "node", "own", F.explode(F.array_compact(looks)).alias("look"))
     looking = looking.select("id", "text", "depth", "node", "own", "look.skip", "look.second")
     onward = edges.where("code <> ''").withColumn("second", F.explode(F.split("after", "")))
-    met = dealt_join(looking, onward, ["node", "second"]).where(F.col("own") != F.col("code"))
+    n_paths = paths.count()
+    met = dealt_join(looking, onward, ["node", "second"], rows=2 * n_paths).where(F.col("own") != F.col("code"))
     met = met.where(F.expr("substring(text, depth + 1 + skip, char_length(label) - 1) = substring(label, 2)"))
     more = met.withColumn("position", F.expr("depth + skip + char_length(label) - 1")).select(*names)
     # the other word lacks a character here
     lacking = opened.where(F.col("depth") < chars).withColumn("code", next_code)
-    met = dealt_join(lacking, edges, ["node", "code"]).where(F.col("own") != F.col("code"))
+    met = dealt_join(lacking, edges, ["node", "code"], rows=n_paths).where(F.col("own") != F.col("code"))
     met = met.where(F.expr("substring(text, depth + 2, char_length(label)) = label"))
     less = met.withColumn("position", F.expr("depth + 1 + char_length(label)")).select(*names)
     states = more.unionByName(less)
@@ -141,25 +151,26 @@ def near_in_trie(words: DataFrame) -> list[DataFrame]:
     found = []
     while True:
         level = stash(states.where(whole).drop("codes"), "trie-states")
-        found.append(level.where("child is null").select("id", F.col("ends").alias("other")))
+        found.append(level.where("child is null").select("id", F.col("ends").alias("other"), F.col("n").alias("other_n")))
         frontier = level.where("child is not null").select("id", "text", "position", F.col("child").alias("node"), F.expr("substring(text, position + 1, 1)").alias("code"))
-        if frontier.isEmpty():
+        rows = frontier.count()
+        if not rows:
             return found
-        walked = dealt_join(frontier, edges, ["node", "code"])
+        walked = dealt_join(frontier, edges, ["node", "code"], rows=rows)
         walked = walked.where(F.expr("substring(text, position + 1, char_length(label))") == F.col("label"))
-        states = walked.select("id", "text", (F.col("position") + F.char_length("label")).alias("position"), "child", "ends", "codes")
+        states = walked.select("id", "text", (F.col("position") + F.char_length("label")).alias("position"), "child", "ends", "n", "codes")
 
 
-def near_words(words: DataFrame, word: str = "word") -> DataFrame:
-    """(id, other): all ordered pairs of different words that one inserted, deleted or replaced code point makes equal.
+def near_words(words: DataFrame, long: bool) -> DataFrame:
+    """(id, other, other_n): all ordered pairs of different words (id, word, n) that one inserted, deleted or replaced code
+    point makes equal, dealt by id.
 
-    Words go by `word_name`. Levels are as many as the most nodes on a word's path; each level is written, so a lost
-    executor costs one level. Nodes that many words or states pass are dealt over several tasks.
+    Words go by `word_name`; `long` says whether any is longer than its name. Levels are as many as the most nodes on a
+    word's path; each level is written, so a lost executor costs one level. Nodes that many words or states pass are dealt
+    over several tasks. A word has at most some hundred near ones for each of its characters.
     """
-    named = words.select(word_name(F.col(word)).alias("id"), F.col(word).alias("text")).distinct()
-    forward = near_in_trie(named)
-    backward = near_in_trie(named.withColumn("text", F.reverse("text")))
-    return reduce(DataFrame.unionByName, forward + backward).distinct()
+    found = near_in_trie(words, False, long) + near_in_trie(words, True, long)
+    return reduce(DataFrame.unionByName, found).repartition("id").distinct()
 
 
 def spelling_forms(words: DataFrame, ratio: float = 2.0) -> DataFrame:
@@ -172,8 +183,12 @@ def spelling_forms(words: DataFrame, ratio: float = 2.0) -> DataFrame:
     if not ratio > 1:
         raise ValueError("the ratio is above 1")
     named = stash(words.select(word_name(F.col("word")).alias("id"), "word", F.col("n").cast("bigint").alias("n")), "words")
-    others = named.select(F.col("id").alias("other"), F.col("word").alias("other_word"), F.col("n").alias("other_n"))
-    near = near_words(named).join(others, "other")
+    long = not named.where(F.char_length("word") > NAMED).isEmpty()
+    near = near_words(named, long)
+    if long:
+        near = near.join(named.select(F.col("id").alias("other"), F.col("word").alias("other_word")), "other")
+    else:
+        near = near.withColumn("other_word", F.col("other"))
     best = F.min(F.struct((-F.col("other_n")).alias("down"), "other_word", "other"))
     near = near.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     formed = named.join(near, "id", "left")
