@@ -10,11 +10,14 @@ from segue.functions import vectors as V
 from segue.operators import vocab
 from segue.operators import sequence as S
 from segue.operators.retrieval import embedding_lookup
+from segue.operators.towers import Feature, TowerFeatures, TowerModel
+from segue.plans import lists
 from segue.plans import tables as t
 from segue.plans.basics import md5_sql
-from segue.plans.lists import HIST, N
+from segue.plans.lists import EXAMPLES_SQL, HIST, N
 from segue.plans.registry import query
 from segue.plans.tables import ITEMS, sql_micro
+from segue.session import scratch_path, stash
 
 # The largest value of each bucketed feature.
 BUCKET_MAX = {
@@ -254,6 +257,80 @@ def _(spark, sf):
     return t.table(spark, sf, "embeddings").select("vec_id", t.micro_text(features).alias("features"))
 
 
+AUDIO = ["danceability", "energy", "speechiness", "acousticness", "instrumentalness", "liveness", "valence"]
+
+
+def _audio(suffix: str, listed: bool) -> list[Feature]:
+    codes = [Feature(f"track_{c}_{suffix}", "hash", HASH_BINS[c], listed) for c in ("key", "mode", "time_signature")]
+    reals = [Feature(f"track_{c}_{suffix}", "bucket", BUCKET_MAX["audio"], listed) for c in AUDIO]
+    return [*codes, *reals, *[Feature(f"track_{c}_{suffix}", "bucket", BUCKET_MAX[c], listed) for c in ("loudness", "tempo")]]
+
+
+def _entities(suffix: str, listed: bool, album: str, duration: str, followers: str) -> list[Feature]:
+    return [
+        Feature(f"track_uri_{suffix}", "hash", HASH_BINS["track"], listed), Feature(f"artist_uri_{suffix}", "hash", HASH_BINS["artist"], listed),
+        Feature(f"album_uri_{suffix}", "hash", HASH_BINS[album], listed), Feature(f"track_name_{suffix}", "text", listed=listed),
+        Feature(f"{duration}_{suffix}", "bucket", BUCKET_MAX["track_duration_ms"], listed), Feature(f"track_pop_{suffix}", "bucket", BUCKET_MAX["pop"], listed),
+        Feature(f"artist_pop_{suffix}", "bucket", BUCKET_MAX["pop"], listed), Feature(f"{followers}_{suffix}", "bucket", BUCKET_MAX["followers"], listed),
+    ]
+
+
+CANDIDATE_TOWER = [*_entities("can", False, "album_candidate", "duration_ms", "artist_followers"), *_audio("can", False)]
+QUERY_TOWER = [
+    Feature("pl_name_src", "text"), Feature("pl_collaborative_src", "hash", HASH_BINS["collaborative"]),
+    Feature("pl_duration_ms_new", "bucket", BUCKET_MAX["pl_duration_ms"]), Feature("num_pl_songs_new", "bucket", BUCKET_MAX["num_pl_songs"]),
+    Feature("num_pl_artists_new", "bucket", BUCKET_MAX["num_pl_artists"]), Feature("num_pl_albums_new", "bucket", BUCKET_MAX["num_pl_albums"]),
+    *_entities("pl", True, "album_query", "duration_ms_songs", "artists_followers"), *_audio("pl", True),
+]
+TOWER_DIMS, TOWER_TOKENS = 4, 50
+
+
+def sql_tower(features: list[Feature]) -> str:
+    """The same vector in SQL, over the columns of EXAMPLES_SQL."""
+    signs = "list_transform(range(0, {d}), lambda j: {one})"
+    bit = lambda salt, id_: f"(1.0::DOUBLE - 2 * (({md5_sql(f"'{salt}-' || {id_}")} >> j) & 1))"
+    place = lambda x, high: f"(CASE WHEN {x} < 0 THEN 0 WHEN {x} >= {high} THEN 20 ELSE floor(19 * {x} / {high}) + 1 END / 20.0::DOUBLE)"
+    parts, texts, vocabs = [], [], []
+    for f in features:
+        c = f.column
+        if f.kind == "text":
+            held = f"SELECT '{c}' AS feature, pid, pos, {f'unnest({c})' if f.listed else c} AS text FROM x"
+            vocabs.append(held)
+            texts.append(c)
+            parts.append(f"coalesce((SELECT v FROM pooled p WHERE p.feature = '{c}' AND p.pid = x.pid AND p.pos = x.pos), list_transform(range(0, {TOWER_DIMS}), lambda j: 0.0::DOUBLE))")
+        elif f.kind == "hash":
+            one = lambda x, f=f: bit(f.column, f"({md5_sql(x)} % {int(f.size)})")
+            parts.append(signs.format(d=TOWER_DIMS, one=f"list_avg(list_transform({c}, lambda e: {one('e')}))" if f.listed else one(c)))
+        else:
+            parts.append(f"[list_avg(list_transform({c}, lambda e: {place('e', f.size)}))]" if f.listed else f"[{place(c, f.size)}]")
+    return f"""WITH {EXAMPLES_SQL},
+    texts AS ({' UNION ALL '.join(vocabs)}),
+    words AS (SELECT feature, pid, pos, {sql_words('text')} AS w FROM texts),
+    tokens AS (SELECT feature, pid, pos, unnest({sql_grams('w')}) AS token FROM words),
+    vocab AS ({sql_vocab('tokens', TOWER_TOKENS)}),
+    ids AS (SELECT t.feature, pid, pos, coalesce(idx, 1) AS id FROM tokens t LEFT JOIN vocab v ON t.feature = v.feature AND t.token = v.token),
+    hashed AS (SELECT feature, pid, pos, {md5_sql("feature || '-' || id")} AS h FROM ids),
+    pooled AS (SELECT feature, pid, pos, [{', '.join(f'avg(1.0::DOUBLE - 2 * ((h >> {j}) & 1))' for j in range(TOWER_DIMS))}] AS v FROM hashed GROUP BY 1, 2, 3)
+    SELECT pid, pos, {sql_micro('flatten([' + ', '.join(parts) + '])')} AS features FROM x"""
+
+
+def _tower(spark, sf, features):
+    rows = stash(lists.rank_examples(spark, sf), "tower-rows")
+    path = scratch_path(spark, "tower")
+    TowerFeatures(features, ["pid", "pos"], TOWER_DIMS, TOWER_TOKENS).fit(rows).save(path)
+    return TowerModel.load(spark, path).transform(rows).select("pid", "pos", t.micro_text("features").alias("features"))
+
+
+@query("tower_features_candidate", sql_tower(CANDIDATE_TOWER))
+def _(spark, sf):
+    return _tower(spark, sf, CANDIDATE_TOWER)
+
+
+@query("tower_features_query", sql_tower(QUERY_TOWER))
+def _(spark, sf):
+    return _tower(spark, sf, QUERY_TOWER)
+
+
 SCALED = "list_transform(embedding, lambda x: x::DOUBLE * (label + 2))"
 
 

@@ -418,6 +418,33 @@ SELECT s.pid, s.pos, track_uri AS track_uri_can, track_name AS track_name_can, a
 FROM s JOIN customer ON s.pid = c_custkey WHERE len(track_uri_pl) = {N}"""
 
 
+TRACK_COLUMNS = [
+    "track_uri", "track_name", "artist_uri", "album_uri", "duration_ms", "track_pop", "artist_pop", "artist_followers", "track_danceability", "track_energy",
+    "track_loudness", "track_speechiness", "track_acousticness", "track_instrumentalness", "track_liveness", "track_valence", "track_tempo",
+    "track_key", "track_mode", "track_time_signature",
+]
+# the columns of examples that the towers read, for candidates, histories and lists
+EXAMPLES_SQL = f"""{TRACKS}, {AUDIO}, {ARTISTS},
+e AS (
+  SELECT t.pid, t.pos, t.track_uri, t.track_name, t.artist_uri, a.artist_name, t.album_uri, CAST(t.duration_ms AS DOUBLE) AS duration_ms,
+         CAST(track_pop AS DOUBLE) AS track_pop, CAST(artist_pop AS DOUBLE) AS artist_pop, CAST(followers AS DOUBLE) AS artist_followers,
+         danceability AS track_danceability, energy AS track_energy, loudness AS track_loudness, speechiness AS track_speechiness,
+         acousticness AS track_acousticness, instrumentalness AS track_instrumentalness, liveness AS track_liveness, valence AS track_valence,
+         tempo AS track_tempo, CAST(key AS VARCHAR) AS track_key, CAST(mode AS VARCHAR) AS track_mode, CAST(time_signature AS VARCHAR) AS track_time_signature
+  FROM tracks t JOIN audio u ON t.track_uri = u.track_uri JOIN artists a ON t.artist_uri = a.artist_uri),
+g AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY pid, artist_name ORDER BY pos) = 1 THEN 1 ELSE 0 END AS fa,
+         CASE WHEN row_number() OVER (PARTITION BY pid, album_uri ORDER BY pos) = 1 THEN 1 ELSE 0 END AS fb FROM e),
+h AS (
+  SELECT *, {', '.join(f'list({c}) {HIST} AS {({"duration_ms": "duration_ms_songs", "artist_followers": "artists_followers"}).get(c, c)}_pl' for c in TRACK_COLUMNS)},
+         CAST(sum(duration_ms) {EARLIER} AS DOUBLE) AS pl_duration_ms_new, CAST(count(*) {EARLIER} AS DOUBLE) AS num_pl_songs_new,
+         CAST(sum(fa) {EARLIER} AS DOUBLE) AS num_pl_artists_new, CAST(sum(fb) {EARLIER} AS DOUBLE) AS num_pl_albums_new FROM g),
+x AS (
+  SELECT h.*, {', '.join(f'{c} AS {c}_can' for c in TRACK_COLUMNS)}, c_name AS pl_name_src,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'true' ELSE 'false' END AS pl_collaborative_src
+  FROM h JOIN customer ON pid = c_custkey WHERE len(track_uri_pl) = {N})"""
+
+
 def _parsed(spark, sf, name):
     """Examples of a feature set, with those of the columns in RANK_SQL that the set has."""
     parsed = parse(rank_examples(spark, sf), name, N, keep=("pid", "pos"))
