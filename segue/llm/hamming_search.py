@@ -20,7 +20,8 @@ GROUPS = 64
 
 
 def sign_code(vector: Column) -> Column:
-    """Bit i is 1 where component i (of the first 64) is above zero; NULL for a NULL vector."""
+    """Bit i is 1 where component i (of the first 64) is above zero, as Spark holds NaN to be; it is 0 where a shorter vector
+    has no component. NULL for a NULL vector."""
     bit = lambda i: F.when(F.get(vector, i) > 0, F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
     code = F.lit(0).cast("bigint")
     for i in range(BITS):
@@ -42,16 +43,17 @@ def segments_of(codes: np.ndarray) -> np.ndarray:
 def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id", code: str = "code", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k rows of other ids nearest to each asked row, ties by id.
 
-    Rows without id or code are neither asked nor found, repeated rows count once, and an id may have several codes. A
-    table with fewer than k other rows gives all of them; an empty one gives no rows.
+    Rows without id or code are neither asked nor found, repeated rows count once, and an id may have several codes; those
+    at the same distance from a query count once for it. A table with fewer than k other rows gives all of them; an empty one gives no rows.
 
     A code is cut in four segments. Round r looks up all values that differ from a segment of the query in exactly r
     bits. A code at distance d differs in at most d // 4 bits in some segment, so after round r every code within
-    4 r + 3 has been seen, and a query ends when its k + 1 nearest (itself included) lie within that.
+    4 r + 3 has been seen, and a query ends when k rows lie within that whichever one id is left out, as its own is.
 
     Equal codes are one entry with its k + 1 smallest ids, which is all that any answer can use. Entries lie by segment
     and value; a value with very many codes is cut in parts and the query goes to each. Pairs are verified inside the
-    tasks, which return k + 1 rows for a query at most. Only the number of unfinished queries comes to the driver.
+    tasks, which return 2 k rows for a query at most, of an id no more than k: without any one id, k are left. Only the
+    number of unfinished queries comes to the driver.
     """
     clean = rows.select(F.col(key).cast("bigint").alias("id"), F.col(code).alias("code")).where("id is not null and code is not null").distinct()
     smallest = W.partitionBy("code").orderBy("id")
@@ -59,7 +61,7 @@ def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id
     codes = stash(members.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     wanted = asked.select(F.col(key).cast("bigint").alias("query_id"), F.col(code).alias("q")).where("query_id is not null and q is not null").distinct()
     wanted = stash(wanted, "asked")
-    total = clean.count()
+    most = clean.groupBy("id").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("n")).agg(F.sum("n")).first()[0] or 0
 
     def index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,8 +73,9 @@ def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id
                 )
 
     index = stash(codes.mapInArrow(index_rows, "segment int, value bigint, code bigint, ids array<bigint>"), "index")
+    groups = max(GROUPS, -(-codes.count() // split_rows) * 4)
     hot = index.groupBy("segment", "value").agg(F.ceil(F.count(F.lit(1)) / split_rows).alias("parts")).where("parts > 1")
-    group = F.pmod(F.xxhash64("value"), F.lit(GROUPS)).alias("grp")
+    group = F.pmod(F.xxhash64("value"), F.lit(groups)).alias("grp")
     one = F.coalesce(F.col("parts"), F.lit(1))
     dealt = index.join(hot, ["segment", "value"], "left").select("segment", group, F.pmod(F.xxhash64("code"), one).alias("part"), "value", "code", "ids")
 
@@ -101,25 +104,22 @@ def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id
         tried, q = (np.asarray(asked_for.column(c).combine_chunks()) for c in ("value", "q"))
         low, high = np.searchsorted(value, tried, "left"), np.searchsorted(value, tried, "right")
         hit = np.flatnonzero(high > low)
-        best_q = best_d = best_id = np.empty(0, np.int64)
+        best = (np.empty(0, np.int64),) * 3
         ends = np.cumsum(high[hit] - low[hit])
         first = 0
         while first < len(hit):
-            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 20), "right")))
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 17), "right")))
             at = hit[first:last]
             count = high[at] - low[at]
             entry = np.repeat(low[at] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
             who = np.repeat(q[at], count)
             far = np.bitwise_count(who.view(np.uint64) ^ point[entry].view(np.uint64)).astype(np.int64)
-            who, far, entry = cut(who, far, ids[offsets[entry]], k + 1, entry)
             size = offsets[entry + 1] - offsets[entry]
             member = np.repeat(offsets[entry] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            best_q, best_d, best_id = cut(
-                np.concatenate([best_q, np.repeat(who, size)]), np.concatenate([best_d, np.repeat(far, size)]),
-                np.concatenate([best_id, ids[member]]), k + 1,
-            )
+            new = (np.repeat(who, size), np.repeat(far, size), ids[member])
+            best = cut(*(np.concatenate(both) for both in zip(best, new)), k)
             first = last
-        return pa.table({"q": best_q, "distance": best_d, "id": best_id})
+        return pa.table(dict(zip(("q", "distance", "id"), best)))
 
     active, state = wanted.select("q").distinct(), None
     for flips in range(WIDTH + 1):
@@ -128,11 +128,14 @@ def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id
         by = ["segment", "grp", "part"]
         found = tried.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInArrow(verify, "q bigint, distance bigint, id bigint")
         found = found if state is None else found.unionByName(state)
-        nearest = W.partitionBy("q").orderBy("distance", "id")
-        state = stash(found.distinct().withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).drop("r"), "nearest")
+        of_id = F.row_number().over(W.partitionBy("q", "id").orderBy("distance"))
+        nearest = F.row_number().over(W.partitionBy("q").orderBy("distance", "id"))
+        few = found.distinct().withColumn("r", of_id).where(F.col("r") <= k)
+        state = stash(few.withColumn("r", nearest).where(F.col("r") <= 2 * k).drop("r"), "nearest")
         covered = SEGMENTS * (flips + 1) - 1
-        enough = state.groupBy("q").agg(F.sum(F.when(F.col("distance") <= covered, 1).otherwise(0)).alias("sure"))
-        done = enough.where(F.col("sure") >= min(k + 1, total)).select("q")
+        sure = state.where(F.col("distance") <= covered).groupBy("q", "id").agg(F.count(F.lit(1)).alias("n"))
+        whole = F.sum("n") >= min(2 * k, most)
+        done = sure.groupBy("q").agg((whole | (F.sum("n") - F.max("n") >= k)).alias("done")).where("done").select("q")
         active = stash(active.join(done, "q", "left_anti"), "active")
         if active.isEmpty():
             break
@@ -142,15 +145,24 @@ def hamming_top_k(rows: DataFrame, asked: DataFrame, k: int = 10, key: str = "id
     return ranked.select("query_id", "rank", F.col("id").alias("neighbor_id"), "distance")
 
 
-def cut(q: np.ndarray, distance: np.ndarray, id_: np.ndarray, k: int, *more: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The first k different rows of each q by (distance, id)."""
-    order = np.lexsort((id_, distance, q))
-    q, distance, id_ = q[order], distance[order], id_[order]
-    more = tuple(x[order] for x in more)
-    new = np.ones(len(q), bool)
-    new[1:] = (q[1:] != q[:-1]) | (distance[1:] != distance[:-1]) | (id_[1:] != id_[:-1])
-    q, distance, id_, more = q[new], distance[new], id_[new], tuple(x[new] for x in more)
-    starts = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.empty(0, np.int64)
-    place = np.arange(len(q)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(q)]))))
-    keep = place < k
-    return (q[keep], distance[keep], *([x[keep] for x in more] if more else [id_[keep]]))
+def cut(q: np.ndarray, distance: np.ndarray, id_: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The first 2 k different rows of each q by (distance, id), with no more than k of an id."""
+    order = np.lexsort((distance, id_, q))
+    rows = [c[order] for c in (q, distance, id_)]
+    keep = place(*rows) == 0
+    rows = [c[keep] for c in rows]
+    keep = place(rows[0], rows[2]) < k
+    rows = [c[keep] for c in rows]
+    order = np.lexsort((rows[2], rows[1], rows[0]))
+    rows = [c[order] for c in rows]
+    keep = place(rows[0]) < 2 * k
+    return tuple(c[keep] for c in rows)
+
+
+def place(*keys: np.ndarray) -> np.ndarray:
+    """The number of each row in its run of equal keys."""
+    if not len(keys[0]):
+        return np.empty(0, np.int64)
+    start = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+    starts = np.flatnonzero(start)
+    return np.arange(len(start)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(start)]))))

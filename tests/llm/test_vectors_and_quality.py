@@ -74,6 +74,22 @@ def test_hamming_as_by_loops(spark):
     assert hamming_top_k(frame.where("false"), frame.where("false")).count() == 0
 
 
+def test_hamming_of_ids_with_many_codes(spark):
+    """An id's own codes, near each other, must not push its neighbours out."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 21).astype(np.int64)
+    rows = [(0, int(base[0]) ^ (1 << j)) for j in range(8)] + [(i, int(base[0]) ^ int(rng.integers(0, 1 << 20)) << 20) for i in range(1, 21)]
+    rows += [(30, int(base[0]) ^ (1 << j)) for j in range(20, 50)]
+    frame = spark.createDataFrame(rows, "id bigint, code bigint")
+    for k in (1, 5):
+        expected = set()
+        for q, code in set(rows):
+            best = sorted({((code ^ c) & (1 << 64) - 1).bit_count() * 1000 + i for i, c in rows if i != q})[:k]
+            expected |= {(q, r, b % 1000, b // 1000) for r, b in enumerate(best, 1)}
+        got = hamming_top_k(frame, frame, k=k).collect()
+        assert set(map(tuple, got)) == expected and len([r for r in got if r.query_id == 0]) == 8 * k
+
+
 def test_sign_code(spark):
     rows = [(1, [1.0] + [-1.0] * 62 + [2.0]), (2, [0.0] * 64), (3, None), (4, [float("nan"), 1.0])]
     got = {r.i: r.c for r in spark.createDataFrame(rows, "i int, v array<float>").select("i", sign_code(F.col("v")).alias("c")).collect()}
