@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from segue.llm.text_bytes import release
 from segue.llm.words import encoded_lengths, words_of
+from segue.session import stash
 
 BIN = 512
 
@@ -26,6 +28,7 @@ def length_histogram(docs: DataFrame, tokenizer_path: str, text: str = "text", b
         for batch in batches:
             lengths = encoded_lengths(tokenizer_path, batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lengths, pa.int64())], names=names)
+        release()
 
     keys = [F.col(name).alias(f"by_{i}") for i, name in enumerate(by)]
     split = docs.select(*keys, words_of(F.col(text)).alias("words"))
@@ -45,6 +48,7 @@ def limit_table(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Sums run inside bins of 512 lengths and the sums of later bins are added, so no task holds all lengths.
     """
     by = list(by)
+    histogram = stash(histogram, "lengths")  # used twice, and far dearer than its rows
     binned = histogram.withColumns({"bin": F.floor(F.col("n_tokens") / BIN), "tokens": F.col("n_tokens") * F.col("n_docs")})
     after = W.partitionBy(*by).orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)

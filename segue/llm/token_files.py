@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from segue.llm.text_bytes import release
 from segue.llm.words import encode_lists, words_of
 
 MAGIC = b"IDBITS01"
 HEADER = np.dtype([("bits", "<u4"), ("block", "<u4"), ("docs", "<u8"), ("ids", "<u8"), ("blocks", "<u8")])
 BLOCK = 8192
-SHARD_IDS = 8 << 20
+SHARD_IDS = 1 << 20
 
 
 def bits_for(vocabulary: int) -> int:
@@ -60,17 +61,23 @@ def unpack(words: np.ndarray, bits: int, count: int) -> np.ndarray:
     return np.ascontiguousarray(lanes.T).reshape(-1)[:count]
 
 
-def to_bytes(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
-    """One file. `block` is a multiple of 64, so that blocks pack alone as they do together."""
+def file_pieces(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> Iterator[bytes]:
+    """One file, piece by piece. `block` is a multiple of 64, so that blocks pack alone as they do together."""
     blocks = -(-len(ids) // block)
-    step = 128 * block
-    data = np.concatenate([np.empty(0, np.uint64), *(pack(ids[i : i + step], bits) for i in range(0, len(ids), step))])
-    header = np.array([(bits, block, len(sizes), len(ids), blocks)], dtype=HEADER)
-    offsets = np.minimum(np.arange(blocks + 1, dtype=np.uint64) * np.uint64(block // 64 * bits * 8), np.uint64(data.nbytes))
-    present = np.asarray(doc_ids.is_valid()).astype(np.uint8)
-    values = np.asarray(doc_ids.fill_null(0)).astype("<i8")
-    parts = [MAGIC, header, values, present, np.cumsum(sizes).astype("<u8"), offsets.astype("<u8"), data.astype("<u8")]
-    return b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts)
+    words = -(-len(ids) // 64) * bits
+    offsets = np.minimum(np.arange(blocks + 1, dtype=np.uint64) * np.uint64(block // 64 * bits * 8), np.uint64(8 * words))
+    yield MAGIC
+    yield np.array([(bits, block, len(sizes), len(ids), blocks)], dtype=HEADER).tobytes()
+    yield np.asarray(doc_ids.fill_null(0)).astype("<i8").tobytes()
+    yield np.asarray(doc_ids.is_valid()).astype(np.uint8).tobytes()
+    yield np.cumsum(sizes).astype("<u8").tobytes()
+    yield offsets.astype("<u8").tobytes()
+    for first in range(0, len(ids), 8 * block):
+        yield pack(ids[first : first + 8 * block], bits).astype("<u8").tobytes()
+
+
+def to_bytes(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
+    return b"".join(file_pieces(doc_ids, sizes, ids, bits, block))
 
 
 class TokenFile:
@@ -108,12 +115,14 @@ def write_token_files(
 ) -> DataFrame:
     """Encode the texts and write them in ascending order of `key`; returns the manifest, which is kept beside them.
 
-    NULL texts and empty texts give just the end id (or nothing, without one). NULL keys come first; rows that repeat a
-    key are ordered by their text. Other columns are not read. An empty table gives no files and an empty manifest.
+    NULL texts and empty texts give just the end id (or nothing, without one). NULL keys, and keys that are no whole
+    number, come first; rows that repeat a key are ordered by their text. Other columns are not read. An empty table
+    gives no files and an empty manifest.
 
-    Rows are dealt by ranges of the key, and a task cuts its rows in files of about `shard_ids` ids, encoding
-    `step` texts at a time, so memory does not grow with the range. A file's name holds the attempt that wrote it, and only the files of attempts that Spark has
-    accepted are in the manifest: a lost executor leaves at most files that no reader looks at.
+    Rows are dealt by ranges of the key and the text's beginning, so a repeated key may be many tasks. A task cuts its rows in files of about
+    `shard_ids` ids, encoding `step` texts at a time and writing a file block by block, so memory does not grow with the
+    range. A file's name holds the attempt that wrote it, and only the files of attempts that Spark has accepted are in
+    the manifest: a lost executor leaves at most files that no reader looks at.
     """
     from pyarrow import fs
 
@@ -132,7 +141,8 @@ def write_token_files(
             keys = pa.concat_arrays([k for k, _, _ in held])
             sizes, ids = (np.concatenate([h[i] for h in held]) for i in (1, 2))
             with system.open_output_stream(f"{base}/{name}") as out:
-                out.write(to_bytes(keys, sizes, ids, bits))
+                for piece in file_pieces(keys, sizes, ids, bits):
+                    out.write(piece)
             row = {"part": part, "number": number, "name": name, "n_docs": len(sizes), "n_ids": len(ids)}
             return pa.RecordBatch.from_pylist([row], schema=manifest)
 
@@ -141,16 +151,20 @@ def write_token_files(
                 ids, sizes = encode_lists(tokenizer_path, piece.column(1))
                 if end_id is not None:
                     ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
-                held.append((piece.column(0), sizes, ids))
+                # copied, as a slice would keep its whole batch
+                held.append((pa.concat_arrays([piece.column(0), piece.column(0).slice(0, 0)]), sizes, ids.astype(np.uint32)))
                 if sum(len(h[2]) for h in held) >= shard_ids:
                     yield flush()
                     held, number = [], number + 1
+                    release()
         if held:
             yield flush()
+        held = []
+        release()
 
     manifest = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-    ordered = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("key").sortWithinPartitions("key", "text")
+    ordered = docs.select(F.col(key).try_cast("bigint").alias("key"), F.col(text).alias("text"))
+    ordered = ordered.repartitionByRange("key", F.left("text", F.lit(64))).sortWithinPartitions("key", "text")
     rows = ordered.select("key", words_of(F.col("text")).alias("words"))
     written = rows.mapInArrow(save, "part bigint, number bigint, name string, n_docs bigint, n_ids bigint")
     written.write.parquet(f"{path}/manifest")
@@ -168,8 +182,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 file = TokenFile(raw.as_buffer())
-                for first in range(0, file.n_docs, 1000):
-                    last = min(first + 1000, file.n_docs)
+                for first in range(0, file.n_docs, 250):
+                    last = min(first + 250, file.n_docs)
                     edges = np.concatenate(([file.ends[first - 1] if first else 0], file.ends[first:last]))
                     ids = pa.array(file.read(int(edges[0]), int(edges[-1])).astype(np.int32))
                     yield pa.RecordBatch.from_arrays([
@@ -177,6 +191,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         pa.array(np.arange(first, last)), pa.array(edges[:-1]),
                         pa.ListArray.from_arrays(pa.array((edges - edges[0]).astype(np.int32)), ids),
                     ], names=["name", "doc_id", "place", "inside", "ids"])
+            release()
 
     manifest = spark.read.parquet(f"{path}/manifest")
     before = W.partitionBy(F.lit(0)).orderBy("part", "number").rowsBetween(W.unboundedPreceding, -1)

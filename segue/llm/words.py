@@ -53,10 +53,42 @@ def encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids), np.concatenate(counts)
 
 
+@lru_cache(maxsize=2)
+def word_starts(path: str) -> np.ndarray:
+    """For each id whether its piece begins with a space, which byte-level BPE writes as U+0120."""
+    pieces = tokenizer(path).get_vocab(with_added_tokens=True)
+    starts = np.zeros(max(pieces.values()) + 1, bool)
+    starts[[i for piece, i in pieces.items() if piece.startswith("\u0120")]] = True
+    return starts
+
+
+def is_plain(word: str) -> bool:
+    """A space and Latin letters: such words side by side are split again as they were, and each begins with a space."""
+    return word[:1] == " " and word[1:].isalpha() and max(word) < "\u0250"
+
+
+def encode_many(path: str, words: list[str], together: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """As `encode_words`; plain words are encoded `together` at a time, which costs half as much."""
+    plain = np.fromiter(map(is_plain, words), bool, len(words))
+    some = [w for w, p in zip(words, plain) if p]
+    texts = ["".join(some[i : i + together]) for i in range(0, len(some), together)]
+    plain_ids, _ = encode_words(path, texts)
+    first = np.flatnonzero(word_starts(path)[plain_ids])
+    if len(first) != len(some):  # a tokenizer of another kind
+        return encode_words(path, words)
+    rest_ids, rest_counts = encode_words(path, [w for w, p in zip(words, plain) if not p])
+    counts = np.empty(len(words), np.int64)
+    counts[plain], counts[~plain] = np.diff(np.append(first, len(plain_ids))), rest_counts
+    both, sizes = np.concatenate([plain_ids, rest_ids]), np.concatenate([counts[plain], rest_counts])
+    order = np.empty(len(words), np.int64)
+    order[plain], order[~plain] = np.arange(len(some)), len(some) + np.arange(len(rest_counts))
+    return spread(both, sizes, order), counts
+
+
 class KnownWords:
     """The words that a worker process has met first, with their ids: a bounded table, so later texts mostly look up."""
 
-    LIMIT, LONGEST = 1 << 19, 32
+    LIMIT, LONGEST = 1 << 19, 32  # 16 MB of text at most
 
     def __init__(self, path: str):
         self.path, self.words = path, pa.array([], pa.string())
@@ -66,7 +98,7 @@ class KnownWords:
         """(ids, counts, place): word i has the ids of entry place[i] of a table given by its ids and their counts."""
         place = pc.index_in(words, value_set=self.words)
         unknown = words.filter(place.is_null())
-        new_ids, new_counts = encode_words(self.path, unknown.to_pylist())
+        new_ids, new_counts = encode_many(self.path, unknown.to_pylist())
         ids, counts = np.concatenate([self.ids, new_ids]), np.concatenate([self.counts, new_counts])
         missing = np.asarray(place.is_null())
         place = np.asarray(place.fill_null(0)).astype(np.int64)
