@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from segue.session import stash
 
+#: Shorter lines that nearly equal others may well say something else; a caller may ask for them too.
 MIN_CHARS = 16
 BITMAP_BITS, BUCKET_BITS = 1 << 24, 32_768  # 512 bitmaps of 4 kB
 
@@ -40,12 +41,12 @@ def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("h1", F.xxhash64("line"))
 
 
-def half_keys() -> Column:
+def half_keys(min_chars: int) -> Column:
     """Keys of the first and of the second half, for M = n and n + 1: a line within one edit shares one of these."""
     n = F.char_length("line")
     key = lambda side, part: F.xxhash64(F.lit(side), part)
     keys = [key(side, F.expr(f"{side}(line, (char_length(line) + {more}) div 2)")) for side in ("left", "right") for more in (0, 1)]
-    return F.when(n >= MIN_CHARS, F.array_distinct(F.array(*keys)))
+    return F.when(n >= min_chars, F.array_distinct(F.array(*keys)))
 
 
 def shared(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -69,7 +70,7 @@ def listed(found: DataFrame, h: str) -> tuple[DataFrame, Column, Column]:
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame, key: str, text: str) -> DataFrame:
-    """(h1): lines within one edit of a line that stands earlier; both have at least MIN_CHARS characters."""
+    """(h1): lines within one edit of a line that stands earlier, among those with half keys."""
     keyed = distinct.select("h1", F.explode("halves").alias("k"))
     maybe = keyed.join(shared(keyed, ["k"]), "k").select("h1").distinct()
     maybe = stash(distinct.join(maybe, "h1", "left_semi").select("h1", "place"), "maybe-near")
@@ -103,12 +104,12 @@ def near_lines(docs: DataFrame, distinct: DataFrame, key: str, text: str) -> Dat
     return both.where(F.levenshtein("own", "other", 1) >= 0).select("h1").distinct()
 
 
-def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1) -> DataFrame:
+def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, th, kept): for each document its lines to keep, by number; blank lines and lines to remove are not named."""
     if edits not in (0, 1):
         raise ValueError("the edit bound is 0 or 1")
     lines = numbered_lines(docs, key, text).select(
-        "h1", F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("id", "th", "no").alias("place"), half_keys().alias("halves")
+        "h1", F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("id", "th", "no").alias("place"), half_keys(min_chars).alias("halves")
     )
     distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
     distinct = stash(distinct, "distinct-lines")
@@ -118,19 +119,19 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     return first.groupBy("place.id", "place.th").agg(F.collect_list("place.no").alias("kept"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, report: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, report: bool = False, min_chars: int = MIN_CHARS) -> DataFrame:
     """Every row, with the lines removed from its text that equal, or nearly equal, a line that stands earlier.
 
     Lines end at a line feed and are compared without white space at their ends. Order is by key (NULL first), then
-    line number. A line goes when an equal line stands earlier, or when it has at least 16 characters and a line within
-    one edit (a character inserted, deleted or replaced) stands earlier, removed or not; edits=0 asks for equal lines
-    only. Blank lines stay. A text whose lines all go becomes empty, a NULL text stays NULL. Rows that repeat a key
+    line number. A line goes when an equal line stands earlier, or a line within one edit (a character inserted, deleted or
+    replaced), removed or not; edits=0 asks for equal lines only, and lines under `min_chars` characters only go when they
+    equal an earlier one. Blank lines stay. A text whose lines all go becomes empty, a NULL text stays NULL. Rows that repeat a key
     with another text are ordered by a hash of it; identical rows keep the same lines. An empty table gives no rows.
 
     All columns are kept whatever they are called; with `report`, the result is (key, n_lines, n_removed, text) instead.
     The texts are shuffled once, to meet the numbers of their lines to keep.
     """
-    kept = kept_lines(docs, key, text, edits)
+    kept = kept_lines(docs, key, text, edits, min_chars)
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("row_id"), F.xxhash64(F.col(text)).alias("row_th"))
     joined = rows.join(kept, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left")
     split = joined.select("doc", "row_id", "kept", lines_of(F.col(f"doc.`{text}`")).alias("lines"))

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from segue.session import stash
+
 UNIT = float(2**52)
+SOURCES = 100_000
 MOST = 700.0  # beyond this rate exp(-rate) is no longer a normal double
 
 
@@ -60,26 +63,32 @@ def rates(docs: DataFrame, source: str, weights: Mapping[str, float] | None, pow
 
 def mix_sources(
     docs: DataFrame, source: str = "source", key: str = "doc_id", weights: Mapping[str, float] | None = None,
-    power: float = 0.5, total: float = 1.0, seed: int = 42, copy: str | None = "copy",
+    power: float = 0.5, total: float = 1.0, seed: int = 42, copy: str | None = "copy", text: str = "text",
 ) -> DataFrame:
     """Each document as often as the mix wants it, all in one seeded order; `copy` numbers a document's copies from 1.
 
     The count is the Poisson distribution with the source's rate, inverted at a level hashed from `key` and `seed`, so
     it needs no state and no order, and a lost task gives the same rows again. Its expected total is `total` times the
-    table. NULL is a source of its own; NULL keys draw the same level; rows that repeat a key have the same count. All
-    columns are kept. A column that is already called as `copy` is replaced. An empty table gives no rows. A rate above
-    700 copies fails the job.
+    table. NULL is a source of its own; where the key is NULL, the text is hashed in its place; rows that repeat a key, or
+    a text without key, have the same count. All columns are kept. A column that is already called as `copy` is replaced.
+    An empty table gives no rows. A rate above 700 copies fails the job.
 
-    The order is that of a hash of (seed, key, copy): the rows are dealt by its range, so a hot source spreads evenly.
-    The table of rates has a row for each source and is joined without a hint; adaptive execution splits a hot source.
+    The order is that of a hash of (seed, key, copy). As hashes are even, their range is cut in equal parts, one for each
+    shuffle partition, without a look at the data; so the texts move once, and a hot source spreads evenly. The table of
+    rates has a row for each source; up to SOURCES of them it is broadcast, beyond that adaptive execution splits a hot one.
     """
-    wanted = rates(docs, source, weights, power, total)
+    wanted = stash(rates(docs, source, weights, power, total), "rates")
+    wanted = F.broadcast(wanted) if wanted.count() <= SOURCES else wanted
     nested = docs.select(F.struct("*").alias("doc"))
     joined = nested.join(wanted, F.col(f"doc.`{source}`").eqNullSafe(F.col("mix_source")))
-    id_ = F.col(f"doc.`{key}`")
-    counted = joined.select("doc", poisson_count(uniform(F.lit(seed), id_), F.col("mean")).alias("n"))
+    id_, digest = F.col(f"doc.`{key}`"), F.md5(F.coalesce(F.col(f"doc.`{text}`"), F.lit("")))
+    level = F.when(id_.isNull(), uniform(F.lit(seed), F.lit("null"), digest)).otherwise(uniform(F.lit(seed), id_))
+    counted = joined.select("doc", poisson_count(level, F.col("mean")).alias("n"))
     copies = counted.where(F.col("n") > 0).select("doc", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
-    place = F.xxhash64(F.lit(seed), F.col(f"doc.`{key}`"), F.col("copy"))
-    ordered = copies.withColumn("place", place).orderBy("place", "copy")
+    place = F.xxhash64(F.lit(seed), id_, F.when(id_.isNull(), F.xxhash64(F.col(f"doc.`{text}`"))), F.col("copy"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.floor((F.col("place") / F.lit(2.0**64) + 0.5) * parts)
+    dealt = copies.withColumn("place", place).repartitionById(parts, F.least(part, F.lit(parts - 1)).cast("int"))
+    ordered = dealt.sortWithinPartitions("place", "copy")
     kept = [F.col(f"doc.`{name}`") for name in docs.columns if name != copy]
     return ordered.select(*kept, *([F.col("copy").alias(copy)] if copy else []))

@@ -51,11 +51,12 @@ terms AS (
   SELECT source, k, exp(-mean) * list_product([mean / i FOR i IN range(1, k + 1)] || [1.0::DOUBLE]) AS term
   FROM rates, range(0, 60) r(k)),
 levels AS (SELECT source, k, sum(term) OVER (PARTITION BY source ORDER BY k) AS below FROM terms),
-drawn AS (SELECT *, ('0x' || substr(md5('42-' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(md5('42-' || coalesce(doc_id::VARCHAR, 'null-' || md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
 counted AS (
-  SELECT d.doc_id, (SELECT count(*) FROM levels l WHERE l.source = d.source AND l.below <= d.u) AS n FROM drawn d)
-SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy::INTEGER AS copy
-FROM documents d JOIN (SELECT doc_id, unnest(range(1, n + 1)) AS copy FROM counted) c USING (doc_id)
+  SELECT d.*, (SELECT count(*) FROM levels l WHERE l.source IS NOT DISTINCT FROM d.source AND l.below <= d.u) AS n FROM drawn d)
+SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1))::INTEGER AS copy FROM counted
 """
 
 
@@ -137,7 +138,7 @@ lines AS (SELECT doc_id, no, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(12)
 firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'no': no}) AS place FROM lines WHERE line <> '' GROUP BY line),
 halves AS (
   SELECT DISTINCT line, n, place, side || CASE side WHEN 'l' THEN left(line, (n + more) // 2) ELSE right(line, (n + more) // 2) END AS k
-  FROM firsts, (VALUES ('l'), ('r')) s(side), (VALUES (0), (1)) e(more) WHERE n >= 16),
+  FROM firsts, (VALUES ('l'), ('r')) s(side), (VALUES (0), (1)) e(more)),
 pairs AS (
   SELECT DISTINCT a.line AS line, b.line AS other, a.n AS n, b.n AS m FROM halves a JOIN halves b USING (k)
   WHERE b.place < a.place AND abs(a.n - b.n) <= 1),
@@ -162,7 +163,7 @@ FROM totals t LEFT JOIN left_over o USING (doc_id)
 
 @query("op1_line_dedup", LINE_DEDUP_SQL)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf, "documents"), report=True)
+    return line_dedup.dedup_lines(table(spark, sf, "documents"), report=True, min_chars=1)
 
 
 @query("op2_suffix_dedup")

@@ -22,14 +22,14 @@ def one_edit(a, b):
     return any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
 
 
-def brute(docs):
+def brute(docs, min_chars=16):
     """Texts after dedup, by comparing every line with all earlier ones."""
     seen, out = [], []
     for doc_id, text in sorted(docs, key=lambda d: d[0]):
         kept = []
         for raw in text.split("\n"):
             line = raw.strip(" \t\r\f\v")
-            if line and any(line == s or min(len(line), len(s)) >= 16 and one_edit(line, s) for s in seen):
+            if line and any(line == s or min(len(line), len(s)) >= min_chars and one_edit(line, s) for s in seen):
                 pass
             else:
                 kept.append(raw)
@@ -63,6 +63,15 @@ def test_lines_as_by_loops(spark):
     assert got == brute(docs)
 
 
+def test_short_lines_as_by_loops(spark):
+    rng = random.Random(9)
+    docs = [(i, "\n".join("".join(rng.choice("abé") for _ in range(rng.randrange(16))) for _ in range(4))) for i in range(60)]
+    frame = spark.createDataFrame([(i, t, "s", "l", "h", "c") for i, t in docs], DOCS)
+    for min_chars in (1, 5):
+        got = sorted((r.doc_id, r.text) for r in dedup_lines(frame, min_chars=min_chars).collect())
+        assert got == brute(docs, min_chars) and got != brute(docs)
+
+
 def test_lines_odd_cases(spark):
     long = "w" * 50_000
     rows = [
@@ -132,6 +141,22 @@ def test_mix_order_is_seeded_and_global(spark):
     assert 0.3 < sum(i < 500 for i in first[: len(first) // 2]) / sum(i < 500 for i in first) < 0.7
 
 
+def test_rows_without_key_draw_for_themselves(spark):
+    """A third of all rows without key, in a source that is wanted less than once: as many stay as the rate asks."""
+    rows = [(i if i % 3 else None, f"t{i}", "hot" if i % 3 != 1 else "rare", "", "", "") for i in range(1500)]
+    got = mix_sources(spark.createDataFrame(rows, DOCS), weights={"hot": 1.0, "rare": 1.0}).collect()
+    kept = [r for r in got if r.doc_id is None]
+    assert abs(len(kept) - 500 * 0.75) < 80 and len({r.text for r in kept}) > 200
+    levels = {t: poisson(int(hashlib.md5(f"42-null-{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) / 2**52, 0.75) for i, t, *_ in rows if i is None}
+    assert len(kept) == sum(levels.values())
+
+
+def test_mixing_moves_the_texts_once(spark):
+    frame = spark.createDataFrame([(1, "x", "a", "", "", "")], DOCS)
+    plan = mix_sources(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") - plan.count("BroadcastExchange ") == 1 and "Sort [place" in plan
+
+
 def test_mix_odd_cases(spark):
     assert mix_sources(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(None, None, None, None, None, None), (1, "x", "a", "", "", ""), (1, "x", "a", "", "", "")]
