@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from segue.functions import vectors as V
 from segue.functions.scalars import hash_bin
-from segue.operators import evaluate, factors, neighbors, retrieval, tree_index
+from segue.operators import evaluate, factors, listwise, neighbors, retrieval, tree_index
 from segue.operators.sampling import split_by_mod
 from segue.plans import lists
 from segue.plans import tables as t
@@ -288,6 +288,40 @@ def _(spark, sf):
     return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("dcg", "ideal", "ndcg")])
 
 
+RELEVANCE = "CASE event_type WHEN 'purchase' THEN 3 WHEN 'signup' THEN 2 WHEN 'click' THEN 1 ELSE 0 END"
+
+
+@query(
+    "listwise_loss",
+    f"""WITH d AS (SELECT user_id, event_id, value / 100.0::DOUBLE AS s, {RELEVANCE} AS rel FROM events),
+    z AS (SELECT user_id, s, sum(exp(s)) OVER (PARTITION BY user_id ORDER BY rel, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS z FROM d)
+    SELECT user_id, CAST(count(*) AS BIGINT) AS n, round(sum(ln(z) - s), 6) AS loss FROM z GROUP BY 1""",
+)
+def _(spark, sf):
+    rows = t.table(spark, sf, "events").select("user_id", "event_id", (F.col("value") / 100.0).alias("s"), F.expr(RELEVANCE).alias("rel"))
+    out = listwise.listwise_loss(listwise.relevance_lists(rows, "user_id", "rel", "event_id"), F.col("s"))
+    return out.select("user_id", "n", F.round("loss", 6).alias("loss"))
+
+
+@query("train_listwise")
+def _(spark, sf):
+    # Held-out users: NDCG@10 of the order learnt from whole lists, and of a regression of the relevance.
+    rows = t.table(spark, sf, "events").select(
+        "user_id", "event_id", F.expr(RELEVANCE).alias("rel"), F.expr(RELEVANCE).cast("double").alias("label"), "value",
+        F.hour("ts").cast("double").alias("hour"), F.coalesce(F.get_json_object("props", "$.k").cast("double"), F.lit(0.0)).alias("k"),
+    )
+    features = ["value", "hour", "k"]
+    train, valid = split_by_mod(stash(rows, "events"), "user_id", 10)
+    model, _ = listwise.fit_listwise(train, "user_id", "rel", "event_id", features, rounds=6)
+    pointwise = retrieval.fit_ranker(train, features, iterations=3, depth=3)
+    scored = [("listwise", valid.withColumn("prediction", model.score())), ("pointwise", retrieval.with_predictions(pointwise, valid))]
+    out = []
+    for name, held in scored:
+        found = evaluate.ndcg(held, "user_id", "prediction", "rel", "event_id")
+        out.append(found.agg(F.count(F.lit(1)).alias("n"), F.avg("ndcg").alias("ndcg")).withColumn("model", F.lit(name)))
+    return out[0].unionByName(out[1]).select("model", "n", "ndcg")
+
+
 @query(
     "score_candidates",
     f"""WITH d AS (SELECT vec_id AS id, j, round(sum(embedding[i + 1]::DOUBLE * ((i * (j + 1)) % 7 - 3)), 6) AS x FROM embeddings, range(0, {DIM}) r(i), range(0, 16) q(j) GROUP BY 1, 2)
