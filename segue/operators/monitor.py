@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from segue.functions.scalars import bucketize, round_half_even
+from segue.functions.scalars import bucketize, round_half_even, stable_hash
 
 DEFAULT_THRESHOLD = 0.001
 THRESHOLD = 0.05
@@ -128,15 +129,21 @@ def inject_skew(df: DataFrame, stats: DataFrame, features: Sequence[str], start:
 
 def inject_noise(
     df: DataFrame, stats: DataFrame, features: Sequence[str],
-    perturb: Mapping[str, tuple[Callable[[float], float], Callable[[float], float]]] | None = None, seed: int = 42,
+    perturb: Mapping[str, tuple[Callable[[float], float], Callable[[float], float]]] | None = None, seed: int = 42, key: str | None = None,
 ) -> DataFrame:
-    """Each feature drawn from N(mean, std), not below 0; `perturb` changes the mean and std of named features."""
+    """Each feature drawn from N(mean, std), not below 0; `perturb` changes the mean and std of named features.
+
+    A row's draw comes from a hash of `key`, or of all its columns, so it is the same however the rows are dealt.
+    """
     row = stats.first()
+    id_ = F.col(key) if key else F.xxhash64(*df.columns)
     drawn = {}
     for i, f in enumerate(features):
         change_mean, change_std = (perturb or {}).get(f, (float, float))
         centre, spread = change_mean(row[f"{f}_mean"]), change_std(row[f"{f}_std"])
-        drawn[f] = F.greatest(F.randn(seed + i) * F.lit(spread) + F.lit(centre), F.lit(0.0))
+        unit = lambda part: (stable_hash(F.concat_ws("-", id_.cast("string"), F.lit(f"{seed + i}-{part}"))) + 0.5) / F.lit(2.0**60)  # noqa: B023, E731
+        normal = F.sqrt(-2 * F.log(unit(1))) * F.cos(2 * math.pi * unit(2))
+        drawn[f] = F.greatest(normal * F.lit(spread) + F.lit(centre), F.lit(0.0))
     return df.withColumns(drawn)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from segue.operators import feature_store as fs
 from segue.operators import monitor
 from segue.plans import tables as t
+from segue.plans.basics import md5_sql
 from segue.plans.registry import query
 
 HALF = "2024-01-16 00:00:00"
@@ -136,11 +137,22 @@ def _(spark, sf):
     return monitor.inject_skew(rows, monitor.mean_std(rows, features), features)
 
 
-@query("noise_inject")
+def _drawn(seed: int, spread: str, centre: str) -> str:
+    unit = lambda part: f"(({md5_sql(f"event_id || '-{seed}-{part}'")} + 0.5) / 1152921504606846976.0::DOUBLE)"
+    return f"round(greatest(sqrt(-2 * ln({unit(1)})) * cos(2 * pi() * {unit(2)}) * {spread} + {centre}, 0), 4)"
+
+
+@query(
+    "noise_inject",
+    f"""WITH log AS (SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+    m AS (SELECT avg(value) AS vm, stddev_pop(value) AS vs, avg(k) AS km, stddev_pop(k) AS ks FROM log)
+    SELECT event_id, {_drawn(42, 'vs / 3', 'vm * 3')} AS value, {_drawn(43, 'ks', 'km')} AS k FROM log, m""",
+)
 def _(spark, sf):
     rows = requests(spark, sf).select("event_id", "value", "k")
     stats = monitor.mean_std(rows, ["value", "k"])
-    return monitor.inject_noise(rows, stats, ["value", "k"], {"value": (lambda m: m * 3, lambda s: s / 3)})
+    noisy = monitor.inject_noise(rows, stats, ["value", "k"], {"value": (lambda m: m * 3, lambda s: s / 3)}, key="event_id")
+    return noisy.select("event_id", F.round("value", 4).alias("value"), F.round("k", 4).alias("k"))
 
 
 def _values(spark, sf):
