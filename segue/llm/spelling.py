@@ -96,7 +96,8 @@ def trie(words: DataFrame, backward: bool, long: bool) -> tuple[DataFrame, DataF
     read = F.reverse if backward else F.col
     words = words.select("id", read("word").alias("text"), "n")
     places = beginnings(words, long)
-    passed = places.groupBy("node").agg(F.min("code").alias("low"), F.max("code").alias("high"), F.count(F.lit(1)).alias("n"))
+    point = F.ascii("code")  # numbers are aggregated by hash, strings would be sorted
+    passed = places.groupBy("node").agg(F.min(point).alias("low"), F.max(point).alias("high"), F.count(F.lit(1)).alias("n"))
     nodes = stash(passed.where("low <> high").select("node", "n"), "trie-nodes")
     along = dealt_join(places, nodes.select("node"), ["node"], rows=2**62, counts=nodes)
     path = W.partitionBy("id").orderBy("depth")
@@ -106,12 +107,14 @@ def trie(words: DataFrame, backward: bool, long: bool) -> tuple[DataFrame, DataF
     paths = stash(along, "trie-paths")
     label = F.expr("substring(text, depth + 1, coalesce(until, char_length(text)) - depth)")
     step = F.min(F.struct(F.length(label), label.alias("label"), "child", F.when(F.col("child").isNull(), F.col("id")).alias("ends")))
-    edges = paths.groupBy("node", "code").agg(step.alias("step")).select("node", "code", "step.label", "step.child", "step.ends")
-    edges = edges.join(words.select(F.col("id").alias("ends"), "n"), "ends", "left")
-    codes = paths.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(coded(F.col("code"))), "").alias("codes"))
+    edges = stash(paths.groupBy("node", "code").agg(step.alias("step")).select("node", "code", "step.label", "step.child", "step.ends"), "edges")
+    codes = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list(coded(F.col("code"))), "").alias("codes"))
+    # an edge leads to a node or to a word's end
+    inner = edges.where("child is not null").join(codes, "child").withColumn("n", F.lit(None).cast("bigint"))
+    last = edges.where("child is null").join(words.select(F.col("id").alias("ends"), "n"), "ends").withColumn("codes", F.lit(None).cast("string"))
     second = F.expr("substring(label, 2, 1)")
     after = F.when(second != "", second).when(F.col("child").isNull(), F.lit("#")).otherwise(F.col("codes"))
-    edges = edges.join(codes, "child", "left").withColumn("after", F.when(F.col("code") != "", after))
+    edges = inner.unionByName(last).withColumn("after", F.when(F.col("code") != "", after))
     return paths.select("id", "text", "depth", "node", "code"), stash(edges, "trie-edges")
 
 
