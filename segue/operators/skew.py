@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from segue.session import stash
 
 DEALT_ROWS, MOST_HOT, DRAWN = 100_000, 10_000, 64
+MANY_ROWS = 1 << 62
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -27,8 +28,8 @@ def dealt_groups(
     The rows of such a key go to parts by their hash, and its rows of `few` are repeated for each part. The keys are found
     in one row of DRAWN, by hash, unless `counts` (keys, n) has them; the MOST_HOT heaviest are broadcast, so a key that is
     not listed has fewer than one row in MOST_HOT of the table. Which keys are listed changes the tasks, never the result.
-    `many` is read twice, so it should be a written table or cheap; `rows`, if given, saves counting it. `how` is inner,
-    left_semi or left_anti.
+    `many` is read twice, so it should be a written table or cheap; `rows`, if given, saves counting it, and MANY_ROWS asks
+    for the same plan at every size. `how` is inner, left_semi or left_anti.
     """
     keys = list(keys)
     if (many.count() if rows is None else rows) <= per_part:
@@ -36,8 +37,8 @@ def dealt_groups(
     if counts is None:
         drawn = many.where(F.pmod(F.xxhash64(F.lit(9), *many.columns), F.lit(DRAWN)) == 0)
         counts = drawn.groupBy(*keys).agg((F.count(F.lit(1)) * DRAWN).alias("n"))
-    hot = counts.select(*keys, F.ceil(F.col("n") / F.lit(per_part)).alias("_parts")).where("_parts > 1")
-    hot = hot.orderBy(F.desc("_parts"), *keys).limit(MOST_HOT)
+    # the heaviest keys are listed whether they are hot or not, so that the plan is the same for every table
+    hot = counts.orderBy(F.desc("n"), *keys).limit(MOST_HOT).select(*keys, F.ceil(F.col("n") / F.lit(per_part)).alias("_parts"))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = many.join(F.broadcast(hot), keys, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts)).drop("_parts")
     right = few.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts")
