@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.llm.hot import ascii_lower, dealt_join, marked
+from segue.operators.skew import MANY_ROWS
 from segue.session import stash
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -66,7 +67,7 @@ def starts(index: DataFrame, rare: DataFrame, slop: int | None = None) -> DataFr
     of the rarest word that has the second one at most `slop` words away."""
     postings = index.where(F.col("word") != END).select("word", "doc", F.col("at").alias("p"))
     one = rare.select(F.col("first.word").alias("word"), "phrase", F.col("first.at").alias("at1"), F.col("second").alias("s"))
-    led = dealt_join(postings, one, ["word"])
+    led = dealt_join(postings, one, ["word"], rows=MANY_ROWS)
     alone = led.where("s is null").select("phrase", "doc", (F.col("p") - (F.col("at1") if slop is None else 0)).alias("at"))
     led = led.where("s is not null")
     if slop is None:
@@ -147,7 +148,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     """
     phrases, index, hits = search(docs, items, key, text, item_key, item_text, words, None)
     spans = hits.select("doc", F.explode(F.array_distinct("spans.phrase")).alias("phrase"))
-    named = dealt_join(stash(spans, "hit-phrases"), phrases.where("item is not null"), ["phrase"])
+    named = dealt_join(stash(spans, "hit-phrases"), phrases.where("item is not null"), ["phrase"], rows=MANY_ROWS)
     listed = named.groupBy("doc").agg(F.array_sort(F.collect_set("item")).alias("items"))
     listed = listed.select("doc", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     ends = index.where(F.col("word") == END).select("doc", F.col("at").cast("bigint").alias("n_words"), "copies")

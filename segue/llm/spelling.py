@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segue.llm.hot import ascii_lower, dealt_join
+from segue.operators.skew import MANY_ROWS
 from segue.session import stash
 
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -99,7 +100,7 @@ def trie(words: DataFrame, backward: bool, long: bool) -> tuple[DataFrame, DataF
     point = F.ascii("code")  # numbers are aggregated by hash, strings would be sorted
     passed = places.groupBy("node").agg(F.min(point).alias("low"), F.max(point).alias("high"), F.count(F.lit(1)).alias("n"))
     nodes = stash(passed.where("low <> high").select("node", "n"), "trie-nodes")
-    along = dealt_join(places, nodes.select("node"), ["node"], rows=2**62, counts=nodes)
+    along = dealt_join(places, nodes.select("node"), ["node"], rows=MANY_ROWS, counts=nodes)
     path = W.partitionBy("id").orderBy("depth")
     along = along.withColumns({"child": F.lead("node").over(path), "until": F.lead("depth").over(path)})
     # a short word is its own name
