@@ -2,9 +2,11 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from segue.operators import enrich
+from segue.operators import enrich, neighbors, tree_index
 from segue.operators import sequence as S
 from segue.plans import lists as plans
 
@@ -51,3 +53,31 @@ def test_equal_features_come_once_though_written_differently(spark):
     samples = spark.createDataFrame([("t", "x"), ("t", "x")], "key string, name string")
     audio = spark.createDataFrame([("t", None), ("t", 0.0)], "key string, tempo double")
     assert enrich.distinct_candidates(samples, audio, "key", ["key", "name"], {"tempo": 0.0}).collect() == [("t", "x", 0.0)]
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_near_pairs_match_a_loop_over_stretches(spark, n):
+    places = [p for p in range(3 * S.STRETCH * n + 2) if p % 7 != 3]
+    rows = [(pid, p, f"t{p}") for pid in (1, None) for p in places] + [(1, 0, "twice"), (1, None, "nowhere")]
+    df = spark.createDataFrame(rows, "pid bigint, pos bigint, track string")
+    found = S.near_pairs(df, "pid", "pos", n, ["track"], {"earlier": "track"})
+    plan = found._jdf.queryExecution().executedPlan().toString()  # before it runs
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    held = [(p, t) for pid, p, t in rows if pid == 1 and p is not None]
+    expected = Counter((1, p, t, q, u) for p, t in held for q, u in held if p - n <= q < p)
+    assert found.columns == ["pid", "pos", "track", "pos_pl", "earlier"] and Counter(map(tuple, found.collect())) == expected
+
+
+def test_what_a_search_of_the_tree_writes_has_no_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(300)], "id bigint, embedding array<double>")
+    index = tree_index.build(rows, leaf_size=10, skip_self=True)
+    asked = rows.select(F.col("id").alias("query"), F.col("embedding").alias("vector"))
+    levels = tree_index.ordered_nodes(index, asked, 2.0)
+    assert all(set(level.columns) >= {"query", "node", "before"} and "vector" not in level.columns for level in levels)
+    leaves = index.nodes.where("leaf").count()
+    assert levels[-1].count() == 300 * leaves
+    found = tree_index.search(index, rows.withColumnRenamed("id", "query"), 5, share=1.0, skip_self=True)
+    exact = neighbors.knn(rows.withColumnRenamed("id", "query"), rows, 5, skip_self=True)
+    pick = lambda df: sorted(map(tuple, df.select("query", "id", "rank").collect()))
+    assert pick(found) == pick(exact)
