@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from segue.operators import towers
 from segue.operators.towers import Feature, TowerFeatures, TowerModel
 
 FEATURES = [
@@ -94,3 +95,17 @@ def test_wrong_features_are_refused(spark):
     empty = spark.createDataFrame([], SCHEMA)
     model = TowerFeatures(FEATURES, ["id"]).fit(empty)
     assert model.transform(spark.createDataFrame(ROWS, SCHEMA)).where(F.size("features") == model.width).count() == 5
+
+
+def test_rows_do_not_move(fitted, spark, monkeypatch):
+    df, model = fitted
+    twice = df.unionByName(df)
+    plan = model.transform(twice)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    got = sorted((r.id, tuple(r.features)) for r in model.transform(twice).collect())
+    rows = sorted((r.id, tuple(r.features)) for r in model.transform(df).collect())
+    assert got == sorted(rows * 2)  # one for one, though the key repeats
+    monkeypatch.setattr(towers, "TASK_TOKENS", 0)  # a vocabulary too large for the tasks is joined
+    joined = model.transform(df)
+    assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, tuple(r.features)) for r in joined.collect()) == rows
