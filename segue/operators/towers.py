@@ -6,19 +6,17 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segue.functions import text as X
 from segue.functions.scalars import bucketize, hash_bin, stable_hash
-from segue.operators.vocab import UNKNOWN_ID, fit_vocab, vectorize_text
+from segue.operators import vocab as V
+from segue.operators.vocab import UNKNOWN_ID, fit_vocab, looked_up, vectorize_text
 
 BOUNDARIES = 20
 KINDS = ("bucket", "hash", "text", "number")
-TASK_TOKENS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -54,19 +52,6 @@ def sign(hashed: Column, part: Column) -> Column:
     return 1.0 - 2.0 * F.call_function("shiftright", hashed, part).bitwiseAND(F.lit(1)).cast("double")
 
 
-def looked_up(grams: Column, tokens: list[str], values: list[int], other: int) -> Column:
-    """The value of each gram of an array, `other` for grams that are no token; an Arrow function over whole batches."""
-
-    @F.arrow_udf("array<bigint>")
-    def find(lists: pa.Array) -> pa.Array:
-        place = pc.index_in(lists.flatten(), value_set=pa.array(tokens, pa.string()))
-        found = pc.fill_null(pa.array(values, pa.int64()).take(place), other)
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        return pa.ListArray.from_arrays(pa.array([0, *sizes.cumsum().tolist()], pa.int32()), found)
-
-    return find(grams)
-
-
 class TowerFeatures(Estimator):
     """Learns what the features need: vocabularies of all text columns in one job, means and deviations of numbers in one.
 
@@ -107,7 +92,7 @@ class TowerModel(Model):
     bucket: the number of evenly spaced boundaries from 0 to `size` that are reached, as a share of all 20. number: distance
     from the mean in deviations. hash: the bin's hash as `dims` signs. text: the mean of those signs over the ids of the
     known and unknown 1- to n-grams. NULL counts as 0, as the mean, as the empty text, or as no text; NULL lists are empty.
-    All of it is one expression, and no row moves: vocabularies of up to TASK_TOKENS tokens in all go to the tasks. Larger
+    All of it is one expression, and no row moves: vocabularies of up to `vocab.TASK_TOKENS` tokens in all go to the tasks. Larger
     ones meet the distinct texts in joins.
     """
 
@@ -123,7 +108,7 @@ class TowerModel(Model):
         texts = {f.column: f for f in self.features if f.kind == "text"}
         known = self.vocab.where(F.col("feature").isin(*texts)) if texts else self.vocab
         rows, hashes = dataset, {}
-        if texts and known.limit(TASK_TOKENS + 1).count() <= TASK_TOKENS:
+        if texts and known.limit(V.TASK_TOKENS + 1).count() <= V.TASK_TOKENS:
             hashed = {c: self._hash(f, F.col("idx")) for c, f in texts.items()}
             found = known.select("feature", "token", *[h.alias(f"_{i}") for i, h in enumerate(hashed.values())]).collect()
             spark = dataset.sparkSession

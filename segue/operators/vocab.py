@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions import text as X
@@ -15,6 +17,7 @@ MAX_TOKENS = 20_000
 # Id 0 is padding, id 1 an unknown token, the vocabulary starts at 2.
 UNKNOWN_ID = 1
 FIRST_ID = 2
+TASK_TOKENS = 1 << 17
 
 
 def count_ngrams(df: DataFrame, features: Sequence[str], n: int = 2) -> DataFrame:
@@ -73,15 +76,46 @@ def string_lookup(df: DataFrame, col: str, vocab: DataFrame, value: str, index:
     return df.join(table, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
+def looked_up(grams: Column, tokens: Sequence[str], values: Sequence[int], other: int, nested: bool = False) -> Column:
+    """The value of each gram of an array, `other` for grams that are no token; with `nested`, of an array of such arrays.
+    An Arrow function over whole batches, which takes the tokens along."""
+
+    def find(lists: pa.Array, depth: int) -> pa.Array:
+        if depth == 0:
+            place = pc.index_in(lists, value_set=pa.array(tokens, pa.string()))
+            return pc.fill_null(pa.array(values, pa.int64()).take(place), other)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        edges = pa.array([0, *sizes.cumsum().tolist()], pa.int32())
+        return pa.ListArray.from_arrays(edges, find(lists.flatten(), depth - 1), mask=lists.is_null())
+
+    depth, kind = (2, "array<array<bigint>>") if nested else (1, "array<bigint>")
+
+    @F.arrow_udf(kind)
+    def values_of(lists: pa.Array) -> pa.Array:
+        return find(lists, depth)
+
+    return values_of(grams)
+
+
 def vectorize_text(df: DataFrame, key: Sequence[str], vocab: DataFrame, columns: Mapping[str, str], n: int = 2) -> DataFrame:
     """(key, outputs): token ids of the 1- to n-grams of text columns; `columns` maps column to output name.
 
     `key` tells the rows apart. An array column gives one id array per element. NULL texts give NULL, texts without
-    words an empty array. The vocabulary may have any size: every distinct text is cut into grams once, its grams meet
-    the vocabulary in a join, and the ids go back to the rows that hold the text.
+    words an empty array. The vocabulary may have any size. Up to TASK_TOKENS tokens go to the tasks, and rows do not move;
+    with more, every distinct text is cut into grams once, its grams meet the vocabulary in a join, and the ids go back to
+    the rows that hold the text.
     """
     kinds = dict(df.dtypes)
     out = df
+    known = vocab.where(F.col("feature").isin(*columns)).select("feature", "token", "idx").limit(TASK_TOKENS + 1).collect()
+    if len(known) <= TASK_TOKENS:
+        for col, name in columns.items():
+            nested, mine = kinds[col].startswith("array"), [r for r in known if r.feature == col]
+            cut = lambda text: X.ngrams(X.tokens(text), n)
+            grams = F.transform(col, cut) if nested else cut(F.col(col))
+            ids = looked_up(grams, [r.token for r in mine], [r.idx for r in mine], UNKNOWN_ID, nested)
+            out = out.withColumn(name, ids.cast("array<array<int>>" if nested else "array<int>"))
+        return out
     for col, name in columns.items():
         nested = kinds[col].startswith("array")
         table = vocab.where(F.col("feature") == col).select("token", "idx")

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from segue.operators import towers
+from segue.operators import vocab
 from segue.operators.towers import Feature, TowerFeatures, TowerModel
 
 FEATURES = [
@@ -105,7 +105,7 @@ def test_rows_do_not_move(fitted, spark, monkeypatch):
     got = sorted((r.id, tuple(r.features)) for r in model.transform(twice).collect())
     rows = sorted((r.id, tuple(r.features)) for r in model.transform(df).collect())
     assert got == sorted(rows * 2)  # one for one, though the key repeats
-    monkeypatch.setattr(towers, "TASK_TOKENS", 0)  # a vocabulary too large for the tasks is joined
+    monkeypatch.setattr(vocab, "TASK_TOKENS", 0)  # a vocabulary too large for the tasks is joined
     joined = model.transform(df)
     assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.id, tuple(r.features)) for r in joined.collect()) == rows
