@@ -12,7 +12,6 @@ named by a hash of all it holds, so both readings name it alike, and a chunk who
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,6 +28,7 @@ from segue.session import stash
 
 CHUNK_WORDS = 2_000_000
 BUCKET_BYTES = 64 << 20
+PACKED = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("codes", pa.binary()), ("words", pa.binary())])
 
 
 def to_blob(**columns: np.ndarray | pa.Array) -> bytes:
@@ -41,7 +41,7 @@ def to_blob(**columns: np.ndarray | pa.Array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def from_blob(blob: bytes) -> pa.Table:
+def from_blob(blob: bytes | pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
@@ -82,13 +82,49 @@ def piece_table(path: str) -> list[bytes]:
     moved = [b for b in range(256) if b not in set(printable)]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(moved)}
     tokens = tokenizer(path).get_vocab(with_added_tokens=True)
-    added = {x["content"] for x in json.loads(tokenizer(path).to_str())["added_tokens"]}
+    added = {x.content for x in tokenizer(path).get_added_tokens_decoder().values()}
     pieces = [b""] * (max(tokens.values()) + 1)
     for token, i in tokens.items():
         pieces[i] = token.encode() if token in added else bytes(byte_of[c] for c in token)
     return pieces
 
 
+def put_back(rows: Iterator[pa.RecordBatch], tokenizer_path: str, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """(key, ids, decoded) of one chunk from its documents and all answers, some documents at a time."""
+    release()
+    group = pa.Table.from_batches(rows, PACKED)
+    bucket = np.asarray(group.column("bucket").combine_chunks())
+    blobs = {int(b): i for i, b in enumerate(bucket) if b >= 0}
+    answers = [list_parts(from_blob(group.column("words")[blobs[b]].as_buffer()).column("ids")) for b in sorted(blobs)]
+    ids = np.concatenate([np.empty(0, np.uint32), *(np.asarray(v) for v, _ in answers)])
+    counts = np.concatenate([np.empty(0, np.int64), *(n for _, n in answers)])
+    del answers
+    for i in np.flatnonzero(bucket < 0):  # one, or as many as there are copies of the chunk
+        head = {name: from_blob(group.column(name)[int(i)].as_buffer()) for name in ("docs", "codes", "words")}
+        if head["words"].num_rows != len(counts):
+            raise ValueError("the two readings of the texts differ: write the table first")
+        planes = np.column_stack([np.asarray(head["codes"].column(f"p{p}").combine_chunks()) for p in range(4)])
+        place = np.empty(len(counts), np.int32)
+        place[np.asarray(head["words"].column("order").combine_chunks())] = np.arange(len(place), dtype=np.int32)
+        at = place[np.ascontiguousarray(planes).view("<u4").reshape(-1)]
+        keys, sizes = (head["docs"].column(name).combine_chunks() for name in ("key", "size"))
+        del head, planes, place
+        edges = np.concatenate(([0], np.cumsum(np.asarray(sizes))))
+        pieces = piece_table_of(tokenizer_path)
+        schema = pa.schema([("key", key_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+        for first in range(0, len(keys), 200):
+            last = min(first + 200, len(keys))
+            mine = at[edges[first] : edges[last]]
+            found = spread(ids, counts, mine)
+            ends = edges_of(counts[mine], np.asarray(sizes)[first:last])
+            texts = [b"".join([pieces[i] for i in found[a:b].tolist()]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found.astype(np.int32)))
+            # given on at once, so that neither side holds a chunk's texts
+            yield pa.RecordBatch.from_arrays([keys[first:last], lists, pa.array(texts, pa.string())], schema=schema)
+    del group, ids, counts
+    release()
+
+
 def encode_decode(
     docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text",
     chunk_words: int = CHUNK_WORDS, bucket_bytes: int = BUCKET_BYTES,
@@ -111,7 +147,6 @@ def encode_decode(
     buckets = max(1, -(-total // bucket_bytes))
     kind = rows.schema["key"].dataType.simpleString()
     key_type = to_arrow_type(rows.schema["key"].dataType)
-    packed_schema = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("codes", pa.binary()), ("words", pa.binary())])
 
     def pack_chunks(asking: bool):
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,63 +158,41 @@ def encode_decode(
                     held += len(lists[-1].flatten())
                     if held >= chunk_words:
                         for row in chunk_rows(keys, lists, buckets, asking):
-                            yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
+                            yield pa.RecordBatch.from_pylist([row], schema=PACKED)
                         keys, lists, held = [], [], 0
             if keys:
                 for row in chunk_rows(keys, lists, buckets, asking):
-                    yield pa.RecordBatch.from_pylist([row], schema=packed_schema)
+                    yield pa.RecordBatch.from_pylist([row], schema=PACKED)
             keys, lists = [], []
             release()
 
         return pack
 
-    def encode_bucket(group: pa.Table) -> pa.Table:
-        asked = [from_blob(x.as_py()).column("word").combine_chunks() for x in group.column("words")]
+    def decode_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return put_back(batches, tokenizer_path, key_type)
+
+    def encode_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(batches, PACKED)
+        asked = [from_blob(x.as_buffer()).column("word").combine_chunks() for x in group.column("words")]
+        head = group.select(["chunk", "bucket"]).to_pylist()
+        del group
         coded = pa.chunked_array(asked, pa.string()).combine_chunks().dictionary_encode()
+        sizes = [len(words) for words in asked]
+        del asked
         ids, counts = encode_words(tokenizer_path, coded.dictionary.to_pylist())
-        codes, at, answers = np.asarray(coded.indices), 0, []
-        for words in asked:
-            mine = codes[at : at + len(words)]
-            at += len(words)
+        codes, at = np.asarray(coded.indices), 0
+        for row, size in zip(head, sizes, strict=True):
+            mine = codes[at : at + size]
+            at += size
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts[mine]))).astype(np.int32)), pa.array(spread(ids, counts, mine)))
-            answers.append(to_blob(ids=lists))
+            yield pa.RecordBatch.from_pylist([row | {"words": to_blob(ids=lists)}], schema=PACKED)
         del ids, counts, codes, coded
         release()
-        return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "docs": pa.nulls(len(asked), pa.binary()), "codes": pa.nulls(len(asked), pa.binary()), "words": pa.array(answers, pa.binary())})
-
-    def put_back(group: pa.Table) -> pa.Table:
-        release()
-        bucket = np.asarray(group.column("bucket").combine_chunks())
-        blobs = {int(b): group.column("words")[i].as_py() for i, b in enumerate(bucket) if b >= 0}
-        answers = [list_parts(from_blob(blobs[b]).column("ids")) for b in sorted(blobs)]
-        ids = np.concatenate([np.empty(0, np.uint32), *(np.asarray(v) for v, _ in answers)])
-        counts = np.concatenate([np.empty(0, np.int64), *(n for _, n in answers)])
-        out = []
-        for i in np.flatnonzero(bucket < 0):  # one, or as many as there are copies of the chunk
-            head = {name: from_blob(group.column(name)[int(i)].as_py()) for name in ("docs", "codes", "words")}
-            if head["words"].num_rows != len(counts):
-                raise ValueError("the two readings of the texts differ: write the table first")
-            planes = np.column_stack([np.asarray(head["codes"].column(f"p{p}").combine_chunks()) for p in range(4)])
-            place = np.empty(len(counts), np.int32)
-            place[np.asarray(head["words"].column("order").combine_chunks())] = np.arange(len(place), dtype=np.int32)
-            at = place[np.ascontiguousarray(planes).view("<u4").reshape(-1)]
-            keys, sizes = (head["docs"].column(name).combine_chunks() for name in ("key", "size"))
-            edges = np.concatenate(([0], np.cumsum(np.asarray(sizes))))
-            pieces = piece_table_of(tokenizer_path)
-            for first in range(0, len(keys), 200):
-                last = min(first + 200, len(keys))
-                mine = at[edges[first] : edges[last]]
-                found = spread(ids, counts, mine)
-                ends = edges_of(counts[mine], np.asarray(sizes)[first:last])
-                texts = [b"".join([pieces[i] for i in found[a:b].tolist()]).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found.astype(np.int32)))
-                out.append(pa.RecordBatch.from_arrays([keys[first:last], lists, pa.array(texts, pa.string())], names=["key", "ids", "decoded"]))
-        return pa.Table.from_batches(out, pa.schema([("key", key_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]))
 
     split = rows.select("key", words_of(F.col("text")).alias("words"))
     chunk_schema = "chunk string, bucket int, docs binary, codes binary, words binary"
     asked = split.mapInArrow(pack_chunks(True), chunk_schema).groupBy("bucket").applyInArrow(encode_bucket, chunk_schema)
-    whole = split.mapInArrow(pack_chunks(False), chunk_schema).unionByName(asked).groupBy("chunk").applyInArrow(put_back, f"key {kind}, ids array<int>, decoded string")
+    whole = split.mapInArrow(pack_chunks(False), chunk_schema).unionByName(asked).groupBy("chunk").applyInArrow(decode_chunk, f"key {kind}, ids array<int>, decoded string")
     return whole.select(F.col("key").alias(key), "ids", "decoded")
 
 
