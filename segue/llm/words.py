@@ -13,7 +13,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,27 +87,29 @@ def encode_many(path: str, words: list[str], together: int = 64) -> tuple[np.nda
 class KnownWords:
     """The words that a worker process has met first, with their ids: a bounded table, so later texts mostly look up."""
 
-    LIMIT, LONGEST = 1 << 19, 32  # 16 MB of text at most
+    LIMIT, LONGEST = 1 << 18, 32  # some 50 MB with its table
 
     def __init__(self, path: str):
-        self.path, self.words = path, pa.array([], pa.string())
+        # a Python table, as an Arrow set of values would be hashed again at each look-up
+        self.path, self.words = path, {}
         self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, counts, place): word i has the ids of entry place[i] of a table given by its ids and their counts."""
-        place = pc.index_in(words, value_set=self.words)
-        unknown = words.filter(place.is_null())
-        new_ids, new_counts = encode_many(self.path, unknown.to_pylist())
+        texts = words.to_pylist()
+        place = np.fromiter((self.words.get(w, -1) for w in texts), np.int64, len(texts))
+        missing = np.flatnonzero(place < 0)
+        unknown = [texts[i] for i in missing.tolist()]
+        new_ids, new_counts = encode_many(self.path, unknown)
         ids, counts = np.concatenate([self.ids, new_ids]), np.concatenate([self.counts, new_counts])
-        missing = np.asarray(place.is_null())
-        place = np.asarray(place.fill_null(0)).astype(np.int64)
-        place[missing] = len(self.words) + np.arange(int(missing.sum()))
+        place[missing] = len(self.words) + np.arange(len(missing))
         room = self.LIMIT - len(self.words)
-        short = np.flatnonzero(np.asarray(pc.binary_length(unknown)) <= self.LONGEST)[: max(0, room)]
-        if len(short):
-            self.ids = np.concatenate([self.ids, spread(new_ids, new_counts, short)])
+        short = [i for i, w in enumerate(unknown) if len(w.encode()) <= self.LONGEST][: max(0, room)] if room > 0 else []
+        if short:
+            self.ids = np.concatenate([self.ids, spread(new_ids, new_counts, np.array(short))])
             self.counts = np.concatenate([self.counts, new_counts[short]])
-            self.words = pa.concat_arrays([self.words, unknown.take(pa.array(short))])
+            first = len(self.words)
+            self.words.update((unknown[i], first + k) for k, i in enumerate(short))
         return ids, counts, place
 
 
