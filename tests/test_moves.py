@@ -1,10 +1,13 @@
 """What moves between tasks: chunks that lie by slice, texts beside a small vocabulary, flags of first places, decoded texts."""
 
+import re
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from segue.operators import enrich, vocab
 from segue.operators import sequence as S
-from segue.operators import vocab
 from segue.plans import load_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -76,3 +79,39 @@ def test_decoded_texts_come_some_at_a_time():
     assert [b.num_rows for b in batches] == [200, 200, 50]
     table = pa.Table.from_batches(batches)
     assert table.column("key").to_pylist() == list(range(450)) and set(table.column("decoded").to_pylist()) == {" blue train"}
+
+
+def doubled(df, keys):
+    return df.unionByName(df.where(F.col(keys).isin(1, 2)))
+
+
+def odd_lists(spark, pieces):
+    rows = [(p, i, None if i == 3 else (i + (p or 0)) % 6, i % 2) for p in (1, 2, None) for i in range(9)]
+    df = spark.createDataFrame(rows, "pid bigint, at bigint, item bigint, maker bigint")
+    return S.cut_lists(df, "pid", ["at"], pieces=pieces)
+
+
+def test_placed_items_get_each_row_of_their_features_once(spark):
+    items = doubled(spark.createDataFrame([(i, f"t{i}", None if i == 4 else i * 2) for i in range(5)], "item bigint, name string, x int"), "item")
+    items = items.unionByName(items.where("item = 2").withColumn("name", F.lit("other")))
+    makers = spark.createDataFrame([(0, "m"), (1, "n"), (1, "n"), (None, "o")], "maker bigint, maker_name string")
+    numbered = {"maker": enrich.numbered_copies(makers, "maker"), "item": enrich.numbered_copies(items, "item")}
+    keys = {k: d.select(k, k + enrich.COPY) for k, d in numbered.items()}
+    for pieces in (1, 4):
+        lists = odd_lists(spark, pieces)
+        early = S.fan_out(S.attach(lists, lambda rows: enrich.enrich_items(rows, {"maker": makers, "item": items})))
+        placed = S.fan_out(S.attach(lists, lambda rows: enrich.enrich_items(rows, keys)))
+        late = enrich.enrich_items(placed, numbered)
+        columns = ["pid", "item", "maker", "name", "x", "maker_name"]
+        rows = lambda df: sorted(map(str, df.select(*columns).collect()))
+        places = lambda df: sorted(map(str, df.select("pid", "pos", "item").collect()))
+        assert rows(late) == rows(early) and places(late) == places(early) and late.count() > 27
+
+
+def test_no_feature_lies_by_list_that_a_list_does_not_ask_for(spark, monkeypatch):
+    seen = []
+    fan_out = S.fan_out
+    monkeypatch.setattr(S, "fan_out", lambda cut, *a, **k: seen.append(cut) or fan_out(cut, *a, **k))
+    out = load_queries()["join_enrich_tracks"].run(spark, SMALL)
+    assert not {"track_name", "artist_name", "artist_genres", "album_uri"} & set(seen[0].rows.columns)
+    assert {"track_name_can", "artist_name_can", "artist_genres_can"} < set(out.columns)
