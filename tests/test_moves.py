@@ -115,3 +115,17 @@ def test_no_feature_lies_by_list_that_a_list_does_not_ask_for(spark, monkeypatch
     out = load_queries()["join_enrich_tracks"].run(spark, SMALL)
     assert not {"track_name", "artist_name", "artist_genres", "album_uri"} & set(seen[0].rows.columns)
     assert {"track_name_can", "artist_name_can", "artist_genres_can"} < set(out.columns)
+
+
+def test_histories_are_looked_up_once_an_item(spark):
+    table = doubled(spark.createDataFrame([(i, None if i == 4 else i, i / 2) for i in range(5)], "key bigint, x bigint, y double"), "key")
+    table = table.unionByName(spark.createDataFrame([(2, 0, 9.0), (None, 7, 7.0)], table.schema))
+    columns = {"x": 0, "y": 0.0}
+    for pieces in (1, 4):
+        lists = odd_lists(spark, pieces)
+        found = enrich.lookup_arrays(lists, "row", "held", table, "key", columns, 3, "item")
+        arrays = S.fan_out(lists, {"held": "item"}, 3).select(F.struct("pid", "pos").alias("row"), "held")
+        wanted = enrich.lookup_arrays(arrays, "row", "held", table, "key", columns)
+        assert found.columns == wanted.columns and found.dtypes == wanted.dtypes
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect())) and found.count() > 15
+    assert "posexplode" not in plan(found)
