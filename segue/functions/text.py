@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 
 from segue.functions.scalars import _col
 
-# Fixed value: the punctuation that is stripped before splitting.
-PUNCTUATION = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']"""
+# The punctuation that is stripped before splitting, and the blanks beside the space.
+PUNCTUATION = """!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"""
+BLANKS = "\t\n\r"
 
 
 def standardize(c: Column | str) -> Column:
-    lowered = F.translate(_col(c), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_replace(lowered, PUNCTUATION, "")
+    return F.translate(_col(c), string.ascii_uppercase + PUNCTUATION, string.ascii_lowercase)
 
 
 def tokens(c: Column | str) -> Column:
-    """Words of the standardized text, in order."""
-    return F.filter(F.split(standardize(c), r"[ \t\n\r]+"), lambda t: t != "")
+    """Words of the standardized text, in order. One pass over the text lowers, strips and makes all blanks spaces."""
+    clean = F.translate(_col(c), string.ascii_uppercase + BLANKS + PUNCTUATION, string.ascii_lowercase + " " * len(BLANKS))
+    return F.array_remove(F.split(clean, " "), "")
 
 
 def ngrams(words: Column | str, n: int = 2) -> Column:

@@ -24,7 +24,8 @@ TASK_TOKENS = 1 << 17
 def count_ngrams(df: DataFrame, features: Sequence[str], n: int = 2) -> DataFrame:
     """(feature, token, n) for all features in one job; an array feature counts the grams of each element.
 
-    Grams are counted on the map side first, so common tokens are no hot spot.
+    Grams are counted on the map side first, so common tokens are no hot spot. Each word meets the n - 1 words after it in
+    one row, from which its grams come, so that all of it is generated code.
     """
     kinds = dict(df.dtypes)
     listed = [
@@ -35,7 +36,12 @@ def count_ngrams(df: DataFrame, features: Sequence[str], n: int = 2) -> DataFram
         for f in features
     ]
     texts = df.select(F.inline(F.array(*listed))).select("feature", F.explode("texts").alias("text"))
-    grams = texts.select("feature", F.explode(X.ngrams(X.tokens("text"), n)).alias("token"))
+    words = texts.select("feature", X.tokens("text").alias("_words"))
+    after = [F.slice("_words", i, F.greatest(F.size("_words") - F.lit(i - 1), F.lit(0))).alias(f"_{i}") for i in range(1, n + 1)]
+    placed = words.select("feature", F.inline(F.arrays_zip(*after)))
+    # a gram that goes beyond the text's end is NULL, as its last words are
+    sizes = [F.concat(*[c for j in range(1, i + 1) for c in (F.lit(" "), F.col(f"_{j}"))][1:]) for i in range(1, n + 1)]
+    grams = placed.select("feature", F.explode(F.array(*sizes)).alias("token")).where("token is not null")
     return grams.groupBy("feature", "token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -129,3 +129,13 @@ def test_histories_are_looked_up_once_an_item(spark):
         assert found.columns == wanted.columns and found.dtypes == wanted.dtypes
         assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect())) and found.count() > 15
     assert "posexplode" not in plan(found)
+
+
+def test_grams_are_counted_in_generated_code(spark):
+    texts = ["a-B c\t[d]\\ a-b", "", None, " . ", "x", "x\r\n\ny z", "É e É", "A b {c}", "a\x0bb"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = vocab.count_ngrams(df, ["text"], 3)
+    assert "lambda" not in plan(counts)
+    cut = lambda t: [w for w in re.split(r"[ \t\n\r]+", re.sub(r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']""", "", re.sub("[A-Z]", lambda m: m[0].lower(), t))) if w]
+    wanted = Counter(" ".join(w[i : i + n]) for t in texts if t is not None for w in [cut(t)] for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    assert {(r.token, r.n) for r in counts.collect()} == set(wanted.items())
