@@ -14,6 +14,7 @@ from segue.llm.text_bytes import PrefixHash, mix, release, slices
 
 WORD_BUCKETS = 1 << 14
 SAMPLE_ROWS = 8_000
+READ_BYTES = 1 << 18  # texts described at a time; what is held for them is many times as large
 STATISTICS = 14
 
 _kind = np.zeros(256, np.uint8)  # 0 other bytes, 1 white space, 2 capitals, 3 small letters, 4 digits, 5 stops, 6 signs
@@ -177,7 +178,7 @@ def train(
     def read(batches):
         for batch in batches:
             fields = batch.column(2).flatten()
-            for first, data, edges in slices(fields[0]):
+            for first, data, edges in slices(fields[0], READ_BYTES):
                 statistics, words = describe(data, edges)
                 numbers = with_metadata(statistics, fields[1][first : first + len(statistics)])
                 yield pa.RecordBatch.from_arrays([
@@ -186,6 +187,7 @@ def train(
                     pa.ListArray.from_arrays(pa.array(words.edges.astype(np.int32)), pa.array(words.index)),
                     pa.ListArray.from_arrays(pa.array(words.edges.astype(np.int32)), pa.array(words.value)),
                 ], names=["key", "label", "numbers", "index", "value"])
+        release()
 
     named = rows.select(F.col("key").cast("string").alias("key"), "label", "doc")
     found = named.mapInArrow(read, "key string, label double, numbers array<double>, index array<int>, value array<double>")
@@ -206,7 +208,7 @@ def quality_score(model: Model, text: Column, metadata: Column) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array, numbers: pa.Array) -> pa.Array:
         out = []
-        for first, data, edges in slices(texts):
+        for first, data, edges in slices(texts, READ_BYTES):
             statistics, words = describe(data, edges)
             numbers_here = with_metadata(statistics, numbers[first : first + len(statistics)])
             out.append(model.score(model.inputs(numbers_here, words)))

@@ -139,3 +139,17 @@ def test_grams_are_counted_in_generated_code(spark):
     cut = lambda t: [w for w in re.split(r"[ \t\n\r]+", re.sub(r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']""", "", re.sub("[A-Z]", lambda m: m[0].lower(), t))) if w]
     wanted = Counter(" ".join(w[i : i + n]) for t in texts if t is not None for w in [cut(t)] for n in (1, 2, 3) for i in range(len(w) - n + 1))
     assert {(r.token, r.n) for r in counts.collect()} == set(wanted.items())
+
+
+def test_texts_are_described_a_little_at_a_time(monkeypatch):
+    import numpy as np
+
+    from segue.llm import quality
+
+    rng = np.random.default_rng(3)
+    texts = pa.array([None, "", *(" ".join(rng.choice(["One", "two!", "3", "four."], rng.integers(1, 9_000))) for _ in range(60))])
+    whole = [quality.describe(data, edges) for _, data, edges in quality.slices(texts, 1 << 30)]
+    parts = [quality.describe(data, edges) for _, data, edges in quality.slices(texts, quality.READ_BYTES)]
+    assert quality.READ_BYTES <= 1 << 18 and len(parts) > 2 and len(whole) == 1
+    assert np.array_equal(np.concatenate([s for s, _ in parts]), whole[0][0])
+    assert np.array_equal(np.concatenate([r.value for _, r in parts]), whole[0][1].value)
