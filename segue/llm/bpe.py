@@ -48,22 +48,23 @@ def from_blob(blob: bytes | pa.Buffer) -> pa.Table:
 def chunk_rows(keys: list[pa.Array], lists: list[pa.Array], buckets: int, asking: bool) -> Iterator[dict]:
     """The rows of one chunk: if `asking`, its distinct words for each bucket, else its documents (bucket -1)."""
     parts = [list_parts(x) for x in lists]
-    coded = pa.chunked_array([values for values, _ in parts]).combine_chunks().dictionary_encode()
+    # texts and places are not copied on the way, as a chunk is large
+    coded = pa.chunked_array([values for values, _ in parts]).dictionary_encode().combine_chunks()
     words = coded.dictionary
     codes = np.asarray(coded.indices)
     # frequent words get small numbers, whose upper bytes compress away
     by_count = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-    number = np.empty(len(words), np.int32)
-    number[by_count] = np.arange(len(words), dtype=np.int32)
+    number = np.empty(len(words), "<u4")
+    number[by_count] = np.arange(len(words), dtype="<u4")
     words = words.take(pa.array(by_count))
     raw = [w.encode() for w in words.to_pylist()]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int32, len(words))
     order = np.argsort(bucket, kind="stable").astype(np.int32)
     sizes = np.concatenate([sizes for _, sizes in parts])
-    codes = number[codes].astype("<u4")
+    codes = number[codes].astype("<u4", copy=False)
     key = pa.concat_arrays(keys)
     name = hashlib.blake2b(digest_size=16)
-    for held in (repr(key.to_pylist()).encode(), sizes.tobytes(), codes.tobytes(), *raw):
+    for held in (repr(key.to_pylist()).encode(), sizes, codes, *raw):
         name.update(held)
     if not asking:
         planes = codes.view(np.uint8).reshape(-1, 4)

@@ -153,3 +153,17 @@ def test_texts_are_described_a_little_at_a_time(monkeypatch):
     assert quality.READ_BYTES <= 1 << 18 and len(parts) > 2 and len(whole) == 1
     assert np.array_equal(np.concatenate([s for s, _ in parts]), whole[0][0])
     assert np.array_equal(np.concatenate([r.value for _, r in parts]), whole[0][1].value)
+
+
+def test_a_chunk_is_packed_without_a_copy_of_its_words():
+    from segue.llm import bpe
+
+    n = 1_000_000
+    lists = pa.ListArray.from_arrays(pa.array(range(0, n + 1, 1000), pa.int32()), pa.array([f" word {i % 100}" for i in range(n)]))
+    usual, pool = pa.default_memory_pool(), pa.system_memory_pool()
+    pa.set_memory_pool(pool)
+    try:
+        list(bpe.chunk_rows([pa.array(range(500))] * 2, [lists[:500], lists[500:]], 1, asking=True))
+    finally:
+        pa.set_memory_pool(usual)
+    assert pool.max_memory() < 10 * n  # numbers of four bytes, twice
