@@ -27,6 +27,8 @@ from segue.llm.words import edges_of, encode_words, list_parts, spread, tokenize
 from segue.session import stash
 
 CHUNK_WORDS = 2_000_000
+PART_WORDS = 1 << 17  # of a chunk's row of documents, so that no side holds a chunk's rows as one
+HEAD, ORDER = -1, -2  # the rows of a chunk that are no words for a bucket
 BUCKET_BYTES = 64 << 20
 PACKED = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("codes", pa.binary()), ("words", pa.binary())])
 
@@ -45,36 +47,42 @@ def from_blob(blob: bytes | pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
-def chunk_rows(keys: list[pa.Array], lists: list[pa.Array], buckets: int, asking: bool) -> Iterator[dict]:
-    """The rows of one chunk: if `asking`, its distinct words for each bucket, else its documents (bucket -1)."""
-    parts = [list_parts(x) for x in lists]
-    # texts and places are not copied on the way, as a chunk is large
-    coded = pa.chunked_array([values for values, _ in parts]).dictionary_encode().combine_chunks()
-    words = coded.dictionary
-    codes = np.asarray(coded.indices)
+def chunk_rows(keys: list[pa.Array], coded: list[pa.Array], sizes: list[np.ndarray], buckets: int, asking: bool) -> Iterator[dict]:
+    """The rows of one chunk, given its words by dictionaries: if `asking`, its distinct words for each bucket, else its
+    documents, some in a row (HEAD), and the order in which the buckets' answers come (ORDER). The lists are emptied."""
+    held = pa.chunked_array(coded).combine_chunks()
+    coded.clear()
+    words, codes = held.dictionary, np.asarray(held.indices)
     # frequent words get small numbers, whose upper bytes compress away
     by_count = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
     number = np.empty(len(words), "<u4")
     number[by_count] = np.arange(len(words), dtype="<u4")
+    codes = number[codes]
     words = words.take(pa.array(by_count))
+    del held
     raw = [w.encode() for w in words.to_pylist()]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int32, len(words))
     order = np.argsort(bucket, kind="stable").astype(np.int32)
-    sizes = np.concatenate([sizes for _, sizes in parts])
-    codes = number[codes].astype("<u4", copy=False)
-    key = pa.concat_arrays(keys)
+    size, key = np.concatenate(sizes), pa.concat_arrays(keys)
+    sizes.clear()
+    keys.clear()
     name = hashlib.blake2b(digest_size=16)
-    for held in (repr(key.to_pylist()).encode(), sizes, codes, *raw):
-        name.update(held)
+    for part in (repr(key.to_pylist()).encode(), size, codes, *raw):
+        name.update(part)
+    row = {"chunk": name.hexdigest(), "docs": None, "codes": None, "words": None}
     if not asking:
-        planes = codes.view(np.uint8).reshape(-1, 4)
-        planes = to_blob(**{f"p{i}": np.ascontiguousarray(planes[:, i]) for i in range(4)})
-        yield {"chunk": name.hexdigest(), "bucket": -1, "docs": to_blob(key=key, size=sizes), "codes": planes, "words": to_blob(order=order)}
+        yield row | {"bucket": ORDER, "words": to_blob(order=order)}
+        ends = np.cumsum(size)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // PART_WORDS)) + 1).tolist(), len(size)]
+        for first, last in zip(cuts, cuts[1:]):
+            planes = codes[ends[first] - size[first] : ends[last - 1]].view(np.uint8).reshape(-1, 4)
+            planes = to_blob(**{f"p{i}": np.ascontiguousarray(planes[:, i]) for i in range(4)})
+            yield row | {"bucket": HEAD, "docs": to_blob(key=key[first:last], size=size[first:last]), "codes": planes}
         return
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
         asked = words.take(pa.array(order[edges[b] : edges[b + 1]]))
-        yield {"chunk": name.hexdigest(), "bucket": int(b), "docs": None, "codes": None, "words": to_blob(word=asked)}
+        yield row | {"bucket": int(b), "words": to_blob(word=asked)}
 
 
 def piece_table(path: str) -> list[bytes]:
@@ -100,16 +108,18 @@ def put_back(rows: Iterator[pa.RecordBatch], tokenizer_path: str, key_type: pa.D
     ids = np.concatenate([np.empty(0, np.uint32), *(np.asarray(v) for v, _ in answers)])
     counts = np.concatenate([np.empty(0, np.int64), *(n for _, n in answers)])
     del answers
-    for i in np.flatnonzero(bucket < 0):  # one, or as many as there are copies of the chunk
-        head = {name: from_blob(group.column(name)[int(i)].as_buffer()) for name in ("docs", "codes", "words")}
-        if head["words"].num_rows != len(counts):
-            raise ValueError("the two readings of the texts differ: write the table first")
+    orders = np.flatnonzero(bucket == ORDER)  # one, or as many as there are copies of the chunk
+    order = np.asarray(from_blob(group.column("words")[int(orders[0])].as_buffer()).column("order").combine_chunks()) if len(orders) else ()
+    if len(orders) and len(order) != len(counts):
+        raise ValueError("the two readings of the texts differ: write the table first")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(place), dtype=np.int32)
+    for i in np.flatnonzero(bucket == HEAD):
+        head = {name: from_blob(group.column(name)[int(i)].as_buffer()) for name in ("docs", "codes")}
         planes = np.column_stack([np.asarray(head["codes"].column(f"p{p}").combine_chunks()) for p in range(4)])
-        place = np.empty(len(counts), np.int32)
-        place[np.asarray(head["words"].column("order").combine_chunks())] = np.arange(len(place), dtype=np.int32)
         at = place[np.ascontiguousarray(planes).view("<u4").reshape(-1)]
         keys, sizes = (head["docs"].column(name).combine_chunks() for name in ("key", "size"))
-        del head, planes, place
+        del head, planes
         edges = np.concatenate(([0], np.cumsum(np.asarray(sizes))))
         pieces = piece_table_of(tokenizer_path)
         schema = pa.schema([("key", key_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
@@ -151,20 +161,23 @@ def encode_decode(
 
     def pack_chunks(asking: bool):
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, lists, held = [], [], 0
+            keys, coded, sizes, held = [], [], [], 0
             for batch in batches:
                 for piece in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                    keys.append(piece.column(0))
-                    lists.append(piece.column(1))
-                    held += len(lists[-1].flatten())
+                    # neither is part of the batch, whose texts are not kept
+                    keys.append(piece.column(0).take(pa.array(np.arange(len(piece)))))
+                    values, size = list_parts(piece.column(1))
+                    coded.append(values.dictionary_encode())
+                    sizes.append(size)
+                    held += len(values)
                     if held >= chunk_words:
-                        for row in chunk_rows(keys, lists, buckets, asking):
+                        for row in chunk_rows(keys, coded, sizes, buckets, asking):
                             yield pa.RecordBatch.from_pylist([row], schema=PACKED)
-                        keys, lists, held = [], [], 0
+                        held = 0
+                batch = piece = values = None
             if keys:
-                for row in chunk_rows(keys, lists, buckets, asking):
+                for row in chunk_rows(keys, coded, sizes, buckets, asking):
                     yield pa.RecordBatch.from_pylist([row], schema=PACKED)
-            keys, lists = [], []
             release()
 
         return pack

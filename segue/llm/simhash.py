@@ -128,6 +128,19 @@ class Tree:
         return np.concatenate([p for p, _ in done]), np.concatenate([n for _, n in done])
 
 
+def distance_counts(fps: DataFrame, tree: Tree, centers: np.ndarray, large: list[int]) -> DataFrame:
+    """(code, count): how many fingerprints of a leaf of `large` have a distance to its center; code is 65 leaf + distance,
+    and NULL for the other leaves. Leaf and distance come from one function, as each one more is a process for each task."""
+
+    @F.arrow_udf("bigint")
+    def to_vantage(points: pa.Array) -> pa.Array:
+        points = np.asarray(points).view(np.uint64)
+        leaf = tree.home(points)
+        return pa.array(65 * leaf + distance(points, centers[leaf]).astype(np.int64), mask=~np.isin(leaf, large))
+
+    return fps.groupBy(to_vantage("fp").alias("code")).count()
+
+
 def grow_tree(fps: DataFrame, leaf_rows: int) -> Tree:
     """A tree over all distinct fingerprints (column fp), split level by level at exact medians.
 
@@ -155,14 +168,10 @@ def grow_tree(fps: DataFrame, leaf_rows: int) -> Tree:
             trial.vantage[leaf] = vantage
         centers = trial.arrays()[0]
 
-        @F.arrow_udf("int")
-        def to_vantage(points: pa.Array, leaves: pa.Array) -> pa.Array:
-            return pa.array(distance(np.asarray(points).view(np.uint64), centers[np.asarray(leaves)]).astype(np.int32))
-
-        far = placed.where(F.col("leaf").isin(list(large))).groupBy("leaf", to_vantage("fp", "leaf").alias("d")).count()
         spread: dict[int, np.ndarray] = {leaf: np.zeros(65, np.int64) for leaf in large}
-        for row in far.collect():
-            spread[row["leaf"]][row["d"]] = row["count"]
+        for row in distance_counts(fps, tree, centers, list(large)).collect():
+            if row["code"] is not None:
+                spread[row["code"] // 65][row["code"] % 65] = row["count"]
         for leaf, vantage in large.items():
             inside = np.cumsum(spread[leaf])
             radius = int(np.argmin(np.abs(inside - inside[-1] / 2)))

@@ -222,3 +222,18 @@ def test_equal_rows_of_a_group_keep_one(spark):
     rows = [(i, "one two three four five six", *REST) for i in (None, None, 4, 4)] + [(None, "", *REST), (None, None, *REST)]
     kept = keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["4", "None"]
+
+
+def test_leaves_and_distances_take_one_python_process_a_task(spark):
+    points = np.random.default_rng(7).integers(0, 1 << 63, 400)
+    fps = spark.createDataFrame([(int(p),) for p in points], "fp bigint")
+    tree = simhash.Tree()
+    tree.split(0, int(points[0]), 31)
+    leaf = tree.home(points.view(np.uint64))
+    centers = np.array([0, points[1], points[2]], np.int64).view(np.uint64)
+    counts = simhash.distance_counts(fps, tree, centers, [2])
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    far = simhash.distance(points.view(np.uint64), centers[leaf]).astype(int)
+    expected = {130 + d: int(((leaf == 2) & (far == d)).sum()) for d in far[leaf == 2].tolist()} | {None: int((leaf != 2).sum())}
+    assert {r["code"]: r["count"] for r in counts.collect()} == expected

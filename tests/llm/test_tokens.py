@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from segue.llm import bpe
 from segue.llm.bpe import encode_decode
 from segue.llm.token_counts import length_histogram, limit_table, quantiles
 from segue.llm.token_files import TokenFile, bits_for, id_digests, pack, read_token_files, to_bytes, unpack, write_token_files
@@ -98,3 +99,24 @@ def test_limits(spark, docs, library):
     assert limit_table(length_histogram(docs.where("false"), PATH)).count() == 0
 
 
+
+
+def test_chunks_move_in_bounded_rows_and_keep_no_batch(monkeypatch):
+    monkeypatch.setattr(bpe, "PART_WORDS", 50)
+    lists = pa.array([["a", " b"] * 20, [], [" c"] * 30, None, ["d"] * 120, [" b"]], pa.list_(pa.string()))
+    keys = pa.array([3, 3, None, 5, 6, 7])
+    values, sizes = bpe.list_parts(lists)
+
+    def rows(asking):
+        return list(bpe.chunk_rows([keys], [values.dictionary_encode()], [sizes], 2, asking))
+
+    held, coded, size = [keys], [values.dictionary_encode()], [sizes]
+    given = bpe.chunk_rows(held, coded, size, 2, False)
+    first = next(given)
+    assert not held and not coded and not size and first["bucket"] == bpe.ORDER
+    heads = [bpe.from_blob(r["docs"]) for r in given]
+    assert [h.column("key").to_pylist() for h in heads] == [[3, 3], [None, 5], [6, 7]]
+    assert [sum(h.column("size").to_pylist()) for h in heads] == [40, 30, 121]  # a longer text is a row alone or ends one
+    assert {r["chunk"] for r in rows(True)} == {first["chunk"]}
+    asked = [w for r in rows(True) for w in bpe.from_blob(r["words"]).column("word").to_pylist()]
+    assert sorted(asked) == [" b", " c", "a", "d"]
