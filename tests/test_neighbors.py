@@ -153,3 +153,22 @@ def test_searches_reach_the_recall_aimed_at(data, leaf_size):
     assert 1 <= few < neighbors.leaves_for_recall(index, asked, 10, skip_self=True) <= index.leaves
     low = neighbors.recall(neighbors.search_leaves(index, asked, 10, leaves=few, skip_self=True), exact).first().recall
     assert low >= 0.5
+
+
+def test_vectors_move_once_for_any_number_of_blocks(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-4, 5, (60, 3)).astype(float)  # many ties
+    df = spark.createDataFrame([(i // 2 if i < 10 else i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, embedding array<double>")
+    asked = df.withColumnRenamed("id", "query")
+    found = neighbors.knn(asked, df, 4, block=7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CoGroups" not in plan
+    rows = [(r.id, np.array(r.embedding)) for r in df.collect()]
+    best = {}
+    for q, a in rows:
+        best.setdefault(q, []).extend((-float(a @ b), i) for i, b in rows)
+    expected = {(q, rank, i, -s) for q, all_ in best.items() for rank, (s, i) in enumerate(sorted(all_)[:4], 1)}
+    assert {(r.query, r["rank"], r.id, r.score) for r in found.collect()} == expected
+    true = asked.where("query > 20").withColumn("true_score", F.lit(3.0))
+    better = {r.query: r.better for r in neighbors.count_better(true, df, block=7).collect()}
+    assert better == {q: sum(float(a @ b) > 3 for _, b in rows) for q, a in rows if q > 20}
