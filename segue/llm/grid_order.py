@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.llm.components import Forest, components
 from segue.session import stash
 
 BLOCK, BOX_DIMS, GRID_DIMS, FAN = 2048, 8, 2, 8
+COPIES = 4  # of a block that may move, on average, to meet its partners
+TOGETHER = 16  # blocks that a task holds of one side, where all are paired as they are read
 SEQ = 1 << 20
+ROUGH = 1e-6  # for each component, by which products of unit vectors in single precision may be off
 
 
 def spread_axes(units: DataFrame, dims: int) -> np.ndarray:
@@ -54,6 +58,9 @@ class PairJoin:
         self.reach = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
         self.na, self.nb = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        # single precision tells what is far; only what may be near is compared in double precision
+        self.fa, self.fb = a.astype(np.float32), b.astype(np.float32)
+        self.rough = np.float32(cosine - ROUGH * a.shape[1])
 
     def apart(self, a: slice, b: slice) -> bool:
         pa_, pb_ = self.pa[a], self.pb[b]
@@ -67,6 +74,8 @@ class PairJoin:
             if self.same and b.stop <= a.start or self.apart(a, b):
                 continue
             if a.stop - a.start <= self.leaf and b.stop - b.start <= self.leaf:
+                if (self.fa[a] @ self.fb[b].T).max() < self.rough:
+                    continue
                 near = self.a[a] @ self.b[b].T >= self.cosine
                 x, y = np.nonzero(near)
                 x, y = x + a.start, y + b.start
@@ -82,6 +91,30 @@ class PairJoin:
             todo += [(x, y) for x in halves(a) for y in halves(b)]
 
 
+def _met(blocks: DataFrame, near: Column, compare: Callable, schema: str) -> DataFrame:
+    """`compare(block, its data, up to FAN partners)` for all blocks whose boxes are `near`. Tasks read some blocks on either
+    side, and hold those of one side; nothing is copied."""
+    left = blocks.select(F.col("block").alias("a"), F.col("low").alias("al"), F.col("high").alias("ah"), F.col("data").alias("own"))
+    right = blocks.select(F.col("block").alias("b"), F.col("low").alias("bl"), F.col("high").alias("bh"), "data")
+    right = right.coalesce(math.ceil(blocks.count() / TOGETHER))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own, held = None, None, []
+        for batch in batches:
+            for i, name in enumerate(batch.column("a").to_pylist()):
+                if held and (name != last or len(held) == FAN):
+                    yield from compare(last, own, pa.concat_tables(held)).to_batches()
+                    held = []
+                if name != last:
+                    last, own = name, batch.column("own")[i].as_py()
+                held.append(pa.Table.from_batches([batch.slice(i, 1)]).select(["b", "data"]))
+        if held:
+            yield from compare(last, own, pa.concat_tables(held)).to_batches()
+
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("a") <= F.col("b")) & near)
+    return pairs.select("a", "own", "b", "data").mapInArrow(meet, schema)
+
+
 def link_embeddings(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9, block: int = BLOCK,
 ) -> DataFrame:
@@ -96,6 +129,9 @@ def link_embeddings(
     cut into blocks in that order. Blocks meet if their boxes touch: a join on cells, each box also standing in the
     neighbouring ones. A task holds one block and up to eight partners, halves them recursively and compares in double
     precision only what is not provably apart. It returns counts and a spanning forest, never the pairs.
+
+    Where blocks have few partners, they move to them. Where they have more than COPIES on average, as in unclustered data,
+    the written blocks are paired as they are read, so that none is copied.
     """
     spark = vectors.sparkSession
     if not 0 < cosine <= 1:
@@ -175,12 +211,8 @@ def link_embeddings(
     far = F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x * x)
     pairs = left.join(right, names).where((F.col("a") <= F.col("b")) & (far <= reach * reach)).select("a", "b").distinct()
     pairs = stash(pairs.withColumn("fan", F.floor(F.col("b") / FAN)), "pairs")
-    payload = blocks.select("block", "data")
-    first = pairs.select("a", "fan").distinct().join(payload, F.col("a") == F.col("block")).select(F.col("a").alias("own"), F.col("fan").alias("own_fan"), F.col("data").alias("own_data"))
-    other = pairs.join(payload, F.col("b") == F.col("block")).select("a", "fan", "b", "data")
-
-    def compare(own: pa.Table, partners: pa.Table) -> pa.Table:
-        a_block, a = own.column("own")[0].as_py(), read_block(own.column("own_data")[0].as_py(), dims)
+    def compare(a_block: int, a_data: bytes, partners: pa.Table) -> pa.Table:
+        a = read_block(a_data, dims)
         kind, left_, right_ = [], [], []
         sums = np.zeros(len(a), np.int64)
         name = lambda block_, at: block_ * 65536 + at
@@ -209,7 +241,14 @@ def link_embeddings(
             "x": np.concatenate([*left_, name(a_block, linked)]), "y": np.concatenate([*right_, sums[linked]]),
         })
 
-    found = first.groupBy("own", "own_fan").cogroup(other.groupBy("a", "fan")).applyInArrow(compare, "edge bigint, x bigint, y bigint")
+    payload, kind = blocks.select("block", "data"), "edge bigint, x bigint, y bigint"
+    if pairs.count() <= COPIES * blocks.count():
+        first = pairs.select("a", "fan").distinct().join(payload, F.col("a") == F.col("block")).select(F.col("a").alias("own"), F.col("fan").alias("own_fan"), F.col("data").alias("own_data"))
+        other = pairs.join(payload, F.col("b") == F.col("block")).select("a", "fan", "b", "data")
+        moved = lambda own, partners: compare(own.column("own")[0].as_py(), own.column("own_data")[0].as_py(), partners)
+        found = first.groupBy("own", "own_fan").cogroup(other.groupBy("a", "fan")).applyInArrow(moved, kind)
+    else:
+        found = _met(blocks, far <= reach * reach, compare, kind)
     found = stash(found, "found")
     counts = found.where("edge = 0").groupBy(F.col("x").alias("row")).agg(F.sum("y").alias("n_links"))
     linked = components(found.where("edge = 1").select("x", "y"), "x", "y")
