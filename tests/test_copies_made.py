@@ -31,3 +31,21 @@ def test_blocks_that_all_meet_are_not_copied(spark, monkeypatch):
         assert ("Exchange" in plan(found)) == (copies > 0)
     assert rows[0] == rows[1 << 30]
     assert [(r[0], r[1]) for r in rows[0]] == [(i, int(near[i].sum()) - 1) for i in range(300)]
+
+
+def test_visited_leaves_are_not_listed(spark, monkeypatch):
+    from segue.operators import neighbors, tree_index
+
+    x = np.random.default_rng(6).integers(-3, 4, (400, 6)).astype(np.float32)  # many ties
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, embedding array<float>")
+    asked = df.withColumnRenamed("id", "query")
+    index = tree_index.build(df, leaf_size=5, fan=4, parts=3, skip_self=True)
+    seen = stashed(monkeypatch, tree_index)
+    found = tree_index.search(index, asked, 4, share=1.0, skip_self=True)
+    exact = neighbors.knn(asked, df, 4, skip_self=True).select(*found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
+    leaves = index.nodes.where("leaf").count()
+    assert leaves > 50 and seen and sum(f.count() for _, f in seen) < 400 * leaves / 4
+    # a query that is asked twice finds each row twice, as before
+    twice = tree_index.search(index, asked.where("query < 9").unionByName(asked.where("query < 9")), 4, share=1.0, skip_self=True)
+    assert {(r.query, r["rank"], r.score) for r in twice.collect()} == {(r.query, 2 * r["rank"] + i, r.score) for r in exact.where("query < 9 AND rank < 3").collect() for i in (-1, 0)}
