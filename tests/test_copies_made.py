@@ -46,6 +46,29 @@ def test_visited_leaves_are_not_listed(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
     leaves = index.nodes.where("leaf").count()
     assert leaves > 50 and seen and sum(f.count() for _, f in seen) < 400 * leaves / 4
-    # a query that is asked twice finds each row twice, as before
-    twice = tree_index.search(index, asked.where("query < 9").unionByName(asked.where("query < 9")), 4, share=1.0, skip_self=True)
-    assert {(r.query, r["rank"], r.score) for r in twice.collect()} == {(r.query, 2 * r["rank"] + i, r.score) for r in exact.where("query < 9 AND rank < 3").collect() for i in (-1, 0)}
+
+
+def test_matrix_entries_move_once_and_vectors_by_row(spark, monkeypatch):
+    from segue.operators import factors
+
+    rng = np.random.default_rng(8)
+    dense = rng.integers(0, 3, (40, 40)) * rng.integers(0, 2, (40, 40))
+    dense = dense + dense.T
+    dense[0], dense[:, 0] = 3, 3  # an item that stands beside all
+    rows = [(i, j, int(dense[i, j])) for i in range(40) for j in range(40) if dense[i, j]]
+    counts = spark.createDataFrame(rows, "a bigint, b bigint, n bigint")
+    seen = stashed(monkeypatch, factors)
+    monkeypatch.setattr(factors, "ENTRIES", 50)
+    monkeypatch.setattr(factors, "MARGINS", 7)
+    monkeypatch.setattr(factors, "VECTORS", 7)
+    found = factors.positive_pmi(counts)
+    assert "Exchange" not in plan(found) and {name for name, _ in seen} == {"counts", "margins", "blocks"}
+    margin = dense.sum(0)
+    x = np.log(np.where(dense > 0, dense, 1e-9) * dense.sum() / margin / margin[:, None])
+    wanted = {(i, j): x[i, j] for i, j, _ in rows if x[i, j] > 0}
+    got = {(r.a, r.b): r.x for r in found.collect()}
+    assert got.keys() == wanted.keys() and all(abs(got[k] - wanted[k]) < 1e-9 for k in wanted)
+    vectors, sizes = factors.symmetric_svd(found, 4, rounds=8)
+    assert np.allclose(sizes, np.linalg.svd(np.where(x > 0, x, 0))[1][:4], rtol=1e-3) and vectors.count() == len({a for a, _ in wanted})
+    products = [plan(f) for name, f in seen if name == "product"]
+    assert len(products) == 10 and all("Join" not in p.replace("shuffle_replicate_nl", "") for p in products)
