@@ -72,3 +72,24 @@ def test_matrix_entries_move_once_and_vectors_by_row(spark, monkeypatch):
     assert np.allclose(sizes, np.linalg.svd(np.where(x > 0, x, 0))[1][:4], rtol=1e-3) and vectors.count() == len({a for a, _ in wanted})
     products = [plan(f) for name, f in seen if name == "product"]
     assert len(products) == 10 and all("Join" not in p.replace("shuffle_replicate_nl", "") for p in products)
+
+
+def test_far_scores_are_told_in_single_precision():
+    from segue.operators import neighbors
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 16))
+    x[:300], x[300:320] = x[0], x[0] * (1 + 1e-9 * np.arange(20))[:, None]  # ties, and scores that only double precision tells apart
+    q = np.concatenate([rng.normal(size=(40, 16)), np.zeros((1, 16)), x[:1] * 1e20, x[:1] * np.inf])
+    q[-1, 1:] = 1
+    ids, asked = rng.permutation(4000), np.arange(43)
+    with np.errstate(all="ignore"):
+        top = neighbors.TopK(asked, q, 7)
+        for i in range(0, 4000, 900):
+            top.add(ids[i : i + 900], x[i : i + 900], True)
+        scores = np.round(q @ x.T, neighbors.DIGITS)
+        scores[asked[:, None] == ids[None, :]] = -np.inf
+        rows, cols = neighbors._best(scores, ids, 7)
+        exact = neighbors._near_best(q[:40], x.astype(np.float32), 10.0, 7, np.full(40, -np.inf), (asked[:0], asked[:0]))
+    assert [*zip(top.row.tolist(), top.id.tolist(), top.score.tolist())] == [*zip(rows.tolist(), ids[cols].tolist(), scores[rows, cols].tolist())]
+    assert exact is None or len(exact[0]) < 40 * 400
